@@ -76,15 +76,33 @@ def volume_stats_stage(size: int = WINDOW):
     return stage
 
 
-def regime_stage(
+def sorted_quantile(values: Column, quantile: float) -> Column:
+    """Interpolated quantile of a sorted array."""
+    place = (F.size(values) - 1) * F.lit(quantile)
+    low = F.get(values, F.floor(place).cast("int"))
+    high = F.get(values, F.ceil(place).cast("int"))
+    return low + (high - low) * (place - F.floor(place))
+
+
+def regime_stages(
     size: int = VOL_WINDOW, length: int = REGIME_WINDOW, quantile: float = REGIME_QUANTILE
 ):
-    """TRUE where volatility exceeds its own recent quantile."""
+    """TRUE where volatility exceeds its own recent quantile.
+
+    The frame is sorted as an array, which costs a fraction of ``percentile`` over
+    a moving frame; it holds at most ``length`` values.
+    """
     vol = f"realized_vol_{size}"
-    return lambda window: {
-        "is_volatility_regime": F.col(vol)
-        > F.percentile(vol, quantile).over(trailing(window, length))
-    }
+
+    def gather(window: WindowSpec) -> Mapping[str, Column]:
+        recent = F.collect_list(vol).over(trailing(window, length))
+        return {"is_volatility_regime": F.sort_array(recent)}
+
+    def compare(window: WindowSpec) -> Mapping[str, Column]:
+        bound = sorted_quantile(F.col("is_volatility_regime"), quantile)
+        return {"is_volatility_regime": F.col(vol) > bound}
+
+    return gather, compare
 
 
 def ewma_stage(size: int = WINDOW, decay: float = EWMA_LAMBDA):
@@ -140,7 +158,7 @@ def add_vol_regime(
         size + length - 1,
         returns_stage,
         realized_vol_stage(size),
-        regime_stage(size, length, quantile),
+        *regime_stages(size, length, quantile),
         **series,
     )
 
@@ -173,7 +191,7 @@ def add_intraday_features(
         return_stats_stage(size),
         realized_vol_stage(vol_size),
         volume_stats_stage(size),
-        regime_stage(vol_size, regime_length),
+        *regime_stages(vol_size, regime_length),
         **series,
     )
     return add_session_features(windowed)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barstats.functions import is_missing, ratio
+from barstats.functions import is_missing
 from barstats.operators.histograms import melt, numeric_columns
 from barstats.operators.quantiles import exact_quantiles
 from barstats.schema import CORRELATION_FEATURES, TS
@@ -95,33 +95,34 @@ def time_range(df: DataFrame, ts: str = TS) -> DataFrame:
     return df.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
 
 
-def _correlation(a: str, b: str) -> Column:
-    """Pearson's r over the rows that have both; NULL when either does not vary."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str] = CORRELATION_FEATURES
 ) -> DataFrame:
-    """``a, b, corr`` for every ordered pair, from one pass over all rows."""
-    pairs = list(combinations(columns, 2))
-    found = df.agg(
-        *[_correlation(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"_s{j}") for j, c in enumerate(columns)],
-    )
+    """``a, b, corr`` for every ordered pair, from one pass over all rows.
 
-    def cell(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr"))
+    Pearson's r over the rows that have both values; NULL when either does not vary.
+    """
+    doubles = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    pairs = list(combinations(range(len(columns)), 2))
+
+    # Expressions as text: Python would build a pair's forty nodes one call at a time.
+    def pearson(i: int, j: int) -> str:
+        x, y = f"IF(_{j} IS NOT NULL, _{i}, NULL)", f"IF(_{i} IS NOT NULL, _{j}, NULL)"
+        return (
+            f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y})) AS r_{i}_{j}"
+        )
 
-    cells = [
-        cell(*ends, F.col(f"_{i}")) for i, (a, b) in enumerate(pairs) for ends in ((a, b), (b, a))
-    ]
-    cells += [
-        cell(c, c, F.when(F.col(f"_s{j}") > 0, F.lit(1.0))) for j, c in enumerate(columns)
-    ]
-    return found.select(F.inline(F.array(*cells)))
+    found = doubles.agg(
+        *[F.expr(pearson(i, j)) for i, j in pairs],
+        *[F.stddev_pop(f"_{i}").alias(f"s_{i}") for i in range(len(columns))],
+    )
+    cells = [(i, i, f"IF(s_{i} > 0, 1.0D, NULL)") for i in range(len(columns))]
+    cells += [(a, b, f"r_{i}_{j}") for i, j in pairs for a, b in ((i, j), (j, i))]
+    rows = ", ".join(
+        f"named_struct('a', '{columns[a]}', 'b', '{columns[b]}', 'corr', {value})"
+        for a, b, value in cells
+    )
+    return found.selectExpr(f"inline(array({rows}))")
 
 
 def return_distribution(df: DataFrame, column: str) -> DataFrame:

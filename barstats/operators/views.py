@@ -26,8 +26,12 @@ def intraday_returns(
 
 
 def daily_summary(df: DataFrame, ts: str = TS, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """OHLC, volume, mean volatility and label counts per symbol and day."""
-    at = F.struct(ts, *tiebreak)
+    """OHLC, volume, mean volatility and label counts per symbol and day.
+
+    A tie-break is only for bars of equal time: it makes Spark sort before it
+    aggregates, where the time alone is aggregated by hashing.
+    """
+    at = F.struct(ts, *tiebreak) if tiebreak else F.col(ts)
     return df.groupBy(SYMBOL, DAY).agg(
         F.min_by("open", at).alias("open"),
         F.max("high").alias("high"),

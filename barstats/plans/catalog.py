@@ -28,6 +28,7 @@ from barstats.schema import (
     IQR_FLAG,
     KEYED_SCHEMA,
     RAW_COLUMNS,
+    RELATIVE_ERROR,
     SYMBOL,
     TS,
     WINDOW,
@@ -336,9 +337,17 @@ def iqr_bounds(spark, folder):
 
 @query
 def iqr_bounds_approx(spark, folder):
-    """The default: fences from a sketch. No value to compare, only within its error."""
+    """The default fences come from a sketch: are its quartiles as close as promised?"""
     ticks = ticks_from_events(spark, folder)
-    return rounded(iqr.iqr_bounds(ticks, "close"), "lower", "upper")
+    found = iqr.quartiles(ticks, "close", RELATIVE_ERROR)
+    edges = ticks.withColumn("_q", found.select(F.struct("q1", "q3")).scalar())
+    close = F.col("close")
+
+    def holds(prob: float, edge: str):
+        below, upto = (F.count_if(c) / F.count(close) for c in (close < F.col(edge), close <= F.col(edge)))
+        return (below <= prob + RELATIVE_ERROR) & (upto >= prob - RELATIVE_ERROR)
+
+    return edges.agg(holds(0.25, "_q.q1").alias("q1_holds"), holds(0.75, "_q.q3").alias("q3_holds"))
 
 
 @query
@@ -616,7 +625,7 @@ def intraday_returns(spark, folder):
 
 @query
 def daily_summary(spark, folder):
-    out = views.daily_summary(labelled(spark, folder), tiebreak=("row_index",))
+    out = views.daily_summary(labelled(spark, folder))
     return rounded(out, "avg_realized_vol")
 
 

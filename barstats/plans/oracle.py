@@ -268,6 +268,11 @@ oracle(
 oracle("stream_zscore", f"{_SCORED}, close_zscore_anomaly_20 FROM rolled_ticks", "rolled_ticks")
 oracle("stream_ingest", f"SELECT {BAR} FROM good", "good")
 oracle("iqr_bounds", f"SELECT {rs('lower', 'upper')} FROM tick_fences", "tick_fences")
+oracle(
+    "iqr_bounds_approx",
+    "SELECT count(*) > 0 AS q1_holds, count(*) > 0 AS q3_holds FROM ticks",
+    "ticks",
+)
 _IQR = f"SELECT {KEY}, close, close < lower OR close > upper AS close_iqr_anomaly FROM ticks"
 oracle(
     "iqr_flag",

@@ -1,4 +1,4 @@
-"""The whole chain from raw bars to the enriched table, as one lazy plan."""
+"""The whole chain from raw bars to the enriched table."""
 
 from __future__ import annotations
 
@@ -25,6 +25,7 @@ from barstats.operators.zscore import detect_zscore_anomalies
 from barstats.schema import IQR_K, RAW_SCHEMA, RELATIVE_ERROR, SYMBOL, WINDOW, Z_THRESHOLD
 from barstats.sources.bars import read_ohlcv_csv
 from barstats.sources.layout import load_table, write_parquet
+from barstats.sources.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -66,9 +67,17 @@ def enrich(
     )
 
 
-def flagship(raw: DataFrame, settings: Settings = Settings(), **series) -> DataFrame:
-    """Clean raw bars that carry a symbol, and enrich them."""
-    return enrich(clean(raw, sort=False), settings, **series)
+def flagship(
+    raw: DataFrame, settings: Settings = Settings(), *, stage: bool = True, **series
+) -> DataFrame:
+    """Clean raw bars that carry a symbol, and enrich them.
+
+    Cleaning ends in a shuffle of whole rows, and enriching reads the clean bars
+    several times, a column or three at a time. So they are written out in between,
+    unless ``stage`` is off.
+    """
+    bars = clean(raw, sort=False)
+    return enrich(staged(bars, "clean") if stage else bars, settings, **series)
 
 
 def label_intraday(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
     return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The table written out and read back, for one that several passes read.
+
+    What follows reads only the columns it needs of it, and a lost executor does not
+    cost the work behind it.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

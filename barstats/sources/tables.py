@@ -18,16 +18,19 @@ def _size() -> Column:
 
 
 def bars_from_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly bars per event type, one row index per bar: its first event's id."""
-    first_to_last = F.struct("ts", "event_id")
+    """Hourly bars per event type, one row index per bar: its first event's id.
+
+    No two events have the same time, so the time alone says which is first; as a
+    plain value it keeps the aggregation hashed, which an ordering struct would not.
+    """
     sized = table(spark, folder, "events").withColumn("_k", _size())
     hour = wall_clock(F.date_trunc("hour", "ts"))
     bars = sized.groupBy(F.col("event_type").alias(SYMBOL), hour.alias(TS)).agg(
         F.min("event_id").alias("row_index"),
-        F.min_by("value", first_to_last).alias("open"),
+        F.min_by("value", "ts").alias("open"),
         F.max("value").alias("high"),
         F.min("value").alias("low"),
-        F.max_by("value", first_to_last).alias("close"),
+        F.max_by("value", "ts").alias("close"),
         F.sum("_k").alias("volume"),
         F.count("*").alias("barCount"),
         ratio(F.sum(F.col("value") * F.col("_k")), F.sum("_k").cast("double")).alias("average"),
