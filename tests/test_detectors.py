@@ -1,0 +1,136 @@
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from barstats.operators.iqr import (
+    add_iqr_anomaly_flag,
+    compute_iqr_bounds,
+    detect_iqr_anomalies,
+    detect_iqr_anomalies_by,
+    iqr_bounds,
+)
+from barstats.operators.rolling import add_rolling_mean, add_rolling_stats, add_rolling_std
+from barstats.operators.zscore import (
+    add_rolling_zscore,
+    add_zscore_anomaly_flag,
+    detect_zscore_anomalies,
+    largest_possible_score,
+)
+from helpers import column, series
+
+
+def test_mean_uses_what_there_is_and_then_slides(spark):
+    out = add_rolling_mean(series(spark, [10.0, 20.0, 30.0, 40.0]), "close", 3)
+    assert column(out, "close_rolling_mean_3") == [10.0, 15.0, 20.0, 30.0]
+
+
+def test_deviation_is_the_samples(spark):
+    got = column(add_rolling_std(series(spark, [10.0, 20.0, 40.0]), "close", 3), "close_rolling_std_3")
+    assert got == [None, pytest.approx(statistics.stdev([10, 20])), pytest.approx(statistics.stdev([10, 20, 40]))]
+
+
+def test_flat_series_has_no_deviation(spark):
+    got = column(add_rolling_std(series(spark, [50.1] * 3), "close", 3), "close_rolling_std_3")
+    assert got == [None, 0.0, 0.0]
+
+
+def test_nulls_are_skipped(spark):
+    got = column(add_rolling_mean(series(spark, [10.0, None, 30.0]), "close", 3), "close_rolling_mean_3")
+    assert got == [10.0, 10.0, 20.0]
+
+
+def test_both_statistics_share_one_window(spark):
+    out = add_rolling_stats(series(spark, [1.0, 2.0]), "close", 3)
+    assert out.columns[-2:] == ["close_rolling_mean_3", "close_rolling_std_3"]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert plan.count("Window [") <= 1
+
+
+@pytest.mark.parametrize("add", [add_rolling_mean, add_rolling_std, add_rolling_stats])
+def test_a_window_of_one_is_refused(spark, add):
+    with pytest.raises(ValueError):
+        add(series(spark, [1.0]), "close", 1)
+
+
+STATS = "close double, close_rolling_mean_3 double, close_rolling_std_3 double"
+
+
+def scored(spark, *rows):
+    return add_rolling_zscore(spark.createDataFrame(list(rows), STATS), "close", 3)
+
+
+def test_score(spark):
+    rows = [(110.0, 100.0, 5.0), (100.0, 100.0, 5.0), (110.0, 100.0, None), (101.0, 100.0, 0.0)]
+    assert [r["close_zscore_3"] for r in scored(spark, *rows).collect()] == [2.0, 0.0, None, None]
+
+
+def test_nan_gives_no_score(spark):
+    out = add_zscore_anomaly_flag(scored(spark, (float("nan"), 100.0, 5.0)), "close", 3)
+    assert out.first()["close_zscore_anomaly_3"] is None
+
+
+def test_flag_is_strict_two_sided_and_null_for_null(spark):
+    rows = [(120.0, 100.0, 5.0), (80.0, 100.0, 5.0), (115.0, 100.0, 5.0), (115.0, 100.0, None)]
+    out = add_zscore_anomaly_flag(scored(spark, *rows), "close", 3)
+    assert [r["close_zscore_anomaly_3"] for r in out.collect()] == [True, True, False, None]
+
+
+def test_detection_finds_a_spike_and_warns_when_none_could_be(spark):
+    closes = [100.0 + i % 2 for i in range(25)] + [150.0]
+    rolled = add_rolling_stats(series(spark, closes), "close", 20)
+    out = detect_zscore_anomalies(rolled, "close", 20)
+    assert [r["row_index"] for r in out.where("close_zscore_anomaly_20").collect()] == [25]
+    assert largest_possible_score(10) < 3 < largest_possible_score(20)
+    with pytest.warns(UserWarning):
+        detect_zscore_anomalies(add_rolling_stats(series(spark, closes), "close", 10), "close", 10)
+
+
+ONE_TO_NINE = [float(i) for i in range(1, 10)]
+
+
+@pytest.mark.parametrize(
+    "closes,k,want",
+    [(ONE_TO_NINE, 1.5, (-3.0, 13.0)), (ONE_TO_NINE, 3.0, (-9.0, 19.0)), ([50.0] * 5, 1.5, (50.0, 50.0))],
+)
+def test_fences(spark, closes, k, want):
+    assert compute_iqr_bounds(series(spark, closes), "close", k, relative_error=0.0) == want
+
+
+def test_gaps_do_not_move_the_fences(spark):
+    gaps = series(spark, [*ONE_TO_NINE, None, float("nan")])
+    for error in (0.0, 0.01):
+        assert compute_iqr_bounds(gaps, "close", relative_error=error) == (-3.0, 13.0)
+
+
+def test_no_values_no_fences(spark):
+    for error in (0.0, 0.01):
+        with pytest.raises(ValueError):
+            compute_iqr_bounds(series(spark, [None]), "close", relative_error=error)
+    with pytest.raises(ValueError):
+        iqr_bounds(series(spark, [1.0]), "close", relative_error=2.0)
+
+
+def test_flag_is_strict_at_both_fences(spark):
+    out = add_iqr_anomaly_flag(series(spark, [-3.1, -3.0, 13.0, 13.1, None]), "close", -3.0, 13.0)
+    assert column(out, "close_iqr_anomaly") == [True, False, False, True, None]
+
+
+def test_detection_flags_the_outlier_only(spark):
+    out = detect_iqr_anomalies(series(spark, [*ONE_TO_NINE, 100.0]), "close", relative_error=0.0)
+    assert [r["close"] for r in out.where("close_iqr_anomaly").collect()] == [100.0]
+    assert "_fences" not in out.columns
+
+
+def test_detection_by_symbol(spark):
+    a, b = series(spark, [*ONE_TO_NINE, 100.0], "A"), series(spark, [100.0 + c for c in ONE_TO_NINE], "B")
+    out = detect_iqr_anomalies_by(a.unionByName(b), "close", ["symbol"], relative_error=0.0)
+    assert [(r["symbol"], r["close"]) for r in out.where("close_iqr_anomaly").collect()] == [("A", 100.0)]
+    assert out.count() == 19
+
+
+def test_per_symbol_results_are_those_of_the_symbol_alone(spark):
+    a, b = series(spark, [float(i * i % 17) for i in range(40)], "A"), series(spark, [float(i % 5) for i in range(40)], "B")
+    both = add_rolling_stats(a.unionByName(b), "close", 20).where(F.col("symbol") == "A")
+    alone = add_rolling_stats(a, "close", 20)
+    assert column(both, "close_rolling_std_20") == column(alone, "close_rolling_std_20")
