@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barstats.functions import is_missing
+from barstats.functions import is_missing, ratio
 from barstats.operators.histograms import melt, numeric_columns
 from barstats.operators.quantiles import exact_quantiles
 from barstats.schema import CORRELATION_FEATURES, TS
@@ -98,31 +97,64 @@ def time_range(df: DataFrame, ts: str = TS) -> DataFrame:
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str] = CORRELATION_FEATURES
 ) -> DataFrame:
-    """``a, b, corr`` for every ordered pair, from one pass over all rows.
+    """``a, b, corr`` for every ordered pair, over all rows that have both values.
 
-    Pearson's r over the rows that have both values; NULL when either does not vary.
+    Pearson's r; NULL when either does not vary. Rows are grouped by which columns
+    they have, so that within a group plain sums of products serve every pair; the
+    groups are then added up per pair. Values are taken from their column's mean,
+    which a first light pass finds, to keep the sums accurate.
     """
-    doubles = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
-    pairs = list(combinations(range(len(columns)), 2))
-
-    # Expressions as text: Python would build a pair's forty nodes one call at a time.
-    def pearson(i: int, j: int) -> str:
-        x, y = f"IF(_{j} IS NOT NULL, _{i}, NULL)", f"IF(_{i} IS NOT NULL, _{j}, NULL)"
-        return (
-            f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y})) AS r_{i}_{j}"
+    places = range(len(columns))
+    pairs = [(i, j) for i in places for j in places if i <= j]
+    doubles = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    means = doubles.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in places])
+
+    # Expressions as text: Python would build hundreds of nodes one call at a time.
+    shifted = doubles.withColumn("_m", means.select(F.struct("*")).scalar()).selectExpr(
+        *[f"v{i} - _m.m{i} AS x{i}" for i in places],
+        "+".join(f"IF(v{i} IS NULL, 0, {2**i})" for i in places) + " AS has",
+    )
+    sums = shifted.groupBy("has").agg(
+        F.count("*").alias("n"),
+        *[F.expr(f"sum(x{i}) AS s{i}") for i in places],
+        *[F.expr(f"sum(x{i} * x{j}) AS p{i}_{j}") for i, j in pairs],
+    )
+    both = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'n', n, 'x', s{i}, 'y', s{j},"
+        f" 'xx', p{i}_{i}, 'yy', p{j}_{j}, 'xy', p{i}_{j})"
+        for i, j in pairs
+    )
+    # At most one row per combination of columns that occurs.
+    per_pair = (
+        sums.selectExpr(f"inline(array({both}))")
+        .groupBy("i", "j")
+        .agg(
+            *[
+                F.sum(F.when(F.col("xy").isNotNull(), F.col(c))).alias(c)
+                for c in ("n", "x", "y", "xx", "yy", "xy")
+            ]
         )
+    )
 
-    found = doubles.agg(
-        *[F.expr(pearson(i, j)) for i, j in pairs],
-        *[F.stddev_pop(f"_{i}").alias(f"s_{i}") for i in range(len(columns))],
+    def spread(squares: str, total: str) -> Column:
+        """Variance; zero when only rounding is left of it."""
+        square = F.col(squares) / F.col("n")
+        variance = square - F.pow(F.col(total) / F.col("n"), 2)
+        return F.when(variance > square * 1e-12, variance).otherwise(F.lit(0.0))
+
+    together = F.col("xy") / F.col("n") - F.col("x") / F.col("n") * F.col("y") / F.col("n")
+    r = ratio(together, F.sqrt(spread("xx", "x")) * F.sqrt(spread("yy", "y")))
+    names = F.array(*[F.lit(c) for c in columns])
+    ends = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     )
-    cells = [(i, i, f"IF(s_{i} > 0, 1.0D, NULL)") for i in range(len(columns))]
-    cells += [(a, b, f"r_{i}_{j}") for i, j in pairs for a, b in ((i, j), (j, i))]
-    rows = ", ".join(
-        f"named_struct('a', '{columns[a]}', 'b', '{columns[b]}', 'corr', {value})"
-        for a, b, value in cells
+    return (
+        per_pair.withColumn("corr", F.when(F.col("i") == F.col("j"), r / r).otherwise(r))
+        .select(F.explode(ends).alias("end"), "corr")
+        .select(
+            F.get(names, F.col("end.i")).alias("a"), F.get(names, F.col("end.j")).alias("b"), "corr"
+        )
     )
-    return found.selectExpr(f"inline(array({rows}))")
 
 
 def return_distribution(df: DataFrame, column: str) -> DataFrame:

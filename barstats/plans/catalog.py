@@ -16,7 +16,7 @@ from barstats.operators import clean as cleaning
 from barstats.operators import daily, features, histograms, intraday, iqr, profile, rolling, views
 from barstats.operators import quarantine as q
 from barstats.operators.checks import data_quality_report
-from barstats.operators.rules import add_volume_zscore
+from barstats.operators.rules import Rules, add_volume_zscore, apply_rules
 from barstats.operators.zscore import (
     add_rolling_zscore,
     add_zscore_anomaly_flag,
@@ -36,7 +36,7 @@ from barstats.schema import (
 )
 from barstats.sources import layout
 from barstats.sources.bars import read_enriched, read_ohlcv_csv
-from barstats.sources.scratch import new_folder
+from barstats.sources.scratch import new_folder, staged
 from barstats.sources.tables import (
     LINE_ORDER,
     as_raw,
@@ -78,7 +78,8 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return label_intraday(ticks_from_events(spark, folder), **BY_ROW)
+    """The anomaly table, written once; the views read the columns they need of it."""
+    return staged(label_intraday(ticks_from_events(spark, folder), **BY_ROW), "anomalies")
 
 
 # --- the whole chain --------------------------------------------------------------
@@ -607,7 +608,7 @@ def rolling_return(spark, folder):
 
 @query
 def anomaly_rules(spark, folder):
-    out = labelled(spark, folder)
+    out = label_intraday(ticks_from_events(spark, folder), **BY_ROW)
     return rounded(out, "return_zscore", "volume_zscore", "anomaly_score").select(
         *KEY, "return_zscore", "volume_zscore", "is_return_anomaly", "is_volume_anomaly",
         "is_volatility_regime", "anomaly_label", "anomaly_score",
@@ -650,9 +651,8 @@ def label_by_month(spark, folder):
 @query
 def run_compare(spark, folder):
     """Two runs of the rule engine, the second with lower thresholds."""
-    from barstats.operators.rules import Rules, apply_rules
-
     ticks = intraday.add_intraday_features(ticks_from_events(spark, folder), **BY_ROW)
+    ticks = staged(ticks, "intraday")
     strict = apply_rules(ticks, Rules(), run_id="strict")
     loose = apply_rules(ticks, Rules(return_threshold=2.0, volume_threshold=2.0), run_id="loose")
     out = views.run_compare(strict.unionByName(loose))

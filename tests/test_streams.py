@@ -1,0 +1,65 @@
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from barstats.operators.rolling import add_rolling_stats
+from barstats.operators.zscore import detect_zscore_anomalies
+from barstats.streaming.zscore import ZScoreStream
+from helpers import START, random_series, same_rows, series
+
+
+@pytest.fixture
+def stream(tmp_path):
+    def make(**options):
+        return ZScoreStream(
+            output=str(tmp_path / "out"), state=str(tmp_path / "state"), window=5, threshold=1.5,
+            tiebreak=("row_index",), **options,
+        )
+
+    return make
+
+
+def batch_result(bars):
+    return detect_zscore_anomalies(
+        add_rolling_stats(bars, "close", 5, tiebreak=("row_index",)), "close", 5, 1.5
+    )
+
+
+def test_batches_in_order_give_the_batch_result(spark, stream):
+    bars = random_series(spark, 400).dropDuplicates(["date"]).cache()
+    cuts = [F.lit(START + timedelta(minutes=m)).cast("timestamp_ntz") for m in (40, 80)]
+    at, scores = F.col("date"), stream()
+    for epoch, part in enumerate((at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1])):
+        scores.process(bars.where(part), epoch)
+        scores.process(bars.where(part), epoch)  # run again after a failure
+    assert same_rows(scores.read(spark).select(batch_result(bars).columns), batch_result(bars))
+
+
+def test_late_bars_are_dropped(spark, stream):
+    bars = series(spark, [1.0, 2.0, 4.0, 8.0])
+    scores = stream()
+    scores.process(bars.where("row_index in (0, 2)"), 0)
+    scores.process(bars.where("row_index in (1, 3)"), 1)
+    assert sorted(r["row_index"] for r in scores.read(spark).collect()) == [0, 2, 3]
+
+
+def test_a_delay_waits_for_bars_out_of_order(spark, stream):
+    bars = series(spark, [1.0, 2.0, 4.0, 8.0, 16.0])
+    end = spark.createDataFrame([("S", START + timedelta(hours=1), 99, 5.0)], bars.schema)
+    scores = stream(delay="5 minutes")
+    scores.process(bars.where("row_index in (0, 2)"), 0)
+    assert scores.read(spark).isEmpty()
+    scores.process(bars.where("row_index in (1, 4)"), 1)
+    scores.process(bars.where("row_index = 3").unionByName(end), 2)
+    got = scores.read(spark)
+    assert same_rows(got.select(batch_result(bars).columns), batch_result(bars))
+
+
+def test_a_quiet_batch_keeps_the_state(spark, stream):
+    bars = series(spark, [1.0, 2.0, 4.0, 8.0])
+    scores = stream()
+    scores.process(bars.where("row_index < 2"), 0)
+    scores.process(bars.limit(0), 1)
+    scores.process(bars.where("row_index >= 2"), 2)
+    assert same_rows(scores.read(spark).select(batch_result(bars).columns), batch_result(bars))
