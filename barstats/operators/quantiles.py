@@ -50,13 +50,18 @@ def _climb(values: DataFrame, ranges: DataFrame, series: list[str], keys: list[s
         .orderBy("_cell")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = [c for c in ranges.columns if c not in ("_lo", "_hi")]
-    return (
+    # Grouping by a struct of the keys keeps the join's partitioning from serving the
+    # aggregation too: counts are combined before their own shuffle, and Spark stays
+    # free to split a crowded group in the join.
+    carried = [c for c in ranges.columns if c not in (*keys, "_lo", "_hi")]
+    counted = (
         values.join(ranges, keys)
         .where(within)
-        .groupBy(*carried, cell.alias("_cell"))
+        .groupBy(F.struct(*keys).alias("_group"), *carried, cell.alias("_cell"))
         .agg(F.count("*").alias("_held"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .withColumn("_upto", F.sum("_held").over(upwards))
+    )
+    return counted.select("_group.*", *[c for c in counted.columns if c != "_group"]).withColumn(
+        "_upto", F.sum("_held").over(upwards)
     )
 
 
