@@ -99,3 +99,24 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+#: A-Z in lower case; other ASCII than letters and digits become spaces.
+_PLAIN = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
+    for b in range(256)
+)
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Runs of ASCII letters and digits (in lower case) and of all other characters, as UTF-8."""
+    return text.encode().translate(_PLAIN).split() if text else []
+
+
+def chunks(table: DataFrame, text_col: str, most_bytes: int) -> Iterator[list]:
+    """The rows of a small table in lists of about ``most_bytes`` of text, so that each can be
+    sent to every task. They come one after the other: the driver holds one while it is made."""
+    size = table.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = -(-size // most_bytes) or 1
+    part = F.pmod(F.xxhash64(text_col), F.lit(n))
+    return (table.where(part == i).collect() for i in range(n))

@@ -6,17 +6,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barstats.llm import secrets, simhash, token_counts, token_store
+from barstats.llm import (
+    decontamination,
+    licenses,
+    line_spread,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    surrogates,
+    token_counts,
+    token_store,
+)
+from barstats.llm.common import WORD
 from barstats.sources.scratch import new_folder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+#: For trying things out; a corpus of its own has a key of its own.
+PII_KEY = "example key"
 
 
 def table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the benchmark items it leaks, and how much of the worst."""
+    judged = decontamination.judge(table(spark, folder).select("doc_id", "text"), table(spark, folder, "benchmark"))
+    leaks = F.filter("overlaps", lambda o: o["leaked"])
+    return judged.select(
+        "doc_id",
+        "leaked",
+        F.size("overlaps").cast("long").alias("n_overlaps"),
+        F.coalesce(F.array_max(F.transform("overlaps", lambda o: o["share"])), F.lit(0.0)).alias("share"),
+        F.array_sort(F.transform(leaks, lambda o: o["item_id"])).alias("item_ids"),
+    )
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Repositories are the documents, owners their sources."""
     found = secrets.judge_candidates(table(spark, folder))
@@ -37,6 +64,49 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.plan_mix(table(spark, folder))
+    taken = F.col("size") * F.size("copies")
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text with its personal data replaced, and how much of each kind was."""
+    docs = table(spark, folder).select("doc_id", "text")
+    out = surrogates.replace_entities(docs, PII_KEY)
+    count = "cast(size(filter(replaced, x -> x.kind = '{0}')) as bigint) AS n_{0}"
+    return out.select("doc_id", "text", *(F.expr(count.format(k)) for k in surrogates.KINDS))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder).select("doc_id", "text"))
+    return judged.select("doc_id", *quality.FEATURES, "base_failed", "kept", F.round("posterior", 6).alias("posterior"))
+
+
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    templates = spark.createDataFrame(licenses.TEMPLATES, "label string, text string")
+    found = licenses.scan(table(spark, folder).select("doc_id", "text"), templates)
+    base = "transform(phrases, x -> x.label)"
+    every = f"concat({base}, transform(blocks, x -> x.label))"
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.expr("array_min(transform(phrases, x -> x.word))").alias("first_word"),
+        F.expr("array_max(transform(phrases, x -> x.word))").alias("last_word"),
+        F.expr(f"array_join(array_sort(array_distinct({base})), ',')").alias("base_labels"),
+        F.expr(f"array_join(array_sort(array_distinct({every})), ',')").alias("labels"),
+        F.expr(
+            "CASE WHEN size(phrases) > 0 THEN 1D ELSE coalesce(array_max(transform(blocks, x -> x.score)), 0D) END"
+        ).alias("score"),
+    )
+
+
+def op8_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder).select("doc_id", "text", "source")
+    return line_spread.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder))
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
@@ -53,10 +123,36 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_secret_scan": op2_secret_scan,
-    "op3_token_counts": op3_token_counts,
-    "op9_simhash": op9_simhash,
-    "op10_token_store": op10_token_store,
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_secret_scan,
+        op3_token_counts,
+        op4_mixing,
+        op5_surrogates,
+        op6_quality,
+        op7_license_scan,
+        op8_line_spread,
+        op9_simhash,
+        op10_token_store,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+#: The others go through a tokenizer, positions of matches, iterations or keyed hashes.
+ORACLE = {
+    "op8_line_spread": f"""
+        WITH lines AS (
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                generate_subscripts(string_split(text, chr(10)), 1) AS no
+            FROM documents
+        ), wide AS (
+            SELECT line FROM lines WHERE regexp_matches(line, '{WORD}')
+            GROUP BY line HAVING count(DISTINCT coalesce('s' || source, '')) >= {line_spread.MIN_SITES}
+        ), marked AS (
+            SELECT lines.*, wide.line IS NOT NULL AS gone FROM lines LEFT JOIN wide ON lines.line = wide.line
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
+    """,
+}

@@ -3,16 +3,31 @@
 from __future__ import annotations
 
 import public_tokenizers
-from barstats.llm import queries, simhash, token_store
+from barstats.llm import decontamination, mixing, quality, queries, simhash, token_store
 from barstats.sources.scratch import new_folder
 from pyspark.sql import DataFrame, SparkSession
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weighed rules reject go."""
+    return quality.keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return simhash.drop_near_duplicates(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak an item of the benchmark go."""
+    return decontamination.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, written to a store and read back by key."""
     store = token_store.write_store(
@@ -23,7 +38,10 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
     ("token_output", token_output),
 ]
 

@@ -5,65 +5,17 @@ import itertools
 import re
 import tempfile
 import zlib
-from pathlib import Path
 
 import numpy as np
 import public_tokenizers
-import pyarrow.parquet as pq
 import pytest
 import xxhash
 from barstats.llm import queries, simhash, token_counts, token_store
+from llm_cases import CASES, documents, same
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-FOLDER = Path("/root/testdata/sf0.001")
-LONG = "Wörter und more " * 3000 + "x" * 5000
-ROWS = [
-    (1, None, "en", "a", 1),
-    (2, "", "en", None, None),
-    (None, "One two three four five.", None, "b", 3),
-    (4, "One two three four five.", "en", "b", 3),
-    (4, "One two three four five.", "en", "b", 3),
-    (4, "Something else  with\n\n two spaces ", "en", "b", 3),
-    (7, LONG, "de", "c", None),
-    (8, LONG, "de", "c", None),
-    (9, "a<|endoftext|>b <|startoftext|> İΑΣ ΣΑΣ é \x1c x ", "de", "c", None),
-    (None, None, None, None, None),
-]
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-
-
-@pytest.fixture(scope="module")
-def folders(spark, tmp_path_factory):
-    """Folders of tables: awkward rows, no rows, awkward rows with more columns, given ones."""
-    out = {}
-    for name, rows in (("awkward", ROWS), ("empty", [])):
-        out[name] = str(tmp_path_factory.mktemp(name))
-        spark.createDataFrame(rows, SCHEMA).coalesce(2).write.parquet(f"{out[name]}/documents.parquet")
-    if FOLDER.exists():
-        out["given"] = str(FOLDER)
-    for name in ("awkward", "empty"):
-        for t in ("benchmark",):
-            spark.createDataFrame(
-                [(0, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (1, None), (2, "")],
-                "item_id long, text string",
-            ).write.parquet(f"{out[name]}/{t}.parquet")
-    return out
-
-
-def documents(folder):
-    return pq.read_table(f"{folder}/documents.parquet").to_pylist()
-
-
-def same(got, want):
-    order = lambda rows: sorted(rows, key=repr)
-    assert order(got) == order(want)
-
-
-CASES = pytest.mark.parametrize("case", ["awkward", "empty", "given"])
-
-
 @CASES
 def test_secret_scan(spark, folders, case):
     patterns = {
