@@ -37,7 +37,7 @@ from barstats.sources.scratch import staged
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-CROWDED = 64
+CROWDED = 256
 _AT_ONCE = 1 << 15
 
 
@@ -104,11 +104,39 @@ def _entries_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.nd
         yield keys, fps
 
 
+class _Forest:
+    """What a task has linked so far, so that it gives no link within a connected group."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def _root(self, node: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(node, node)) != node:
+            parent[node] = node = parent[up]
+        return node
+
+    def grown_by(self, pairs: np.ndarray) -> pa.RecordBatch:
+        """Those of the links that join two groups."""
+        kept = []
+        for a, b in pairs.tolist():
+            one, two = self._root(a), self._root(b)
+            if one != two:
+                self.parent[two] = one
+                kept.append((a, b))
+        columns = [pa.array(c, pa.int64()) for c in (zip(*kept) if kept else ((), ()))]
+        return pa.RecordBatch.from_arrays(columns, schema=_LINKS)
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
 def _verify(radius: int, crowded: int):
-    """The links of each entry, and the fingerprints of crowded ones (paired with null)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Links that connect what the entries of a task connect, and the fingerprints of
+    crowded entries (paired with null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, given = _Forest(), np.zeros(0, np.int64)
         last = None  # the key of a crowded entry that may go on
         for keys, fps in _entries_in_order(batches):
             new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -117,9 +145,10 @@ def _verify(radius: int, crowded: int):
             full[0] |= keys[0] == last
             last = keys[-1] if full[-1] else None
             if full.any():
-                some = np.unique(fps[np.repeat(full, size)])
+                some = np.setdiff1d(fps[np.repeat(full, size)], given)
+                given = np.union1d(given, some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.nulls(len(some), pa.int64())], schema=schema
+                    [pa.array(some), pa.nulls(len(some), pa.int64())], schema=_LINKS
                 )
             found = []
             for n in np.unique(size[~full & (size > 1)]):
@@ -131,20 +160,16 @@ def _verify(radius: int, crowded: int):
                     near = np.bitwise_count((a ^ b).view(np.uint64)) <= radius
                     found.append(np.unique(np.stack([a[near], b[near]], 1), axis=0))
             if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema
-                )
+                yield forest.grown_by(np.unique(np.concatenate(found), axis=0))
 
     return run
 
 
 def _star(radius: int):
     """Links every fingerprint of an entry to the least; they are near by construction."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        forest, last = _Forest(), None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -157,9 +182,7 @@ def _star(radius: int):
             apart = lead != fps
             pairs = np.unique(np.stack([lead[apart], fps[apart]], 1), axis=0)
             near = np.bitwise_count((pairs[:, 0] ^ pairs[:, 1]).view(np.uint64)) <= radius
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[near, 0]), pa.array(pairs[near, 1])], schema=schema
-            )
+            yield forest.grown_by(pairs[near])
 
     return run
 
