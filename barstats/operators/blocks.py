@@ -7,17 +7,26 @@ in front of a cut are handed to the next block too (the *halo*), at least
 ``depth`` of them. A window that looks back at most ``depth`` rows therefore
 gives the same values inside a block as it would over the whole series, and
 the halo rows are dropped again afterwards. The rows themselves are shuffled
-once, by (keys, block). A series shorter than a block is never cut, and a cut
-can fall anywhere in the order (symbol, time, tie-break), so neither a hot
+once, by (keys, block). A series shorter than a block has nothing to be cut for,
+and a cut can fall anywhere in the order (symbol, time, tie-break), so neither a hot
 symbol nor a hot day nor a hot instant ends up on one task.
 
-The cut points are a scalar subquery over the sampled order columns only. Their
-number is at most ``MAX_CUTS`` by construction, whatever the size of the data.
+The cuts come from one table with a row per series and hour: its rows, counted
+map-side, and its samples. Windows run over the hours of a series, whose number
+the calendar bounds, never over its rows or samples. A halo starts at
+a sample of the cut's own hour, or at an hour with enough rows behind it, so that in sparse
+hours it is not much longer than ``depth``. The cuts are a scalar subquery, of one entry
+for every eight million rows or so.
+
+Operators one after the other share the cuts of the first, where they use the same series
+and look back no further: each of k operators reads its input once, and all of
+them the base table once more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -29,13 +38,15 @@ HALO = "_halo"
 _CUTS = "_cuts"
 _PLACE = "_place"
 
-_SEARCH_STEPS = 14
-MAX_CUTS = 2**_SEARCH_STEPS - 1
+# Binary search among up to 2 ** 24 cuts.
+_SEARCH_STEPS = 24
 
-# One row in SAMPLE_EVERY is sampled, and a block holds at least SAMPLES_PER_BLOCK
-# samples: about eight million rows.
+# One row in SAMPLE_EVERY is sampled, and a block holds SAMPLES_PER_BLOCK samples:
+# about eight million rows.
 SAMPLE_EVERY = 4096
 SAMPLES_PER_BLOCK = 2048
+# Cuts are made for at least this depth if blocks are long, to be of use to a next operator.
+SHARED_DEPTH = 64
 
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
@@ -51,42 +62,106 @@ def series_window(
     return Window.partitionBy(*keys).orderBy(ts, *tiebreak)
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Cut points as one value (a column), with what they were made for."""
+
+    series: tuple
+    depth: int
+    points: Column
+
+
+def carry_cuts(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Let a table with the same rows use the cuts of another."""
+    if cuts := getattr(source, "_series_cuts", None):
+        target._series_cuts = cuts
+    return target
+
+
+def _hour(df: DataFrame, ts: str) -> Column:
+    """Groups of neighbouring times, whatever the session's time zone; other types as they are."""
+    kind = dict(df.dtypes)[ts]
+    if kind == "timestamp":
+        return F.floor(F.unix_micros(ts) / F.lit(3_600_000_000))
+    if kind == "timestamp_ntz":
+        start = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+        return F.floor(F.expr(f"timestampdiff(MICROSECOND, {start}, `{ts}`)") / F.lit(3_600_000_000))
+    return F.col(ts)
+
+
 def _cut_points(
-    df: DataFrame, key: Column, at: Column, depth: int, every: int, per_block: int
+    df: DataFrame, key: Column, at: Column, hour: Column, depth: int, every: int, per_block: int
 ) -> DataFrame:
-    """One row, one array of ``(key, at, reach)``, sorted, at most MAX_CUTS long.
+    """One row, one array of ``(place, reach)``, sorted.
 
     A sample stands for a distinct place in the order, so ``depth`` samples in
-    front of a cut are ``depth`` rows at least: ``reach`` is where its halo starts.
+    front of a cut are ``depth`` rows at least, and so are all rows from an hour that has
+    ``depth`` rows between its start and that of the cut's: ``reach`` is where the halo starts.
     """
-    sample = (
-        df.select(key.alias("key"), at.alias("at"))
-        .where(F.pmod(F.xxhash64("key", "at"), F.lit(every)) == 0)
-        .distinct()
-    )
-    along = Window.partitionBy("key").orderBy("at")
-    candidates = (
-        sample.select(
-            "key",
-            "at",
-            F.lag("at", depth).over(along).alias("reach"),
-            (F.row_number().over(along) - 1).alias("seen"),
+    sampled = F.when(F.pmod(F.xxhash64("key", "at"), F.lit(every)) == 0, F.col("at"))
+    hours = (
+        df.select(key.alias("key"), at.alias("at"), hour.alias("hour"))
+        .groupBy("key", "hour")
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("at").alias("first"),
+            F.sort_array(F.collect_set(sampled)).alias("places"),
         )
-        .where((F.col("seen") > 0) & (F.col("seen") % per_block == 0))
-        .select(
-            F.struct(
-                F.struct("key", "at").alias("place"),
-                "reach",
-                (F.col("seen") / per_block).cast("long").alias("nth"),
-            ).alias("cut")
-        )
-        .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
     )
-    # Keep every stride-th cut of each series: at most size / stride in all.
-    stride = F.ceil(F.size("cuts") / F.lit(MAX_CUTS))
-    return candidates.select(
-        F.filter("cuts", lambda c: c["nth"] % F.greatest(stride, F.lit(1)) == 0).alias("cuts")
+    earlier = (
+        Window.partitionBy("key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    far = Window.partitionBy("key").orderBy("rows_before")
+    placed = hours.withColumns(
+        {
+            "rows_before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
+            "seen_before": F.coalesce(F.sum(F.size("places")).over(earlier), F.lit(0)),
+        }
+    ).withColumn(
+        "from_hour", F.max("first").over(far.rangeBetween(Window.unboundedPreceding, -depth))
     )
+    candidates = placed.select(
+        "key",
+        "from_hour",
+        F.expr(
+            f"inline(filter(transform(places, (p, i) -> struct(p AS at, seen_before + i AS seen,"
+            f" get(places, i - {depth}) AS near)), x -> x.seen > 0 AND x.seen % {per_block} = 0))"
+        ),
+    ).select("key", "at", F.coalesce("near", "from_hour").alias("reach"))
+    # A halo may not begin before the block in front: such a cut is left out.
+    before = F.lag("at").over(Window.partitionBy("key").orderBy("at"))
+    kept = candidates.where(F.col("reach").isNotNull()).withColumn("before", before)
+    kept = kept.where(F.col("before").isNull() | (F.col("reach") >= F.col("before")))
+    cut = F.struct(F.struct("key", "at").alias("place"), "reach")
+    return kept.agg(F.sort_array(F.collect_list(cut)).alias("cuts"))
+
+
+def _places(ts: str, partition_cols: Sequence[str], tiebreak: Sequence[str]) -> tuple[Column, Column]:
+    key = F.struct(*partition_cols) if partition_cols else F.struct(F.lit(0).alias("all"))
+    return key, F.struct(ts, *tiebreak)
+
+
+def find_cuts(
+    df: DataFrame,
+    depth: int,
+    *,
+    ts: str = TS,
+    partition_cols: Sequence[str] = (SYMBOL,),
+    tiebreak: Sequence[str] = (),
+    sample_every: int = SAMPLE_EVERY,
+    samples_per_block: int = SAMPLES_PER_BLOCK,
+) -> Cuts:
+    """Where to cut the series of a table; those of an earlier operator if they do."""
+    if depth < 0:
+        raise ValueError(f"depth must not be negative, got {depth}")
+    series = (ts, tuple(partition_cols), tuple(tiebreak), sample_every, samples_per_block)
+    known = getattr(df, "_series_cuts", None)
+    if known and known.series == series and known.depth >= depth:
+        return known
+    key, at = _places(ts, partition_cols, tiebreak)
+    depth = max(depth, 1, min(SHARED_DEPTH, sample_every * samples_per_block // 1024))
+    points = _cut_points(df, key, at, _hour(df, ts), depth, sample_every, samples_per_block)
+    return Cuts(series, depth, points.scalar())
 
 
 def split_series(
@@ -98,19 +173,25 @@ def split_series(
     tiebreak: Sequence[str] = (),
     sample_every: int = SAMPLE_EVERY,
     samples_per_block: int = SAMPLES_PER_BLOCK,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add ``_block`` and ``_halo``; halo rows appear in two blocks.
 
     ``depth`` is how many earlier rows a result may depend on. For windows over
     windows it is the sum of their look-backs.
     """
-    if depth < 0:
-        raise ValueError(f"depth must not be negative, got {depth}")
-    key = F.struct(*partition_cols) if partition_cols else F.struct(F.lit(0).alias("all"))
-    at = F.struct(ts, *tiebreak)
-    # A block is never shorter than sixteen halos, nor a halo longer than a block.
-    per_block = max(samples_per_block, 1 if sample_every == 1 else 16 * depth, depth + 1)
-    cuts = _cut_points(df, key, at, max(depth, 1), sample_every, per_block).scalar()
+    key, at = _places(ts, partition_cols, tiebreak)
+    if cuts is None:
+        cuts = find_cuts(
+            df,
+            depth,
+            ts=ts,
+            partition_cols=partition_cols,
+            tiebreak=tiebreak,
+            sample_every=sample_every,
+            samples_per_block=samples_per_block,
+        )
+    cuts = cuts.points
     place = F.struct(key.alias("key"), at.alias("at"))
     marked = df.select("*", cuts.alias(_CUTS), place.alias(_PLACE), F.lit(0).alias("_from"))
 
@@ -146,10 +227,13 @@ def merge_blocks(df: DataFrame) -> DataFrame:
 def in_blocks(
     df: DataFrame, depth: int, build: Callable[[DataFrame], DataFrame], **series
 ) -> DataFrame:
-    """Run ``build`` block-wise, unless ``df`` is cut into blocks already."""
+    """Run ``build``, which keeps the rows, block-wise, unless ``df`` is in blocks already."""
     if BLOCK in df.columns:
         return build(df)
-    return merge_blocks(build(split_series(df, depth, **series)))
+    cuts = find_cuts(df, depth, **series)
+    out = merge_blocks(build(split_series(df, depth, cuts=cuts, **series)))
+    out._series_cuts = cuts
+    return out
 
 
 def over_series(df: DataFrame, depth: int, *stages: Stage, **series) -> DataFrame:

@@ -55,9 +55,15 @@ def histogram_by_flag(
     return histogram(df, F.col(value), bins, by=flag)
 
 
-def histogram_log(df: DataFrame, value: str = "volume", edges: int = 80) -> DataFrame:
-    """Bins of equal width in log10, between ``edges`` edges, over positive values."""
-    logs = F.round(F.log10(F.col(value)), 9)
+def histogram_log(
+    df: DataFrame, value: str = "volume", edges: int = 80, digits: int | None = None
+) -> DataFrame:
+    """Bins of equal width in log10, between ``edges`` edges, over positive values.
+
+    ``digits`` rounds the logarithms, for a comparison with another engine's.
+    """
+    logs = F.log10(F.col(value))
+    logs = logs if digits is None else F.round(logs, digits)
     return histogram(df.where(F.col(value) > 0), logs, edges - 1)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barstats.functions import ratio, trading_day
-from barstats.operators.blocks import over_series
+from barstats.operators.blocks import carry_cuts, over_series
 from barstats.operators.quarantine import (
     SESSION_CLOSE_MINUTE,
     SESSION_OPEN_MINUTE,
@@ -31,7 +31,9 @@ EWMA_LAMBDA = 0.94
 
 
 def with_day(df: DataFrame, ts: str = TS) -> DataFrame:
-    return df if DAY in df.columns else df.withColumn(DAY, trading_day(F.col(ts)))
+    if DAY in df.columns:
+        return df
+    return carry_cuts(df, df.withColumn(DAY, trading_day(F.col(ts))))
 
 
 def over_days(df: DataFrame, depth: int, *stages, **series) -> DataFrame:

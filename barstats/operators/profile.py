@@ -106,7 +106,13 @@ def correlation_matrix(
     """
     places = range(len(columns))
     pairs = [(i, j) for i in places for j in places if i <= j]
-    doubles = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    # NaN is a gap, as NULL is: a pair that has one is left out.
+    doubles = df.select(
+        *[
+            F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"v{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
     means = doubles.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in places])
 
     # Expressions as text: Python would build hundreds of nodes one call at a time.

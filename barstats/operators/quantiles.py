@@ -1,12 +1,13 @@
 """Exact quantiles without gathering a group's values anywhere.
 
 Spark's own exact percentiles keep every distinct value of a group in one
-buffer. Here an order statistic is narrowed down instead: the group's range is
-cut into equal cells, the cells are counted (combined map-side), the cell that
-holds the wanted rank becomes the new range, and so on. What is left after the
-last round is counted value by value. Every round reads one column and shuffles
-at most ``CELLS`` rows per wanted rank and task, and the result is exact for any
-distribution, however many copies a value has.
+buffer. Here an order statistic is narrowed down instead: the values are counted
+by sign and power of two, the cell that holds the wanted rank becomes the new range,
+that is cut into equal cells, the cells are counted (combined map-side), and so on. What is
+left after the last round is counted value by value. Within a power of two there are 2 ** 52
+values, of which three rounds of 65,536 cells leave 16 or so. So every round reads one column
+and shuffles at most ``CELLS`` rows per wanted rank and task, whatever the distribution
+and the magnitudes, and the result is exact however many copies a value has.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = 2
-CELLS = 4096
+LEVELS = 3
+CELLS = 65_536
 
 _ALL = "_all"
 
@@ -42,6 +43,14 @@ def _cell(cells: int) -> Column:
     return F.least(F.floor(share * cells), F.lit(cells - 1).cast("long"))
 
 
+def _scale() -> Column:
+    """The sign and power of two of a value; never decreasing in the value."""
+    size = F.abs("_v")
+    power = F.when(size == float("inf"), F.lit(2000).cast("long")).otherwise(F.floor(F.log2(size)))
+    signed = F.when(F.col("_v") < 0, -(power + 1100)).otherwise(power + 1100)
+    return F.when(F.col("_v") == 0, F.lit(0).cast("long")).otherwise(signed)
+
+
 def _climb(values: DataFrame, ranges: DataFrame, series: list[str], keys: list[str], cell: Column):
     """Count the cells of each range, with the number of values up to each cell."""
     within = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
@@ -101,11 +110,11 @@ def exact_quantiles(
     # The first grid is the same for every rank of a group; from then on each rank
     # has a range of its own, and _below counts what lies under it.
     found = (
-        _climb(values, small(whole), keys, keys, _cell(cells))
+        _climb(values, small(whole), keys, keys, _scale())
         .withColumn("_rank", F.explode(ranks))
         .withColumn("_below", F.lit(0).cast("long"))
     )
-    steps = [_cell(cells)] * (levels - 1) + [F.col("_v")]
+    steps = [_cell(cells)] * levels + [F.col("_v")]
     under = F.col("_below") + F.col("_upto") - F.col("_held")
     for step in [*steps, None]:
         ranges = found.where(

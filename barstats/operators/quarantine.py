@@ -38,9 +38,15 @@ def dedupe_by_ts(
     partition_cols: Sequence[str] = (SYMBOL,),
     order: Sequence[str] = (ROW_ID,),
 ) -> DataFrame:
-    """Keep the first bar of each instant. The limit on the rank is pushed to the map side."""
-    same = Window.partitionBy(*partition_cols, ts).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").drop("_nth")
+    """Keep the first bar of each instant; a bar without a time is no instant, and stays.
+
+    The limit on the rank is pushed to the map side. Bars without a time are groups of
+    their own, so however many there are, they are spread.
+    """
+    alone = F.when(F.col(ts).isNull(), F.monotonically_increasing_id())
+    same = Window.partitionBy(*partition_cols, ts, "_alone").orderBy(*order)
+    ranked = df.withColumn("_alone", alone).withColumn("_nth", F.row_number().over(same))
+    return ranked.where("_nth = 1").drop("_nth", "_alone")
 
 
 def keeps_invariants() -> Column:
@@ -84,8 +90,12 @@ def quarantined(df: DataFrame) -> DataFrame:
     return df.where(F.col("reason").isNotNull())
 
 
-def quarantine_metrics(df: DataFrame) -> DataFrame:
-    """``reason, rows_quarantined, rows_in, rows_out``: a row per reason, used or not."""
+def quarantine_metrics(df: DataFrame, ingested: DataFrame | None = None) -> DataFrame:
+    """``reason, rows_quarantined, rows_in, rows_out``: a row per reason, used or not.
+
+    With the table before its repeated instants were dropped, ``rows_in`` counts that, and
+    ``collisions`` the bars that were dropped.
+    """
     counts = df.agg(
         F.count("*").alias("rows_in"),
         F.count_if(F.col("reason").isNull()).alias("rows_out"),
@@ -95,4 +105,11 @@ def quarantine_metrics(df: DataFrame) -> DataFrame:
         F.struct(F.lit(r).alias("reason"), F.col(f"_{r}").alias("rows_quarantined"))
         for r in REASONS
     ]
-    return counts.select("rows_in", "rows_out", F.inline(F.array(*lines)))
+    if ingested is None:
+        return counts.select("rows_in", "rows_out", F.inline(F.array(*lines)))
+    before = ingested.agg(F.count("*")).scalar()
+    counts = counts.withColumn("_before", before)
+    collisions = (F.col("_before") - F.col("rows_in")).alias("collisions")
+    return counts.select(
+        F.col("_before").alias("rows_in"), collisions, "rows_out", F.inline(F.array(*lines))
+    )

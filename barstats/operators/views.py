@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from barstats.functions import month_start
 from barstats.operators.intraday import DAY, VOL_WINDOW
 from barstats.operators.rules import LABELS
-from barstats.schema import SYMBOL, TS
+from barstats.schema import ROW_ID, SYMBOL, TS
 
 
 def intraday_returns(
-    bars: DataFrame, anomalies: DataFrame, key: Sequence[str] = (SYMBOL, TS)
+    bars: DataFrame, anomalies: DataFrame, key: Sequence[str] = (ROW_ID, SYMBOL, TS)
 ) -> DataFrame:
-    """Bars with the row of the anomaly table for the same symbol and instant.
+    """Bars with the row of the anomaly table for the same bar.
 
+    The row id is part of the key: a symbol may have several bars at an instant.
     Both sides have a row per bar, so the join is left to Spark: a sort-merge join
     on a near-unique key, which skew on the symbol alone does not upset.
     """

@@ -92,6 +92,33 @@ def flagship_query(spark, folder):
 
 QUERIES["flagship"] = QUERIES.pop("flagship_query")
 
+# Blocks of about a hundred rows: short enough for the series of these tables to be cut.
+SMALL_BLOCKS = {"sample_every": 4, "samples_per_block": 24}
+
+
+@query
+def flagship_blocks(spark, folder):
+    """The whole chain with every series in many blocks."""
+    out = flagship(raw_bars(spark, folder), EXACT, **BY_ROW, **SMALL_BLOCKS)
+    return rounded(out, "average", *MEASURES).select(*ENRICHED_COLUMNS)
+
+
+@query
+def rolling_stats_blocks(spark, folder):
+    ticks = ticks_from_events(spark, folder)
+    out = rolling.add_rolling_stats(ticks, "close", 20, **BY_ROW, **SMALL_BLOCKS)
+    return rounded(out, *ROLLED).select(*KEY, *ROLLED)
+
+
+@query
+def rolling_return_stats_blocks(spark, folder):
+    """Day-scoped windows in blocks."""
+    out = intraday.add_rolling_return_stats(
+        ticks_from_events(spark, folder), **BY_ROW, sample_every=1, samples_per_block=25
+    )
+    names = ("rolling_mean_return_20", "rolling_std_return_20")
+    return rounded(out, *names).select(*KEY, *names)
+
 
 @query
 def flagship_series(spark, folder):
@@ -447,13 +474,13 @@ def hist_close_by_iqr(spark, folder):
 
 @query
 def hist_numeric(spark, folder):
-    bars = clean_bars(spark, folder).select(*RAW_COLUMNS).drop("average")
+    bars = rounded(clean_bars(spark, folder).select(*RAW_COLUMNS), "average")
     return rounded(histograms.histogram_numeric(bars), "lower", "upper")
 
 
 @query
 def hist_log_volume(spark, folder):
-    out = histograms.histogram_log(bars_from_events(spark, folder))
+    out = histograms.histogram_log(bars_from_events(spark, folder), digits=9)
     return rounded(out, "lower", "upper")
 
 
@@ -533,14 +560,16 @@ def quarantine(spark, folder):
 
 @query
 def quarantine_metrics(spark, folder):
-    return q.quarantine_metrics(judged(spark, folder))
+    return q.quarantine_metrics(judged(spark, folder), dirty_bars(spark, folder))
 
 
 @query
 def sink_quarantine(spark, folder):
     path = new_folder(spark, "quarantine")
     layout.write_quarantine(q.quarantined(judged(spark, folder)), path)
-    return read_enriched(path, spark).groupBy(DAY, "reason").agg(F.count("*").alias("bars"))
+    return read_enriched(path, spark).select(
+        DAY, "row_index", SYMBOL, TS, "open", "high", "low", "close", "volume", "reason"
+    )
 
 
 # --- inside the day ---------------------------------------------------------------
@@ -619,14 +648,14 @@ def anomaly_rules(spark, folder):
 def intraday_returns(spark, folder):
     ticks = ticks_from_events(spark, folder)
     bars = intraday.add_log_return(ticks, **BY_ROW).select(*KEY, "close", "log_return")
-    flags = labelled(spark, folder).select(SYMBOL, TS, "close", "anomaly_label", "anomaly_score")
-    out = views.intraday_returns(bars, flags)
+    flags = labelled(spark, folder).select(*KEY, "close", "anomaly_label", "anomaly_score")
+    out = views.intraday_returns(bars, flags, key=KEY)
     return rounded(out, "log_return", "anomaly_score")
 
 
 @query
 def daily_summary(spark, folder):
-    out = views.daily_summary(labelled(spark, folder))
+    out = views.daily_summary(labelled(spark, folder), tiebreak=("row_index",))
     return rounded(out, "avg_realized_vol")
 
 
@@ -664,30 +693,54 @@ def run_compare(spark, folder):
 
 @query
 def stream_ingest(spark, folder):
-    """Raw bars arrive in two batches of files; the second run goes on from the first."""
+    """Raw bars arrive in two batches of files; the second run goes on from the first.
+
+    Every fifth bar comes twice in its batch, and every third of the first once more in the second.
+    """
     incoming, lake = new_folder(spark, "incoming"), new_folder(spark, "lake")
     checkpoint = new_folder(spark, "checkpoint")
     bars = bars_from_events(spark, folder)
     early = F.col(TS) < F.lit("2024-01-16").cast("timestamp_ntz")
-    for part in (bars.where(early), bars.where(~early)):
+    again = bars.where(early & (F.col("row_index") % 3 == 0))
+    twice = bars.where(F.col("row_index") % 5 == 0)
+    for part in (
+        bars.where(early).unionByName(twice.where(early)),
+        bars.where(~early).unionByName(twice.where(~early)).unionByName(again),
+    ):
         as_raw(part).write.mode("append").option("header", True).csv(incoming)
         arriving = clean_stream(stream_raw_csv(spark, incoming))
         ingest_available(arriving, lake, checkpoint).awaitTermination()
-    return rounded(read_enriched(lake, spark), "average")
+    return rounded(read_enriched(lake, spark).drop(DAY), "average")
 
 
 @query
 def stream_zscore(spark, folder):
-    """Events arrive in three batches; scores carry on across them and across restarts."""
+    """Events arrive in three batches; scores carry on across them and across restarts.
+
+    Half of the events of three hours come a batch early, which the delay bears; some events
+    have lost their time, and are set aside.
+    """
     incoming, checkpoint = new_folder(spark, "incoming"), new_folder(spark, "checkpoint")
     scores = ZScoreStream(
-        output=new_folder(spark, "scores"), state=new_folder(spark, "state"), **BY_ROW
+        output=new_folder(spark, "scores"), state=new_folder(spark, "state"), delay="6 hours", **BY_ROW
     )
     ticks = ticks_from_events(spark, folder).select(*KEY, "close")
-    at = F.col(TS)
-    first, second = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
-    for part in (at < first, (at >= first) & (at < second), at >= second):
-        ticks.where(part).write.mode("append").parquet(incoming)
+    at, odd = F.col(TS), F.col("row_index") % 2 == 1
+    first, soon, second = (
+        F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-11 03:00:00", "2024-01-21")
+    )
+    early = (at < first) | ((at < soon) & odd)
+    lost = ticks.where("row_index % 97 = 0").withColumn(TS, F.lit(None).cast("timestamp_ntz"))
+    for part in (
+        ticks.where(early),
+        ticks.where(~early & (at < second)).unionByName(lost),
+        ticks.where(at >= second),
+    ):
+        part.write.mode("append").parquet(incoming)
         arriving = spark.readStream.schema(ticks.schema).parquet(incoming)
         scores.start(arriving, checkpoint).awaitTermination()
-    return rounded(scores.read(spark), Z).select(*KEY, Z, Z_FLAG)
+    scores.finish(spark)
+    aside = scores.read_rejects(spark).select(
+        *KEY, F.lit(None).cast("double").alias(Z), F.lit(None).cast("boolean").alias(Z_FLAG)
+    )
+    return rounded(scores.read(spark), Z).select(*KEY, Z, Z_FLAG).unionByName(aside)

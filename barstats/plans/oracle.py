@@ -21,15 +21,15 @@ _CTES = {
     "ev": """SELECT event_id, ts, event_type, value,
         CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events""",
     "bars": """SELECT min(event_id) AS row_index, date_trunc('hour', ts) AS date,
-        arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-        arg_max(value, ts) AS close, CAST(sum(k) AS BIGINT) AS volume, count(*) AS barCount,
+        arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+        arg_max(value, (ts, event_id)) AS close, CAST(sum(k) AS BIGINT) AS volume, count(*) AS barCount,
         sum(value * k) / nullif(CAST(sum(k) AS DOUBLE), 0) AS average, event_type AS symbol
         FROM ev GROUP BY event_type, date_trunc('hour', ts)""",
     "good": "SELECT * FROM bars WHERE average IS NOT NULL",
     "ticks": """SELECT event_id AS row_index, ts AS date, value AS open, value AS high,
         value AS low, value AS close, k AS volume, CAST(1 AS BIGINT) AS barCount,
         value AS average, event_type AS symbol FROM ev""",
-    "dirty1": """SELECT row_index, date, open,
+    "dirty1": """SELECT row_index, CASE WHEN row_index % 47 <> 0 THEN date END AS date, open,
         CASE WHEN row_index % 51 = 0 THEN low - 1 ELSE high END AS high, low,
         CASE WHEN row_index % 50 <> 0 THEN close END AS close,
         CASE WHEN row_index % 53 = 0 THEN -1 - volume ELSE volume END AS volume,
@@ -117,7 +117,7 @@ def _labelled(return_threshold: float = 3.0, volume_threshold: float = 3.0) -> s
 _CTES["labelled"] = _labelled()
 _CTES["labelled_loose"] = _labelled(2.0, 2.0)
 _CTES["judged"] = """SELECT row_index, symbol, date, open, high, low, close, volume, CASE
-      WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL
+      WHEN date IS NULL THEN 'bad_timestamp' WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL
         THEN 'null_ohlcv'
       WHEN NOT (high >= open AND high >= close AND low <= open AND low <= close AND high >= low
         AND open > 0 AND high > 0 AND low > 0 AND close > 0) THEN 'ohlc_invariant'
@@ -125,7 +125,7 @@ _CTES["judged"] = """SELECT row_index, symbol, date, open, high, low, close, vol
       WHEN NOT (hour(date) * 60 + minute(date) BETWEEN 570 AND 959) THEN 'extended_hours'
     END AS reason
   FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY row_index) AS nth FROM dirty)
-  WHERE nth = 1"""
+  WHERE nth = 1 OR date IS NULL"""
 
 _USES.update({
     "rolled_ticks": ("ticks",), "pooled_ticks": ("ticks",), "rolled_bars": ("bars",),
@@ -224,7 +224,8 @@ oracle(
 )
 oracle(
     "clean_dropna",
-    f"SELECT {BAR} FROM dirty WHERE close IS NOT NULL AND average IS NOT NULL",
+    f"""SELECT {BAR} FROM dirty
+    WHERE date IS NOT NULL AND close IS NOT NULL AND average IS NOT NULL""",
     "dirty",
 )
 oracle(
@@ -265,7 +266,12 @@ oracle(
     f"SELECT {KEY}, close, {r('close_zscore_20')}, close_zscore_anomaly_20 FROM rolled_bars",
     "rolled_bars",
 )
-oracle("stream_zscore", f"{_SCORED}, close_zscore_anomaly_20 FROM rolled_ticks", "rolled_ticks")
+oracle(
+    "stream_zscore",
+    f"""{_SCORED}, close_zscore_anomaly_20 FROM rolled_ticks UNION ALL
+    SELECT row_index, symbol, NULL, NULL, NULL FROM ticks WHERE row_index % 97 = 0""",
+    "rolled_ticks",
+)
 oracle("stream_ingest", f"SELECT {BAR} FROM good", "good")
 oracle("iqr_bounds", f"SELECT {rs('lower', 'upper')} FROM tick_fences", "tick_fences")
 oracle(
@@ -387,9 +393,6 @@ histogram_oracle(
     "SELECT close_iqr_anomaly, close AS x FROM enriched WHERE close_iqr_anomaly IS NOT NULL",
     80, "close_iqr_anomaly", "enriched",
 )
-_BAR_NUMBERS = [c for c in NUMERIC_COLUMNS if c != "average"]
-
-
 def _melted(columns, source: str, value: str = "x") -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST({c} AS DOUBLE) AS {value} FROM {source}"""
@@ -397,7 +400,11 @@ def _melted(columns, source: str, value: str = "x") -> str:
     )
 
 
-histogram_oracle("hist_numeric", _melted(_BAR_NUMBERS, "good"), 10, '"column"', "good")
+histogram_oracle(
+    "hist_numeric",
+    _melted(NUMERIC_COLUMNS, f"(SELECT * REPLACE ({r('average')}) FROM good)"),
+    10, '"column"', "good",
+)
 histogram_oracle(
     "hist_log_volume",
     "SELECT 0 AS _all, round(log10(volume), 9) AS x FROM bars WHERE volume > 0",
@@ -496,7 +503,8 @@ oracle("quarantine", "SELECT * FROM judged", "judged")
 oracle(
     "quarantine_metrics",
     """SELECT reason, (SELECT count(*) FROM judged j WHERE j.reason = n.reason)
-      AS rows_quarantined, (SELECT count(*) FROM judged) AS rows_in,
+      AS rows_quarantined, (SELECT count(*) FROM dirty) AS rows_in,
+      (SELECT count(*) FROM dirty) - (SELECT count(*) FROM judged) AS collisions,
       (SELECT count(*) FROM judged WHERE reason IS NULL) AS rows_out
     FROM (VALUES ('bad_timestamp'), ('null_ohlcv'), ('ohlc_invariant'), ('negative_count'),
       ('extended_hours')) n(reason)""",
@@ -504,7 +512,8 @@ oracle(
 )
 oracle(
     "sink_quarantine",
-    f"SELECT {DAY}, reason, count(*) AS bars FROM judged WHERE reason IS NOT NULL GROUP BY 1, 2",
+    f"""SELECT {DAY}, row_index, symbol, date, open, high, low, close, volume, reason FROM judged
+    WHERE reason IS NOT NULL""",
     "judged",
 )
 
@@ -555,13 +564,14 @@ oracle(
     "intraday_returns",
     f"""SELECT b.symbol, b.date, b.row_index, b.close, {r('b.log_return', 'log_return')},
       a.anomaly_label, {r('a.anomaly_score', 'anomaly_score')}
-    FROM day2 b JOIN labelled a ON a.symbol = b.symbol AND a.date = b.date""",
+    FROM day2 b JOIN labelled a
+      ON a.symbol = b.symbol AND a.date = b.date AND a.row_index = b.row_index""",
     "labelled",
 )
 oracle(
     "daily_summary",
-    f"""SELECT symbol, trading_day, arg_min(open, date) AS open, max(high) AS high,
-      min(low) AS low, arg_max(close, date) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+    f"""SELECT symbol, trading_day, arg_min(open, (date, row_index)) AS open, max(high) AS high,
+      min(low) AS low, arg_max(close, (date, row_index)) AS close, CAST(sum(volume) AS BIGINT) AS volume,
       {r('avg(realized_vol_60)', 'avg_realized_vol')}, """
     + ", ".join(
         f"count_if(anomaly_label = '{n}') AS {n}_bars"
@@ -604,3 +614,8 @@ oracle(
       UNION ALL SELECT *, 'loose' FROM labelled_loose) GROUP BY run_id""",
     "labelled", "labelled_loose",
 )
+
+# The same results, whatever the blocks.
+ORACLE["flagship_blocks"] = ORACLE["flagship"]
+ORACLE["rolling_stats_blocks"] = ORACLE["rolling_stats"]
+ORACLE["rolling_return_stats_blocks"] = ORACLE["rolling_return_stats"]

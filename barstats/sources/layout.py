@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstats.functions import trading_day
@@ -19,6 +20,26 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, if there is one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def check_schema(df: DataFrame, path: str) -> None:
+    """Refuse to add to a table of other columns or types. There may be none yet."""
+    there = existing(df.sparkSession, path)
+    if there is None:
+        return
+    has = {n: t for n, t in there.dtypes if n != DAY}
+    gets = {n: t for n, t in df.dtypes if n != DAY}
+    if has != gets:
+        odd = sorted(n for n in {*has, *gets} if has.get(n) != gets.get(n))
+        raise ValueError(f"{path} has other columns or types: {', '.join(odd)}")
+
+
 def load_table(
     df: DataFrame,
     path: str,
@@ -34,10 +55,13 @@ def load_table(
     a crowded one, so no day is written by one task for its size. Day folders serve
     partition pruning; the sort gives row groups a narrow range of the clustering
     columns. Either can be turned off with ``None``. ``only_days_written`` replaces
-    the days that ``df`` has and leaves the others alone.
+    the days that ``df`` has and leaves the others alone. Rows of another schema are not
+    added to a table.
     """
     if only_days_written and (mode != "overwrite" or not partition_field):
         raise ValueError("replacing single days needs mode='overwrite' and a partition field")
+    if mode == "append" or only_days_written:
+        check_schema(df, path)
     order = list(clustering_fields or ())
     if partition_field:
         df = df.withColumn(DAY, trading_day(F.col(partition_field))).hint("rebalance", DAY)

@@ -20,17 +20,17 @@ def _size() -> Column:
 def bars_from_events(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly bars per event type, one row index per bar: its first event's id.
 
-    No two events have the same time, so the time alone says which is first; as a
-    plain value it keeps the aggregation hashed, which an ordering struct would not.
+    Events of one time are in the order of their ids.
     """
+    order = F.struct("ts", "event_id")
     sized = table(spark, folder, "events").withColumn("_k", _size())
     hour = wall_clock(F.date_trunc("hour", "ts"))
     bars = sized.groupBy(F.col("event_type").alias(SYMBOL), hour.alias(TS)).agg(
         F.min("event_id").alias("row_index"),
-        F.min_by("value", "ts").alias("open"),
+        F.min_by("value", order).alias("open"),
         F.max("value").alias("high"),
         F.min("value").alias("low"),
-        F.max_by("value", "ts").alias("close"),
+        F.max_by("value", order).alias("close"),
         F.sum("_k").alias("volume"),
         F.count("*").alias("barCount"),
         ratio(F.sum(F.col("value") * F.col("_k")), F.sum("_k").cast("double")).alias("average"),
@@ -48,10 +48,11 @@ def raw_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars with planted faults: gaps, a broken range, negative volumes, repeats."""
+    """Bars with planted faults: lost times, gaps, a broken range, negative volumes, repeats."""
     i = F.col("row_index")
     bars = bars_from_events(spark, folder).withColumns(
         {
+            TS: F.when(i % 47 != 0, F.col(TS)),
             "close": F.when(i % 50 != 0, F.col("close")),
             "high": F.when(i % 51 == 0, F.col("low") - 1).otherwise(F.col("high")),
             "volume": F.when(i % 53 == 0, -1 - F.col("volume")).otherwise(F.col("volume")),

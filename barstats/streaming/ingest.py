@@ -1,13 +1,16 @@
-"""Bars arriving as files, appended to the Parquet lake."""
+"""Bars arriving as files, added to the Parquet lake by day, each once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from barstats.operators.clean import drop_incomplete, parse_time
-from barstats.schema import KEYED_SCHEMA
+from barstats.functions import trading_day
+from barstats.schema import KEYED_SCHEMA, TS
+from barstats.sources.layout import DAY, existing, load_table
 
 
 def stream_raw_csv(
@@ -28,12 +31,31 @@ def clean_stream(raw: DataFrame) -> DataFrame:
     return raw.transform(parse_time).transform(drop_incomplete)
 
 
+def add_new_bars(bars: DataFrame, lake: str, ts: str = TS) -> None:
+    """Add the bars that the lake does not have yet, without repeats, to their days.
+
+    Only the days between the first and the last of the bars are looked at. Rows that were
+    added before are left out, so a batch that is run again adds nothing twice.
+    """
+    spark = bars.sparkSession
+    fresh = bars.dropDuplicates()
+    first, last = bars.agg(F.min(trading_day(F.col(ts))), F.max(trading_day(F.col(ts)))).first()
+    if first is None:
+        return
+    if (there := existing(spark, lake)) is not None:
+        there = there.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+        same = None
+        for c in bars.columns:
+            equal = fresh[c].eqNullSafe(there[c])
+            same = equal if same is None else same & equal
+        fresh = fresh.join(there, same, "left_anti")
+    load_table(fresh, lake, "append", partition_field=ts)
+
+
 def ingest_available(bars: DataFrame, lake: str, checkpoint: str) -> StreamingQuery:
-    """Append everything that has arrived, exactly once, and stop."""
+    """Add everything that has arrived to the table by day, and stop."""
     return (
-        bars.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", lake)
+        bars.writeStream.foreachBatch(lambda batch, _: add_new_bars(batch, lake))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

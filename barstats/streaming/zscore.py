@@ -8,7 +8,8 @@ and are put in front of the next batch. A crowded symbol is cut into blocks ther
 as anywhere else, and no Python runs per row.
 
 A batch that is run again after a failure reads the same state and overwrites the
-same output folder, so every bar comes out exactly once.
+same output folder, so every bar comes out exactly once. No bar is lost: one without a
+time, and one that comes too late for its windows, is set aside with a reason.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ class ZScoreStream:
     """``delay`` is an interval: how long a bar may come after a later one.
 
     Bars are scored in the order of their time. One at or before the watermark
-    (the latest time seen, less the delay) when it arrives is late and dropped:
-    the windows it belongs to have gone out.
+    (the latest time seen, less the delay) when it arrives is late: the windows it
+    belongs to have gone out. Late bars, and bars without a time, go to the table of
+    rejects. With a delay the last bars wait for newer ones, or for :meth:`finish`.
     """
 
     output: str
@@ -52,40 +54,46 @@ class ZScoreStream:
         # Two places in turn: a batch never writes where it reads.
         return f"{self.state}/slot={epoch % 2}"
 
+    @property
+    def _rejects(self) -> str:
+        return f"{self.output}-rejects"
+
     def _earlier(self, batch: DataFrame, epoch: int) -> DataFrame | None:
         if epoch == 0:
             return None
         return batch.sparkSession.read.parquet(self._state_of(epoch - 1))
 
     def process(self, batch: DataFrame, epoch: int) -> None:
+        """Score what a batch completes. Its source is read once."""
+        batch = batch.persist()
+        try:
+            self._process(batch, epoch)
+        finally:
+            batch.unpersist()
+
+    def _process(self, batch: DataFrame, epoch: int) -> None:
         columns = batch.columns
         at = F.col(self.ts)
-        fresh = batch.withColumn(_DONE, F.lit(False))
+        timed = batch.where(at.isNotNull())
+        rejects = batch.where(at.isNull()).withColumn("reason", F.lit("bad_timestamp"))
+        fresh = timed.withColumn(_DONE, F.lit(False))
         earlier = self._earlier(batch, epoch)
         rows = fresh
         before = F.lit(None).cast("timestamp_ntz")
         if earlier is not None:
             # The watermark travels with the rows it was computed for: one value.
             before = earlier.agg(F.max(_SEEN_TO)).scalar()
-            on_time = fresh.withColumn("_before", before).where(
-                F.col("_before").isNull() | (at > F.col("_before"))
-            )
+            known = fresh.withColumn("_before", before)
+            in_time = F.col("_before").isNull() | (at > F.col("_before"))
+            on_time, late = known.where(in_time), known.where(~in_time)
+            late = late.select(*columns).withColumn("reason", F.lit("late"))
+            rejects = rejects.unionByName(late)
             rows = earlier.select(*columns, _DONE).unionByName(on_time.select(*columns, _DONE))
-        newest = batch.agg((F.max(self.ts) - F.expr(f"interval {self.delay}"))).scalar()
+        rejects.write.mode("overwrite").parquet(f"{self._rejects}/{EPOCH}={epoch}")
+        newest = timed.agg((F.max(self.ts) - F.expr(f"interval {self.delay}"))).scalar()
         marked = rows.withColumn(_SEEN_TO, F.greatest(before, newest))
         ready = marked.where(F.col(_DONE) | (at <= F.col(_SEEN_TO)))
-
-        scored = add_rolling_stats(
-            ready,
-            self.column,
-            self.window,
-            ts=self.ts,
-            partition_cols=self.partition_cols,
-            tiebreak=self.tiebreak,
-        )
-        detect_zscore_anomalies(scored, self.column, self.window, self.threshold).where(
-            ~F.col(_DONE)
-        ).drop(_DONE, _SEEN_TO).write.mode("overwrite").parquet(f"{self.output}/{EPOCH}={epoch}")
+        self._score(ready, epoch)
 
         # The limit on the rank is pushed to the map side: a few rows per series leave a task.
         newest_first = Window.partitionBy(*self.partition_cols).orderBy(
@@ -100,6 +108,31 @@ class ZScoreStream:
         ahead = marked.where(~F.col(_DONE) & (at > F.col(_SEEN_TO)))
         tails.unionByName(ahead).write.mode("overwrite").parquet(self._state_of(epoch))
 
+    def _score(self, ready: DataFrame, epoch: int) -> None:
+        scored = add_rolling_stats(
+            ready,
+            self.column,
+            self.window,
+            ts=self.ts,
+            partition_cols=self.partition_cols,
+            tiebreak=self.tiebreak,
+        )
+        detect_zscore_anomalies(scored, self.column, self.window, self.threshold).where(
+            ~F.col(_DONE)
+        ).drop(_DONE, _SEEN_TO).write.mode("overwrite").parquet(f"{self.output}/{EPOCH}={epoch}")
+
+    def finish(self, spark: SparkSession) -> None:
+        """Score the bars that still wait for newer ones. The stream has ended with them.
+
+        Doing it again gives the same; going on after it needs a new state and checkpoint.
+        """
+        self._score(spark.read.parquet(self._state_of(self._last_epoch(spark))), -1)
+
+    def _last_epoch(self, spark: SparkSession) -> int:
+        root = spark._jvm.org.apache.hadoop.fs.Path(self._rejects)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+        return max(int(f.getPath().getName().partition("=")[2]) for f in files)
+
     def start(self, bars: DataFrame, checkpoint: str) -> StreamingQuery:
         """Score everything that has arrived, and stop. Start again to go on."""
         return (
@@ -112,3 +145,7 @@ class ZScoreStream:
     def read(self, spark: SparkSession) -> DataFrame:
         """The bars scored so far."""
         return spark.read.parquet(self.output).drop(EPOCH)
+
+    def read_rejects(self, spark: SparkSession) -> DataFrame:
+        """The bars set aside so far, with a reason."""
+        return spark.read.parquet(self._rejects).drop(EPOCH)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barstats.operators.blocks import BLOCK, HALO, MAX_CUTS, merge_blocks, over_series, split_series
+from barstats.operators.blocks import BLOCK, HALO, merge_blocks, over_series, split_series
 from barstats.operators.intraday import DAY_KEYS, add_vol_regime, with_day
 from helpers import plain_window, random_series, same_rows
 
@@ -81,19 +81,41 @@ def test_missing_times_and_symbols_are_kept(spark):
     assert same_rows(over_series(bars, 6, stage, **SMALL), want)
 
 
-def test_number_of_cuts_is_bounded(bars, monkeypatch):
-    from barstats.operators import blocks
-
-    monkeypatch.setattr(blocks, "MAX_CUTS", 7)
-    parts = split_series(bars, 1, sample_every=1, samples_per_block=4, tiebreak=("row_index",))
-    cuts = parts.select("symbol", BLOCK).distinct().count() - bars.select("symbol").distinct().count()
-    assert 0 < cuts <= 7 < MAX_CUTS
-    want = bars.withColumn("prev", F.lag("close").over(plain_window("symbol")))
-    got = over_series(
-        bars, 1, lambda w: {"prev": F.lag("close").over(w)},
-        sample_every=1, samples_per_block=4, tiebreak=("row_index",),
+def test_many_cuts_and_look_backs_longer_than_a_block(bars):
+    small = {"sample_every": 1, "samples_per_block": 4, "tiebreak": ("row_index",)}
+    assert split_series(bars, 1, **small).select("symbol", BLOCK).distinct().count() > 500
+    for depth in (1, 40, 5000):
+        want = bars.withColumn("prev", F.lag("close", depth).over(plain_window("symbol")))
+        got = over_series(bars, depth, lambda w, d=depth: {"prev": F.lag("close", d).over(w)}, **small)
+        assert same_rows(got, want)
+
+
+def test_a_deep_look_back_does_not_need_long_blocks(spark):
+    bars = random_series(spark, 20_000).withColumn("symbol", F.lit("one"))
+    parts = split_series(bars, 100, sample_every=10, samples_per_block=100, tiebreak=("row_index",))
+    sizes = [r["n"] for r in parts.groupBy(BLOCK).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 5000
+
+
+def test_chained_operators_share_the_cuts(spark, tmp_path):
+    random_series(spark, 500).write.parquet(str(tmp_path / "bars"))
+    out = spark.read.parquet(str(tmp_path / "bars"))
+    for k in range(1, 5):
+        out = over_series(out, 1, lambda w, k=k: {f"prev{k}": F.lag("close").over(w)}, tiebreak=("row_index",))
+        plan = out._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+        scans = out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+        assert plan == 1 and scans <= k + 1
+    whole = plain_window("symbol")
+    want = spark.read.parquet(str(tmp_path / "bars")).withColumns(
+        {f"prev{k}": F.lag("close").over(whole) for k in range(1, 5)}
     )
-    assert same_rows(got, want)
+    assert same_rows(out, want)
+
+
+def test_no_window_runs_over_the_rows_of_a_series(bars):
+    parts = split_series(bars, 6, **SMALL)
+    plan = parts._jdf.queryExecution().optimizedPlan().treeString()
+    assert "Window" not in plan.split("scalar-subquery")[0]
 
 
 def test_windows_over_windows_need_the_sum_of_their_depths(spark):

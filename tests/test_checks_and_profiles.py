@@ -129,3 +129,20 @@ def test_return_distribution(spark):
     row = profile.return_distribution(series(spark, [1.0, 2.0, 3.0, 4.0, None]), "close").first()
     assert row["n"] == 4 and row["skewness"] == pytest.approx(0)
     assert row["jarque_bera"] == pytest.approx(4 / 6 * row["excess_kurtosis"] ** 2 / 4)
+
+
+def test_correlation_leaves_out_pairs_with_nan(spark):
+    rows = [(1.0, 2.0), (2.0, 4.1), (3.0, float("nan")), (4.0, 8.3), (None, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = {(r["a"], r["b"]): r["corr"] for r in profile.correlation_matrix(df, ["a", "b"]).collect()}
+    full = df.where("a IS NOT NULL AND NOT isnan(b)")
+    assert got["a", "b"] == pytest.approx(full.stat.corr("a", "b"))
+    assert got["a", "a"] == pytest.approx(1.0) and got["b", "b"] == pytest.approx(1.0)
+
+
+def test_log_bins_are_not_rounded_unless_asked(spark):
+    df = spark.createDataFrame([(1,), (7,), (1000,)], "volume long")
+    top = histograms.histogram_log(df, edges=4).agg(F.max("upper")).first()[0]
+    assert top == pytest.approx(3.0)
+    rough = histograms.histogram_log(df.where("volume < 10"), edges=4, digits=1)
+    assert rough.agg(F.max("upper")).first()[0] == pytest.approx(0.8)

@@ -67,3 +67,15 @@ def test_no_values_no_row(spark):
 def test_at_least_one_level(spark):
     with pytest.raises(ValueError):
         exact_quantiles(table(spark, [1.0]), "x", (0.5,), levels=0)
+
+
+def test_values_of_all_magnitudes(spark):
+    rows = [float(i) / 5000 for i in range(5000)] + [1e300, -1e150, 5e-324, -5e-324, 0.0, -0.0]
+    rows += [float("inf"), float("-inf")] + [10.0**k for k in range(-300, 300, 7)] + [-(3.0**k) for k in range(50)]
+    df = spark.createDataFrame([(x,) for x in rows], "x double")
+    probs = (0.0, 0.001, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0)
+    for options in ({}, {"levels": 1, "cells": 2}):
+        got = exact_quantiles(df, "x", probs, **options).first()
+        ordered = sorted(rows)
+        want = [ordered[max(math.ceil(p * len(rows)), 1) - 1] for p in probs]
+        assert got["n"] == len(rows) and list(got["quantiles"]) == want

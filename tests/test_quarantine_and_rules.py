@@ -7,7 +7,7 @@ from barstats.operators import quarantine as q
 from barstats.operators.clean import parse_time
 from barstats.operators.intraday import add_ewma_vol, add_log_return, add_realized_vol, add_session_features
 from barstats.operators.rules import Rules, apply_rules
-from barstats.operators.views import anomalies_ranked
+from barstats.operators.views import anomalies_ranked, intraday_returns
 from helpers import column, series
 from test_clean import GOOD, bar, raw
 
@@ -55,6 +55,26 @@ def test_the_first_bar_of_an_instant_stays(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_bars_without_a_time_are_all_kept_and_counted(spark):
+    rows = [bar(row_index=i, date="oops") for i in range(3)] + [bar(row_index=i) for i in (5, 6)]
+    bars = parse_time(raw(spark, *rows)).withColumn("symbol", F.lit("S"))
+    kept = q.dedupe_by_ts(bars)
+    assert column(kept, "row_index", "row_index") == [0, 1, 2, 5]
+    out = q.quarantine_metrics(q.add_reason(kept), bars).collect()
+    assert {r["reason"]: r["rows_quarantined"] for r in out}["bad_timestamp"] == 3
+    assert {(r["rows_in"], r["collisions"], r["rows_out"]) for r in out} == {(5, 1, 1)}
+
+
+def test_repeated_instants_do_not_multiply_bars(spark):
+    times = [datetime(2020, 1, 2, 9, 30)] * 2 + [datetime(2020, 1, 2, 9, 31)]
+    bars = spark.createDataFrame(
+        [(i, "S", t, float(i), float(-i)) for i, t in enumerate(times)],
+        "row_index long, symbol string, date timestamp_ntz, close double, log_return double",
+    )
+    flags = bars.select("row_index", "symbol", "date", F.lit("none").alias("anomaly_label"))
+    assert intraday_returns(bars, flags).count() == 3
+
+
 def test_normalised_names(spark):
     out = q.ingest_normalise(raw(spark, GOOD))
     assert {"timestamp", "bar_count", "trading_day"} <= set(out.columns)

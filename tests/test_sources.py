@@ -111,3 +111,18 @@ def test_layout_can_be_turned_off(spark, bars, tmp_path):
 def test_scratch_is_the_sessions_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_rows_of_another_schema_are_not_added(spark, tmp_path):
+    path = str(tmp_path / "table")
+    bars = spark.createDataFrame([("S", 1.0)], "symbol string, close double").withColumn(
+        "date", F.lit("2020-01-02 09:30:00").cast("timestamp_ntz")
+    )
+    layout.load_table(bars, path, "append")
+    layout.load_table(bars, path, "append")
+    for odd in (bars.withColumn("close", F.lit("x")), bars.withColumn("more", F.lit(1)), bars.drop("close")):
+        with pytest.raises(ValueError, match="other columns or types"):
+            layout.load_table(odd, path, "append")
+    with pytest.raises(ValueError):
+        layout.load_table(bars.drop("close"), path, "overwrite", only_days_written=True)
+    assert spark.read.parquet(path).count() == 2

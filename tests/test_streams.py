@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barstats.operators.rolling import add_rolling_stats
 from barstats.operators.zscore import detect_zscore_anomalies
+from barstats.streaming.ingest import add_new_bars
 from barstats.streaming.zscore import ZScoreStream
 from helpers import START, random_series, same_rows, series
 
@@ -36,12 +37,13 @@ def test_batches_in_order_give_the_batch_result(spark, stream):
     assert same_rows(scores.read(spark).select(batch_result(bars).columns), batch_result(bars))
 
 
-def test_late_bars_are_dropped(spark, stream):
+def test_late_bars_are_set_aside(spark, stream):
     bars = series(spark, [1.0, 2.0, 4.0, 8.0])
     scores = stream()
     scores.process(bars.where("row_index in (0, 2)"), 0)
     scores.process(bars.where("row_index in (1, 3)"), 1)
     assert sorted(r["row_index"] for r in scores.read(spark).collect()) == [0, 2, 3]
+    assert [(r["row_index"], r["reason"]) for r in scores.read_rejects(spark).collect()] == [(1, "late")]
 
 
 def test_a_delay_waits_for_bars_out_of_order(spark, stream):
@@ -56,6 +58,30 @@ def test_a_delay_waits_for_bars_out_of_order(spark, stream):
     assert same_rows(got.select(batch_result(bars).columns), batch_result(bars))
 
 
+def test_finish_scores_what_waits_and_rejects_are_kept(spark, stream):
+    bars = series(spark, [1.0, 2.0, 4.0, 8.0, 16.0])
+    lost = bars.where("row_index = 3").withColumn("date", F.lit(None).cast("timestamp_ntz"))
+    scores = stream(delay="1 hour")
+    scores.process(bars.where("row_index in (0, 2)").unionByName(lost), 0)
+    scores.process(bars.where("row_index in (1, 4)"), 1)
+    assert scores.read(spark).isEmpty()
+    for _ in range(2):
+        scores.finish(spark)
+        want = batch_result(bars.where("row_index <> 3"))
+        assert same_rows(scores.read(spark).select(want.columns), want)
+    rejects = scores.read_rejects(spark).collect()
+    assert [(r["row_index"], r["reason"]) for r in rejects] == [(3, "bad_timestamp")]
+
+
+def test_arriving_bars_are_added_once_and_by_day(spark, tmp_path):
+    bars, lake = series(spark, [1.0, 2.0, 4.0]), str(tmp_path / "lake")
+    add_new_bars(bars.unionByName(bars.limit(1)), lake)
+    add_new_bars(bars.where("row_index > 0").unionByName(series(spark, [8.0], start=START + timedelta(days=1))), lake)
+    add_new_bars(bars.limit(0), lake)
+    assert same_rows(spark.read.parquet(lake).drop("trading_day").select(bars.columns).where("close < 8"), bars)
+    assert spark.read.parquet(lake).select("trading_day").distinct().count() == 2
+
+
 def test_a_quiet_batch_keeps_the_state(spark, stream):
     bars = series(spark, [1.0, 2.0, 4.0, 8.0])
     scores = stream()
