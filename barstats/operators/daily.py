@@ -90,16 +90,21 @@ def price_trend(df: DataFrame, z_flag: str = Z_FLAG, iqr_flag: str = IQR_FLAG) -
         F.col(DAY).cast("timestamp_ntz").alias("at"),
         F.col("close").alias("value"),
     )
+    return daily.unionByName(flagged_bars(df, z_flag, iqr_flag))
+
+
+def flagged_bars(df: DataFrame, z_flag: str = Z_FLAG, iqr_flag: str = IQR_FLAG) -> DataFrame:
+    """``series, at, value``: the close of each detector's flagged bars."""
     detectors = F.array_compact(
         F.array(
             F.when(F.col(z_flag), F.lit("zscore_anomaly")),
             F.when(F.col(iqr_flag), F.lit("iqr_anomaly")),
         )
     )
-    marks = df.select(
+    flagged = df.where(F.col(z_flag) | F.col(iqr_flag))
+    return flagged.select(
         F.explode(detectors).alias("series"), F.col(TS).alias("at"), F.col("close").alias("value")
     )
-    return daily.unionByName(marks)
 
 
 def _flag_counts(df: DataFrame, period, name: str, z_flag: str, iqr_flag: str) -> DataFrame:

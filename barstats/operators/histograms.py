@@ -13,22 +13,35 @@ from barstats.schema import IQR_FLAG
 _ALL = "_all"
 
 
-def histogram(df: DataFrame, value: Column, bins: int, by: str | None = None) -> DataFrame:
+def histogram(
+    df: DataFrame,
+    value: Column,
+    bins: int,
+    by: str | None = None,
+    extremes: DataFrame | None = None,
+) -> DataFrame:
     """``by``, ``bin``, ``lower``, ``upper``, ``count``: every bin, empty ones too.
 
     The bins span the smallest to the largest value of the group, whose top edge
     belongs to the last bin. A group with a single value gets a range of width 1
     around it. ``by`` must be a column of few values fixed beforehand (a flag, a
-    column name): its ranges are broadcast.
+    column name): its ranges are broadcast. ``extremes`` (the group, least, greatest: a row
+    for each group) saves the pass that finds them.
     """
     group = F.lit(0) if by is None else F.col(by)
     name = by or _ALL
     values = df.select(group.alias(name), value.cast("double").alias("_x")).where(
         F.col(name).isNotNull() & F.col("_x").isNotNull() & ~F.isnan("_x")
     )
-    low, high = F.min("_x"), F.max("_x")
+    if extremes is None:
+        extremes = values.groupBy(name).agg(F.min("_x").alias("least"), F.max("_x").alias("greatest"))
+    elif by is None:
+        extremes = extremes.withColumn(_ALL, F.lit(0))
+    low, high = F.col("least"), F.col("greatest")
     spread = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-    ranges = values.groupBy(name).agg((low - spread).alias("_lo"), (high + spread).alias("_hi"))
+    ranges = extremes.where(low.isNotNull()).select(
+        name, (low - spread).alias("_lo"), (high + spread).alias("_hi")
+    )
     ranges = ranges.select(
         name, "_lo", ((F.col("_hi") - F.col("_lo")) / F.lit(bins)).alias("_width")
     )
@@ -49,14 +62,22 @@ def histogram(df: DataFrame, value: Column, bins: int, by: str | None = None) ->
 
 
 def histogram_by_flag(
-    df: DataFrame, value: str = "close", flag: str = IQR_FLAG, bins: int = 80
+    df: DataFrame,
+    value: str = "close",
+    flag: str = IQR_FLAG,
+    bins: int = 80,
+    extremes: DataFrame | None = None,
 ) -> DataFrame:
     """One histogram of the flagged rows and one of the others, each on its own range."""
-    return histogram(df, F.col(value), bins, by=flag)
+    return histogram(df, F.col(value), bins, by=flag, extremes=extremes)
 
 
 def histogram_log(
-    df: DataFrame, value: str = "volume", edges: int = 80, digits: int | None = None
+    df: DataFrame,
+    value: str = "volume",
+    edges: int = 80,
+    digits: int | None = None,
+    extremes: DataFrame | None = None,
 ) -> DataFrame:
     """Bins of equal width in log10, between ``edges`` edges, over positive values.
 
@@ -64,7 +85,7 @@ def histogram_log(
     """
     logs = F.log10(F.col(value))
     logs = logs if digits is None else F.round(logs, digits)
-    return histogram(df.where(F.col(value) > 0), logs, edges - 1)
+    return histogram(df.where(F.col(value) > 0), logs, edges - 1, extremes=extremes)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

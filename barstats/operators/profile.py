@@ -95,14 +95,17 @@ def time_range(df: DataFrame, ts: str = TS) -> DataFrame:
 
 
 def correlation_matrix(
-    df: DataFrame, columns: Sequence[str] = CORRELATION_FEATURES
+    df: DataFrame,
+    columns: Sequence[str] = CORRELATION_FEATURES,
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """``a, b, corr`` for every ordered pair, over all rows that have both values.
 
     Pearson's r; NULL when either does not vary. Rows are grouped by which columns
     they have, so that within a group plain sums of products serve every pair; the
     groups are then added up per pair. Values are taken from their column's mean,
-    which a first light pass finds, to keep the sums accurate.
+    which a first light pass finds, to keep the sums accurate; ``means`` (one row: m0, m1,
+    and so on) saves it.
     """
     places = range(len(columns))
     pairs = [(i, j) for i in places for j in places if i <= j]
@@ -113,7 +116,8 @@ def correlation_matrix(
             for i, c in enumerate(columns)
         ]
     )
-    means = doubles.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in places])
+    if means is None:
+        means = doubles.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in places])
 
     # Expressions as text: Python would build hundreds of nodes one call at a time.
     shifted = doubles.withColumn("_m", means.select(F.struct("*")).scalar()).selectExpr(

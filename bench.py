@@ -15,10 +15,14 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barstats.operators import daily, histograms, profile
+from barstats.operators import daily
+from barstats.operators.iqr import detect_iqr_anomalies
+from barstats.operators.rolling import add_rolling_stats
+from barstats.operators.zscore import detect_zscore_anomalies
 from barstats.plans.catalog import QUERIES
+from barstats.plans.dashboard import charts
 from barstats.plans.pipeline import enrich
-from barstats.schema import WINDOW
+from barstats.schema import IQR_FLAG, WINDOW
 from barstats.sources.scratch import staged
 from barstats.sources.tables import LINE_ORDER, series_from_lineitem
 
@@ -73,21 +77,27 @@ def enriched_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def dashboard(table: DataFrame) -> None:
     """The data behind all nine charts."""
-    charts = (
-        daily.price_trend(table),
-        daily.daily_series(table, f"close_zscore_{WINDOW}"),
-        daily.daily_means(table, [f"close_rolling_mean_{WINDOW}", f"close_rolling_std_{WINDOW}"]),
-        histograms.histogram_by_flag(table),
-        histograms.histogram_log(table),
-        profile.correlation_matrix(table),
-        daily.daily_anomaly_counts(table),
-        daily.monthly_anomaly_counts(table),
-        daily.top_days_combined(table),
-    )
-    for chart in charts:
+    for chart in charts(table).values():
         run(chart)
 
 
+def on_rows(spark: SparkSession, folder: str, table: DataFrame) -> dict[str, DataFrame]:
+    """The detectors and the five daily queries over every order line."""
+    lines, ties = series_from_lineitem(spark, folder), {"tiebreak": LINE_ORDER}
+    return {
+        "rolling_stats_rows": add_rolling_stats(lines, "close", WINDOW, **ties),
+        "detect_zscore_rows": detect_zscore_anomalies(
+            add_rolling_stats(lines, "close", WINDOW, **ties), "close", WINDOW, 3.0
+        ),
+        "detect_iqr_rows": detect_iqr_anomalies(lines, "close", 1.5, 0.0),
+        "avg_daily_return_rows": daily.average_daily_return(table),
+        "top_volatility_symbols_rows": daily.highest_volatility_symbols(table),
+        "top_anomaly_days_rows": daily.top_anomaly_days(table, IQR_FLAG),
+        "daily_volume_rows": daily.daily_trading_volume(table),
+        "rolling_anomaly_counts_rows": daily.rolling_anomaly_counts(table, IQR_FLAG),
+    }
+
+
 def timed(work) -> float:
     work()
     start = time.perf_counter()
@@ -103,6 +113,9 @@ def main() -> None:
     for name in HEADLINE:
         seconds[name] = timed(lambda name=name: run(QUERIES[name](spark, folder)))
         print(name, seconds[name], file=sys.stderr, flush=True)
+    for name, df in on_rows(spark, folder, table).items():
+        seconds[name] = timed(lambda df=df: run(df))
+        print(name, seconds[name], file=sys.stderr, flush=True)
     total = sum(seconds.values())
     spark.stop()
     print(
