@@ -22,7 +22,7 @@ from barstats.operators.zscore import (
     add_zscore_anomaly_flag,
     detect_zscore_anomalies,
 )
-from barstats.plans.pipeline import Settings, enrich, flagship, label_intraday
+from barstats.plans.pipeline import Settings, enrich, flagship, label_intraday, run_intraday
 from barstats.schema import (
     ENRICHED_COLUMNS,
     IQR_FLAG,
@@ -572,6 +572,33 @@ def sink_quarantine(spark, folder):
     )
 
 
+@query
+def pipeline_intraday(spark, folder):
+    """From CSV files with planted faults to the bars and the quarantine, read back together."""
+    incoming, root = new_folder(spark, "incoming"), new_folder(spark, "intraday")
+    as_raw(dirty_bars(spark, folder)).write.option("header", True).csv(incoming)
+    tables = run_intraday(spark, incoming, root, run_id="one")
+    columns = (DAY, "row_index", SYMBOL, TS, "close", "volume")
+    anomalies = rounded(read_enriched(tables.anomalies, spark), "anomaly_score")
+    bars = read_enriched(tables.bars, spark).select(*columns)
+    labels = anomalies.select("row_index", "anomaly_label", "anomaly_score", "run_id")
+    good = bars.join(labels, "row_index").select(*columns, "anomaly_label", "anomaly_score", "run_id")
+    bad = read_enriched(tables.quarantine, spark)
+    return good.unionByName(
+        bad.select(
+            *columns, F.col("reason").alias("anomaly_label"), F.lit(None).cast("double").alias("anomaly_score"), "run_id"
+        )
+    )
+
+
+@query
+def pipeline_intraday_metrics(spark, folder):
+    incoming, root = new_folder(spark, "incoming"), new_folder(spark, "intraday")
+    as_raw(dirty_bars(spark, folder)).write.option("header", True).csv(incoming)
+    tables = run_intraday(spark, incoming, root, run_id="one")
+    return spark.read.json(tables.metrics).select("reason", "rows_quarantined", "rows_in", "collisions", "rows_out")
+
+
 # --- inside the day ---------------------------------------------------------------
 
 KEY = ("row_index", SYMBOL, TS)

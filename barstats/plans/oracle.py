@@ -517,6 +517,27 @@ oracle(
     "judged",
 )
 
+# The same chain over the bars that the quarantine lets through.
+_CTES["kept"] = "SELECT * FROM judged WHERE reason IS NULL"
+_CTES["kept1"] = _CTES["day1"].replace("FROM ticks", "FROM kept")
+_CTES["kept2"] = _CTES["day2"].replace("FROM day1", "FROM kept1")
+_CTES["kept3"] = _CTES["day3"].replace("FROM day2", "FROM kept2")
+_CTES["kept4"] = _CTES["day4"].replace("FROM day3", "FROM kept3")
+_CTES["kept5"] = _labelled().replace("FROM day4", "FROM kept4")
+_USES.update({
+    "kept": ("judged",), "kept1": ("kept",), "kept2": ("kept1",), "kept3": ("kept2",),
+    "kept4": ("kept3",), "kept5": ("kept4",),
+})
+oracle(
+    "pipeline_intraday",
+    f"""SELECT trading_day, row_index, symbol, date, close, volume, anomaly_label,
+      {r('anomaly_score')}, 'one' AS run_id FROM kept5
+    UNION ALL SELECT {DAY}, row_index, symbol, date, close, volume, reason, NULL, 'one'
+    FROM judged WHERE reason IS NOT NULL""",
+    "kept5",
+)
+ORACLE["pipeline_intraday_metrics"] = ORACLE["quarantine_metrics"]
+
 # Inside the day.
 oracle("log_return", f"SELECT {KEY}, {rs('log_return', 'simple_return')} FROM day2", "day2")
 _RETURN_STATS = ("rolling_mean_return_20", "rolling_std_return_20")

@@ -15,16 +15,33 @@ from barstats.operators.checks import (
     validate_required_columns,
     validate_schema,
 )
-from barstats.operators.clean import clean
+from barstats.operators.clean import clean, parse_time
 from barstats.operators.features import candle_body, price_range, simple_return_stage
 from barstats.operators.intraday import add_intraday_features
 from barstats.operators.iqr import detect_iqr_anomalies
+from barstats.operators.quarantine import (
+    add_reason,
+    dedupe_by_ts,
+    good_bars,
+    quarantine_metrics,
+    quarantined,
+)
 from barstats.operators.rolling import rolling_stage
 from barstats.operators.rules import Rules, apply_rules
 from barstats.operators.zscore import detect_zscore_anomalies
-from barstats.schema import IQR_K, RAW_SCHEMA, RELATIVE_ERROR, SYMBOL, WINDOW, Z_THRESHOLD
+from barstats.schema import (
+    IQR_K,
+    KEYED_SCHEMA,
+    RAW_SCHEMA,
+    RELATIVE_ERROR,
+    ROW_ID,
+    SYMBOL,
+    TS,
+    WINDOW,
+    Z_THRESHOLD,
+)
 from barstats.sources.bars import read_ohlcv_csv
-from barstats.sources.layout import load_table, write_parquet
+from barstats.sources.layout import DAY, load_table, write_parquet, write_quarantine
 from barstats.sources.scratch import staged
 
 
@@ -93,21 +110,87 @@ def run_pipeline(
     lake: str,
     table: str | None = None,
     *,
-    symbol: str,
+    symbol: str | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """A CSV of one symbol to the enriched Parquet table, and to a table by day.
+    """A CSV file or folder of bars to the enriched Parquet table, or to a table by day.
 
-    Returns the written table. It is read back rather than computed twice.
+    The bars are of one ``symbol``, or carry theirs in a last column. They are written once:
+    by day if ``table`` is given, else as they come to ``lake``. Returns the written table, read back.
     """
-    raw = read_ohlcv_csv(source, spark)
-    validate_schema(raw, RAW_SCHEMA)
+    raw = read_ohlcv_csv(source, spark, schema=KEYED_SCHEMA if symbol is None else RAW_SCHEMA)
+    validate_schema(raw, KEYED_SCHEMA if symbol is None else RAW_SCHEMA)
     validate_required_columns(raw)
     validate_not_empty(raw)
     validate_numeric_columns(raw)
-    tagged = raw.withColumn(SYMBOL, F.lit(symbol))
-    write_parquet(flagship(tagged, settings, tiebreak=("row_index",)), lake)
-    enriched = spark.read.parquet(lake)
-    if table is not None:
-        load_table(enriched, table, mode="overwrite")
-    return enriched
+    tagged = raw if symbol is None else raw.withColumn(SYMBOL, F.lit(symbol))
+    enriched = flagship(tagged, settings, tiebreak=("row_index",))
+    if table is None:
+        write_parquet(enriched, lake)
+        return spark.read.parquet(lake)
+    load_table(enriched, table, mode="overwrite")
+    return spark.read.parquet(table).drop(DAY)
+
+
+@dataclass(frozen=True)
+class IntradayTables:
+    """Where a run of :func:`run_intraday` wrote its tables."""
+
+    root: str
+
+    @property
+    def bars(self) -> str:
+        return f"{self.root}/processed_bars"
+
+    @property
+    def anomalies(self) -> str:
+        return f"{self.root}/anomalies"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
+
+ANOMALY_COLUMNS = (
+    ROW_ID,
+    SYMBOL,
+    TS,
+    "close",
+    "log_return",
+    "return_zscore",
+    "volume_zscore",
+    "is_return_anomaly",
+    "is_volume_anomaly",
+    "is_volatility_regime",
+    "anomaly_label",
+    "anomaly_score",
+    "run_id",
+)
+
+
+def run_intraday(
+    spark: SparkSession, source: str, root: str, *, run_id: str, rules: Rules = Rules()
+) -> IntradayTables:
+    """A folder of keyed CSV files to bars, anomalies, quarantine and metrics.
+
+    Bars of an instant that was seen before are dropped and counted, bars that break a rule go to
+    the quarantine by day and reason; the others get day-scoped features and labels. Bars and
+    anomalies carry the run's id and replace the days they have, so a day can be run again.
+    Two tables are written out on the way, for all that follows reads them: the judged
+    bars and the labelled ones.
+    """
+    out = IntradayTables(root.rstrip("/"))
+    raw = parse_time(read_ohlcv_csv(source, spark, schema=KEYED_SCHEMA))
+    judged = staged(add_reason(dedupe_by_ts(raw)), "judged")
+    write_quarantine(quarantined(judged).withColumn("run_id", F.lit(run_id)), out.quarantine, "overwrite")
+    metrics = quarantine_metrics(judged, raw).withColumn("run_id", F.lit(run_id))
+    metrics.coalesce(1).write.mode("overwrite").json(out.metrics)
+    labelled = staged(label_intraday(good_bars(judged), rules, run_id, tiebreak=(ROW_ID,)), "labelled")
+    day = {"mode": "overwrite", "only_days_written": True}
+    load_table(labelled, out.bars, **day)
+    load_table(labelled.select(*ANOMALY_COLUMNS), out.anomalies, clustering_fields=("anomaly_label",), **day)
+    return out

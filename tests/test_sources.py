@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from barstats.plans.pipeline import flagship, run_pipeline
+from barstats.plans.pipeline import flagship, run_intraday, run_pipeline
 from barstats.schema import ENRICHED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
 from barstats.sources import layout
 from barstats.sources.bars import explore_csv, read_enriched, read_ohlcv_csv
@@ -57,6 +57,29 @@ def test_pipeline_from_file_to_tables(spark, csv, tmp_path):
     assert set(out.columns) == set(ENRICHED_COLUMNS)
     assert out.count() == 30
     assert read_enriched(table, spark).where("trading_day = '2020-01-02'").count() == 30
+    assert not (tmp_path / "lake").exists()
+
+
+def test_pipeline_of_several_symbols(spark, csv, tmp_path):
+    keyed = read_ohlcv_csv(csv, spark)
+    two = keyed.withColumn("symbol", F.lit("A")).unionByName(keyed.withColumn("symbol", F.lit("B")))
+    two.write.option("header", True).csv(str(tmp_path / "keyed"))
+    out = run_pipeline(spark, str(tmp_path / "keyed"), str(tmp_path / "lake"))
+    assert {(r["symbol"], r["count"]) for r in out.groupBy("symbol").count().collect()} == {("A", 30), ("B", 30)}
+    assert out.where("simple_return IS NULL").count() == 2
+
+
+def test_a_day_can_be_run_again(spark, csv, tmp_path):
+    keyed = read_ohlcv_csv(csv, spark).withColumn("symbol", F.lit("A"))
+    bad = keyed.limit(1).withColumns({"row_index": F.lit(99).cast("long"), "date": F.lit("oops")})
+    keyed = keyed.unionByName(bad)
+    keyed.write.option("header", True).csv(str(tmp_path / "keyed"))
+    for run in ("one", "two"):
+        tables = run_intraday(spark, str(tmp_path / "keyed"), str(tmp_path / "root"), run_id=run)
+    for path in (tables.bars, tables.anomalies):
+        got = read_enriched(path, spark)
+        assert got.count() == 30 and {r["run_id"] for r in got.collect()} == {"two"}
+    assert [r["row_index"] for r in read_enriched(tables.quarantine, spark).collect()] == [99]
 
 
 def test_staged_and_lazy_chain_agree(spark, csv):
