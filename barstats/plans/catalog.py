@@ -216,6 +216,18 @@ def dq_report(spark, folder):
     return data_quality_report(scanned, KEYED_SCHEMA)
 
 
+@query
+def dq_report_faults(spark, folder):
+    """A table with an absent column, a wrong type and lost times."""
+    bars = dirty_bars(spark, folder).drop("average").withColumn("close", F.col("close").cast("string"))
+    return data_quality_report(bars, KEYED_SCHEMA)
+
+
+@query
+def profile_shape(spark, folder):
+    return profile.shape(bars_from_events(spark, folder))
+
+
 @query
 def clean_dedupe(spark, folder):
     raw = raw_bars(spark, folder)

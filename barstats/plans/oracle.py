@@ -216,6 +216,21 @@ oracle(
     ),
     "bars",
 )
+oracle(
+    "dq_report_faults",
+    """SELECT 'schema' AS "check", false AS passed, 'struct<row_index:bigint,date:timestamp_ntz,'
+      || 'open:double,high:double,low:double,close:string,volume:bigint,barCount:bigint,symbol:string>' AS detail
+    UNION ALL SELECT 'required_columns', false, 'average'
+    UNION ALL SELECT 'not_empty', count(*) > 0, CAST(count(*) AS VARCHAR) FROM dirty
+    UNION ALL SELECT 'numeric_columns', false, 'close' """
+    + " ".join(
+        f"""UNION ALL SELECT 'missing:{c}', count(*) = count({c}),
+        CAST(count(*) - count({c}) AS VARCHAR) FROM dirty"""
+        for c in ("row_index", "date", "open", "high", "low", "close", "volume", "barCount", "symbol")
+    ),
+    "dirty",
+)
+oracle("profile_shape", "SELECT count(*) AS rows, 10 AS columns FROM bars", "bars")
 oracle("clean_dedupe", f"SELECT {BAR_TEXT} FROM bars", "bars")
 oracle(
     "clean_parse_ts",
