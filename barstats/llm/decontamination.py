@@ -4,8 +4,9 @@ A seed is a fixed mask over consecutive words: words at its ones are hashed toge
 at its zeros are ignored, so a substituted word only spoils the seeds that look at it.
 Hashes of every place of the documents meet those of the benchmark. Around each hit the
 document is laid against the item at that offset, and the best run of words is taken in
-which a match counts 1 and a mismatch -MISMATCH; it may hold substituted words. Runs of
-all offsets of one item together tell how much of the item a document holds.
+which a match counts 1 and a mismatch -MISMATCH; it may hold substituted words. On both sides of it
+more runs are looked for. Runs of all offsets of one item together tell how much of the
+item a document holds.
 
 The benchmark is sent to the tasks in chunks of at most CHUNK bytes of text each (in
 expectation: rows are dealt by hash), and documents pass by every chunk; a small benchmark
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from barstats.llm.common import append, chunks, plain_words
 
 MASKS = ("11101011", "1100110101", "1010011011")
-MISMATCH = 3
+MISMATCH = 2
 #: A run counts from this many words on (or the whole item, if it is shorter).
 LEAST_RUN = 8
 #: A document leaks an item of which it has this share of words, and this many if so long.
@@ -108,8 +109,7 @@ class Seeds:
             item = self.words[i]
             lo, hi = max(0, -offset), min(len(item), len(words) - offset)
             same = item[lo:hi] == numbers[lo + offset : hi + offset]
-            a, b = best_run(same)
-            if b - a >= min(LEAST_RUN, len(item)):
+            for a, b in good_runs(same, min(LEAST_RUN, len(item))):
                 matched = lo + a + np.flatnonzero(same[a:b])
                 runs.setdefault(i, []).append((lo + a + offset, b - a, matched))
         out = []
@@ -131,6 +131,19 @@ class Seeds:
         return out
 
 
+def good_runs(same: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """The best run, and those of the parts on both sides of it, of at least so many words."""
+    found, parts = [], [(0, len(same))]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo >= least:
+            a, b = best_run(same[lo:hi])
+            if b - a >= least:
+                found.append((lo + a, lo + b))
+                parts += [(lo, lo + a), (lo + b, hi)]
+    return found
+
+
 def best_run(same: np.ndarray) -> tuple[int, int]:
     """The run of greatest score: where the running sum rises most above an earlier one."""
     total = np.r_[0, np.cumsum(np.where(same, 1, -MISMATCH))]

@@ -41,15 +41,20 @@ def brute_overlaps(text, items):
             same = {i: words[i + d] == item[i] for i in range(max(0, -d), min(n, len(words) - d))}
             if not any(all(same.get(p + k) for k in m) for m in masks for p in range(n - m[-1])):
                 continue
-            best = max(
-                (sum(1 if same[i] else -decontamination.MISMATCH for i in range(a, b)), -b, a, b)
-                for a in same
-                for b in range(a + 1, max(same) + 2)
-            )
-            a, b = best[2:]
-            if b - a >= min(decontamination.LEAST_RUN, n):
-                matched |= {i for i in range(a, b) if same[i]}
-                runs.append((a, b))
+            parts, least = [(min(same), max(same) + 1)], min(decontamination.LEAST_RUN, n)
+            while parts:
+                lo, hi = parts.pop()
+                if hi - lo < least:
+                    continue
+                *_, a, b = max(
+                    (sum(1 if same[i] else -decontamination.MISMATCH for i in range(a, b)), -b, a, b)
+                    for a in range(lo, hi)
+                    for b in range(a + 1, hi + 1)
+                )
+                if b - a >= least:
+                    matched |= {i for i in range(a, b) if same[i]}
+                    runs.append((a, b))
+                    parts += [(lo, a), (b, hi)]
         if runs:
             share = len(matched) / n
             leak = share >= decontamination.LEAK_SHARE and len(matched) >= min(decontamination.LEAK_WORDS, n)
