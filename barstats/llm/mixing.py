@@ -26,11 +26,12 @@ rows that repeat an id, or have none, are told apart by their position. No row i
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barstats.llm.common import WORD
@@ -153,11 +154,52 @@ def plan_mix(
     """A row per document: row, doc_id, size, source_size, target and copies, an array with
     epoch and shard of every time the mix takes it."""
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = staged(_measured(docs, row, id_col, text_col, source_col), "sizes")
+    draw = _draw(rows, weights, most_epochs, block, shard_words, seed)
+    taken = draw.taken(rows).select("row", "doc_id", "sid", "size", "copies")
+    return taken.join(draw.targets.select("sid", "source_size", "target"), "sid").drop("sid")
+
+
+def _measured(docs: DataFrame, row: Column, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(
-        row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")
-    )
-    rows = staged(rows, "sizes")
+    source = F.col(source_col).cast("string").alias("source")
+    return docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), source, size.alias("size"), *more)
+
+
+@dataclass(frozen=True)
+class Draw:
+    """What was drawn, in tables that are small beside the documents: a row per repeated id,
+    source, block, and document of a block where a target ends. Spark sends those to the tasks
+    whose files are small enough."""
+
+    seed: int
+    odd: DataFrame
+    targets: DataFrame
+    sources: DataFrame
+    copies: DataFrame
+    fits: DataFrame
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows (with row, doc_id, source, size) with their source's number and their block."""
+        apart = F.when(F.col("odd") | F.col("doc_id").isNull(), F.col("row"))
+        perm = F.xxhash64(F.lit(self.seed), "doc_id", apart)
+        dealt = _with_source(rows.join(self.odd, "doc_id", "left").withColumn("perm", perm), self.sources)
+        number = F.expr("CASE WHEN size > 0 THEN pmod(xxhash64(perm), n) END").cast("int")
+        return dealt.withColumn("block", number).drop("odd", "n")
+
+    def taken(self, rows: DataFrame) -> DataFrame:
+        """The rows with an array of their copies."""
+        found = self.dealt(rows).join(self.copies, ["sid", "block"], "left").join(self.fits, "row", "left")
+        kept = F.expr(
+            "CASE WHEN copies IS NULL THEN cast(array() AS array<struct<epoch:int,shard:int>>)"
+            " WHEN closing AND fits IS NULL THEN filter(copies, c -> c.epoch < epochs) ELSE copies END"
+        )
+        return found.withColumn("copies", kept)
+
+
+def _draw(
+    rows: DataFrame, weights: tuple[int, ...], most_epochs: int, block: int, shard_words: int, seed: int
+) -> Draw:
     targets = staged(source_targets(rows, weights, most_epochs), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     sources = targets.withColumn("epochs", epochs.cast("int")).withColumns(
@@ -166,11 +208,11 @@ def plan_mix(
             "blocks": F.greatest(F.lit(1), F.ceil(F.col("source_size") / block)).cast("int"),
         }
     )
-    odd = rows.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("odd"))
-    apart = F.when(F.col("odd") | F.col("doc_id").isNull(), F.col("row"))
-    dealt = rows.join(odd, "doc_id", "left").withColumn("perm", F.xxhash64(F.lit(seed), "doc_id", apart))
-    dealt = _with_source(dealt, sources)
-    dealt = staged(dealt.withColumn("block", F.expr("CASE WHEN size > 0 THEN pmod(xxhash64(perm), n) END").cast("int")), "dealt")
+    sources = staged(sources, "sources")
+    odd = rows.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    odd = staged(odd.select("doc_id", F.lit(True).alias("odd")), "odd")
+    draw = Draw(seed, odd, targets, sources, odd, odd)
+    dealt = staged(draw.dealt(rows), "dealt")
 
     # One row for each block from here on.
     order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "sid", "block"), "block")
@@ -199,42 +241,49 @@ def plan_mix(
         F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("copies")
     )
     copies = copies.join(blocks.select("sid", "block", "epochs", "closing"), ["sid", "block"])
-    copies = staged(copies, "copies")
 
     last = dealt.join(blocks.where("closing").select("sid", "block", "left"), ["sid", "block"])
     last = last.select("sid", "row", "perm", "size", "left").groupBy("sid").applyInPandas(_closing_draw, "row long")
-    last = staged(last.withColumn("fits", F.lit(True)), "closing")
-    taken = dealt.join(copies, ["sid", "block"], "left").join(last, "row", "left")
-    kept = F.expr(
-        "CASE WHEN copies IS NULL THEN cast(array() AS array<struct<epoch:int,shard:int>>)"
-        " WHEN closing AND fits IS NULL THEN filter(copies, c -> c.epoch < epochs) ELSE copies END"
-    )
-    taken = taken.select("row", "doc_id", "sid", "size", kept.alias("copies"))
-    return taken.join(targets.select("sid", "source_size", "target"), "sid").drop("sid")
+    fits = staged(last.withColumn("fits", F.lit(True)), "closing")
+    return replace(draw, copies=staged(copies, "copies"), fits=fits)
 
 
 def _with_source(dealt: DataFrame, sources: DataFrame) -> DataFrame:
     """The rows with sid and number of blocks of their source, null or not."""
     known = sources.select(F.col("source").alias("_source"), "sid", F.col("blocks").alias("n"))
     same = F.col("source").eqNullSafe(F.col("_source"))
-    return dealt.join(known, same).select("row", "doc_id", "size", "perm", "sid", "n")
+    return dealt.join(known, same).drop("_source", "source")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The documents as often as the mix takes them, with copy, shard and place in it.
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    most_epochs: int = MOST_EPOCHS,
+    block: int = BLOCK,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The documents as often as the mix takes them, with mix_copy, mix_shard and mix_place.
 
-    Documents are written to the shared folder once with a row number, for the draw and
-    the texts must mean the same rows.
+    Documents are written to the shared folder once with their size and a row number, for the draw
+    and the texts must mean the same rows. Texts meet only tables far smaller than they
+    are, and are not shuffled while Spark can send those to the tasks.
     """
-    held = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    held = staged(held.withColumn("row", F.monotonically_increasing_id()), "rows")
-    names = {f"{k}_col": f"c{docs.columns.index(c)}" for k, c in (("id", id_col), ("text", text_col), ("source", source_col))}
-    plan = plan_mix(held, row_col="row", **names, **options)
-    plan = staged(plan.where(F.size("copies") > 0).select("row", "copies"), "plan")
-    out = held.join(plan, "row").withColumn("_copy", F.explode("copies"))
-    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    place = F.xxhash64(F.lit(options.get("seed", SEED)), F.col("_copy.shard"), F.col("_copy.epoch"), F.col("row"))
-    return out.select(*own, F.col("_copy.epoch").alias("mix_copy"), F.col("_copy.shard").alias("mix_shard"), place.alias("mix_place"))
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    held = staged(_measured(docs, F.monotonically_increasing_id(), id_col, text_col, source_col, *own), "rows")
+    draw = _draw(held.select("row", "doc_id", "source", "size"), weights, most_epochs, block, shard_words, seed)
+    out = draw.taken(held).withColumn("_copy", F.explode("copies"))
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    place = F.xxhash64(F.lit(seed), F.col("_copy.shard"), F.col("_copy.epoch"), F.col("row"))
+    return out.select(
+        *back,
+        F.col("_copy.epoch").alias("mix_copy"),
+        F.col("_copy.shard").alias("mix_shard"),
+        place.alias("mix_place"),
+    )
 
 
 def write_shards(mixed: DataFrame, path: str) -> None:
