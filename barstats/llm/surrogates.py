@@ -23,7 +23,8 @@ ones are replaced.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import regex
 from pyspark.sql import DataFrame
@@ -38,15 +39,21 @@ EITHER = ("Dr", "Prof")
 GENDERS = {title: g for g, titles in (("m", MALE), ("f", FEMALE), ("n", EITHER)) for title in titles}
 
 _TITLES = "|".join(sorted(map(regex.escape, GENDERS), key=len, reverse=True))
-PERSON = regex.compile(rf"(?<![\w-])({_TITLES})\.? (\p{{Lu}}[\p{{L}}’-]*(?: \p{{Lu}}[\p{{L}}’-]*){{0,2}})")
+#: A word of a name: no form of address itself, but for one that is a given name too.
+_NAME = rf"(?!(?!Don\b)(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}’-]*"
+PERSON = regex.compile(rf"(?<![\w-])({_TITLES})\.? ({_NAME}(?: {_NAME}){{0,2}})")
+#: An address is looked for once in each run of characters that it may have before its @, so
+#: long runs without one cost no more than their length.
 NUMBERED = regex.compile(
-    r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+)"
+    r"(?:\G|(?<![A-Za-z0-9._%+-]))[._%+-]*+"
+    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*+(?<!\.)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+)"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<![\w.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|-\d)"
     r"|(?<![\w.])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}|\+\d{7,15})(?![\w])"
 )
 _DIGIT = regex.compile("[0-9]")
+_RUN = regex.compile(r"[\p{L}\w]+")
 _TITLE_SEEN = regex.compile(rf"(?<![\w-])(?:{_TITLES})\b")
 KINDS = ("email", "ip", "ssn", "card", "phone", "name")
 
@@ -84,6 +91,22 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
+def _places(text: str, names: Iterable[str]) -> Iterator[tuple[int, str]]:
+    """Where the names stand as words of their own, the longest at each place, in one pass."""
+    of_run: dict[str, list[str]] = {}
+    for name in sorted(names, key=len, reverse=True):
+        of_run.setdefault(_RUN.match(name)[0], []).append(name)
+    after = 0
+    for m in _RUN.finditer(text):
+        if m.start() >= after:
+            for name in of_run.get(m[0], ()):
+                end = m.start() + len(name)
+                if text.startswith(name, m.start()) and not _RUN.match(text, end):
+                    yield m.start(), name
+                    after = end
+                    break
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of every entity, in order, not overlapping.
 
@@ -94,12 +117,12 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     found, people = [], {}
     if "@" in text or _DIGIT.search(text):
         for m in NUMBERED.finditer(text):
-            kind, value = m.lastgroup, m[0]
+            kind, value = m.lastgroup, m[m.lastgroup]
             if kind in ("email", "ip"):
                 value = value.lower()
             else:
                 value = regex.sub(r"\D", "", value)
-            found.append((m.start(), m.end(), kind, value))
+            found.append((*m.span(kind), kind, value))
     if _TITLE_SEEN.search(text):
         for m in PERSON.finditer(text):
             words = m[2].split(" ")
@@ -107,11 +130,12 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
                 part = "family" if i == len(words) - 1 else f"given-{GENDERS[m[1]]}"
                 people.setdefault(w, f"name-{part}-{script_of(w)}")
     if people:
-        taken = [(a, b) for a, b, _, _ in found]
-        names = "|".join(sorted(map(regex.escape, people), key=len, reverse=True))
-        for m in regex.finditer(rf"(?<![\p{{L}}\w])(?:{names})(?![\p{{L}}\w])", text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), people[m[0]], m[0].casefold()))
+        starts, ends = [a for a, *_ in found], [b for _, b, *_ in found]
+        for start, name in _places(text, people):
+            end = start + len(name)
+            k = bisect_left(starts, end) - 1  # the last that begins before the name ends
+            if k < 0 or ends[k] <= start:
+                found.append((start, end, people[name], name.casefold()))
     return sorted(found)
 
 

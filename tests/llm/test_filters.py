@@ -226,6 +226,33 @@ def test_surrogates_keep_format_gender_and_coreference():
     assert len(set(emails)) == 1 and emails[0].endswith(".example")
 
 
+def test_long_runs_and_many_names_take_one_pass():
+    """Texts of a size at which anything quadratic would take hours."""
+    assert surrogates.mentions("ab1" * 500_000 + " a.b-1@" + "1." * 300_000) == []
+    (found,) = surrogates.mentions("ab1" * 200_000 + "@x9.de")
+    assert found[:3] == (0, 600_006, "email")
+    names = ["A" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(10_000)]
+    text = ", Mr. ".join(["", *names]) + " " + " ".join(names) + f" {names[0]}-{names[1]} {names[0]}x"
+    assert Counter(m[3] for m in surrogates.mentions(text)) == Counter(
+        [n.casefold() for n in names] * 2 + [n.casefold() for n in names[:2]]
+    )
+
+
+def test_forms_of_address_in_a_row_are_no_names():
+    text = "Herr Dr. Ann Mr. Don Lee Frau Mia, Drake"
+    assert [(text[a:b], k) for a, b, k, _ in surrogates.mentions(text)] == [
+        ("Ann", "name-family-latin"), ("Don", "name-given-m-latin"), ("Lee", "name-family-latin"), ("Mia", "name-family-latin"),
+    ]
+
+
+def test_names_meet_neither_numbers_nor_longer_words():
+    text = "Mr. Ann-Lee Ann, Dr. O’Neil: Ann@x9.de Ann-Lee Ann-Lees Anna O’Neil’s Ann"
+    assert [(text[a:b], kind.split("-")[0]) for a, b, kind, _ in surrogates.mentions(text)] == [
+        ("Ann-Lee", "name"), ("Ann", "name"), ("O’Neil", "name"), ("Ann@x9.de", "email"),
+        ("Ann-Lee", "name"), ("Ann", "name"), ("O’Neil", "name"), ("Ann", "name"),
+    ]
+
+
 # --- quality
 
 
@@ -319,6 +346,11 @@ def test_license_scan(spark, folders, case):
     same([tuple(r) for r in queries.op7_license_scan(spark, folders[case]).collect()], want)
 
 
+def test_phrases_of_a_long_text_take_one_pass():
+    found = licenses.find_phrases(licenses.plain_words("so cc by nc " * 200_000), licenses.PHRASES)
+    assert found == [(4 * i + 1, "cc-by-nc") for i in range(200_000)]
+
+
 def test_license_chunks_give_the_same(spark, folders):
     templates = spark.createDataFrame(licenses.TEMPLATES, "label string, text string")
     docs = queries.table(spark, folders["awkward"])
