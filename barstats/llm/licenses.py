@@ -118,9 +118,10 @@ def find_phrases(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int,
     line, found = b" " + b" ".join(words) + b" ", []
     for phrase, label in phrases.items():
         wanted = b" " + phrase.encode() + b" "
-        at = line.find(wanted)
+        at, word, counted = line.find(wanted), 0, 0
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            word, counted = word + line.count(b" ", counted, at), at
+            found.append((word, label))
             at = line.find(wanted, at + 1)
     return sorted(found)
 
