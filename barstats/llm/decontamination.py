@@ -46,12 +46,17 @@ class Seeds:
         self.masks = [np.flatnonzero(np.frombuffer(m.encode(), np.uint8) == ord("1")) for m in masks]
         shortest = min(map(len, masks))
         self.ids, self.words, self.word_id = [], [], {}
+        known: dict[bytes, int] = {}
         for key, text in items:
             words = plain_words(text)
             if words:
-                self.ids.append(key)
-                number = [self.word_id.setdefault(w, len(self.word_id) + 1) for w in words]
-                self.words.append(np.array(number, np.int64))
+                # Items of the same words are looked for once.
+                i = known.setdefault(b" ".join(words), len(known))
+                if i == len(self.ids):
+                    number = [self.word_id.setdefault(w, len(self.word_id) + 1) for w in words]
+                    self.words.append(np.array(number, np.int64))
+                    self.ids.append([])
+                self.ids[i].append(key)
         whole = sorted({len(w) for w in self.words if len(w) < shortest})
         #: A mask of ones for each length below the masks'; used by items of that length.
         self.tables = [(m, self._table(m, lambda w: len(w) >= shortest)) for m in self.masks]
@@ -118,16 +123,14 @@ class Seeds:
             matches = len(np.unique(np.concatenate([m for _, _, m in found])))
             start, length, _ = max(found, key=lambda r: (len(r[2]), -r[0]))
             share = matches / n
-            out.append(
-                {
-                    "item_id": self.ids[i],
-                    "start": start,
-                    "words": length,
-                    "matches": matches,
-                    "share": share,
-                    "leaked": share >= LEAK_SHARE and matches >= min(LEAK_WORDS, n),
-                }
-            )
+            what = {
+                "start": start,
+                "words": length,
+                "matches": matches,
+                "share": share,
+                "leaked": share >= LEAK_SHARE and matches >= min(LEAK_WORDS, n),
+            }
+            out += [{"item_id": key, **what} for key in self.ids[i]]
         return out
 
 
