@@ -3,7 +3,7 @@
 A HyperLogLog sketch of the sites is kept per line hash and merged by aggregation, so a
 line that a third of all documents have costs one sketch for each task. Lines whose
 estimate is near the threshold have their sites counted exactly; others are decided by the
-estimate, which is out of reach of the threshold by three standard errors and more. Lines
+estimate, which is out of reach of the threshold by six standard errors and more. Lines
 of at least ``min_sites`` sites are removed wherever they occur. Only DataFrame functions
 are used.
 
@@ -47,7 +47,7 @@ def widespread(lines: DataFrame, min_sites: int = MIN_SITES, lg_slots: int = LG_
     """The hashes (_l1, _l2) of lines that at least ``min_sites`` distinct sites have."""
     sketches = lines.groupBy("_l1", "_l2").agg(F.hll_sketch_agg("site", F.lit(lg_slots)).alias("sketch"))
     spread = sketches.select("_l1", "_l2", F.hll_sketch_estimate("sketch").alias("sites"))
-    margin = max(1.0, 3 * 1.04 / math.sqrt(2**lg_slots) * min_sites)
+    margin = max(1.0, 6 * 1.04 / math.sqrt(2**lg_slots) * min_sites)
     spread = staged(spread.where(F.col("sites") >= min_sites - margin), "spread")
     near = spread.where(F.col("sites") <= min_sites + margin)
     exact = lines.join(near.select("_l1", "_l2"), ["_l1", "_l2"], "left_semi")
