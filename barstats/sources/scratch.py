@@ -20,9 +20,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/barstats"
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's own tables in the shared folder."""
+    return f"{shared_folder(spark)}/barstats-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def discard(spark: SparkSession) -> bool:
+    """Delete all that this application has put into the shared folder; False if there is nothing.
+
+    For the caller to say when: tables that were returned read from there until they
+    are written elsewhere.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

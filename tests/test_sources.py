@@ -3,9 +3,9 @@ from pyspark.sql import functions as F
 
 from barstats.plans.pipeline import flagship, run_intraday, run_pipeline
 from barstats.schema import ENRICHED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
-from barstats.sources import layout
+from barstats.sources import layout, scratch
 from barstats.sources.bars import explore_csv, read_enriched, read_ohlcv_csv
-from barstats.sources.scratch import new_folder, shared_folder
+from barstats.sources.scratch import discard, new_folder, shared_folder, staged
 from helpers import same_rows
 from test_clean import GOOD, bar, raw
 
@@ -134,6 +134,16 @@ def test_layout_can_be_turned_off(spark, bars, tmp_path):
 def test_scratch_is_the_sessions_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+    assert new_folder(spark, "x").startswith(f"{shared_folder(spark)}/barstats-{spark.sparkContext.applicationId}/")
+
+
+def test_discard_deletes_own_tables_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "run_folder", lambda spark: str(tmp_path / "run"))
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    assert not discard(spark)
+    assert staged(spark.range(5), "x").count() == 5
+    assert discard(spark) and not (tmp_path / "run").exists()
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 3
 
 
 def test_rows_of_another_schema_are_not_added(spark, tmp_path):
