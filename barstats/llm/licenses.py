@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, a template a set of words. A block is found if it has at least the
-share ``threshold`` of a template's words. The join is filtered, without losing a pair:
+A template is a set of words, a block a line, or up to WRAPPED lines in a row for templates of
+LONG words and more, which are seldom written on one. A block is found if it has at least the
+share ``threshold`` of a template's words and no smaller block within it does. The join is
+filtered, without losing a pair:
 
 * words are ordered by the number of blocks that have them in the whole corpus, rarest first;
 * prefix: of a template of n words of which k must be in the block, one of the rarest
@@ -22,7 +24,7 @@ with the names of new ones are replaced.
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, inf
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +50,9 @@ TEMPLATES = (
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
 THRESHOLD = 0.8
+WRAPPED, LONG = 4, 10
 CHUNK = 4_000_000
-FOUND = "array<struct<label:string,line:int,score:double>>"
+FOUND = "array<struct<label:string,line:int,lines:int,score:double>>"
 
 
 class TemplateIndex:
@@ -59,39 +62,68 @@ class TemplateIndex:
         words = {w for _, text in templates for w in plain_words(text)}
         ordered = sorted(words, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(ordered)}
-        self.templates, self.prefix, self.least = [], {}, None
+        self.templates, self.prefix = [], {}
+        #: The fewest common words that any template needs, and any of LONG words and more.
+        self.least, self.least_long = inf, inf
         for label, text in templates:
             ranks = sorted({self.rank[w] for w in plain_words(text)})
             if ranks:
                 need = max(1, ceil(threshold * len(ranks) - 1e-9))
-                self.least = min(need, self.least or need)
+                self.least = min(need, self.least)
+                if len(ranks) >= LONG:
+                    self.least_long = min(need, self.least_long)
                 for i, r in enumerate(ranks[: len(ranks) - need + 1]):
                     self.prefix.setdefault(r, []).append((len(self.templates), i))
                 self.templates.append((label, frozenset(ranks), need))
         self.vocabulary = self.rank.keys()
 
-    def find(self, block: list[bytes]) -> list[tuple[str, float]]:
-        """Label and share of every template that the block has enough of."""
-        if self.least is None or len(block) < self.least:
-            return []
-        common = self.vocabulary & set(block)
-        if len(common) < self.least:
-            return []
-        ranks = sorted(self.rank[w] for w in common)
+    def find(self, have: set[int], shortest: int = 1) -> dict[int, float]:
+        """Share of every template of ``shortest`` words and more that a block has enough of.
+
+        A block is given as the ranks of its words that templates have.
+        """
+        if len(have) < (self.least if shortest < LONG else self.least_long):
+            return {}
+        ranks = sorted(have)
         met: dict[int, bool] = {}
         for j, r in enumerate(ranks):
             for t, i in self.prefix.get(r, ()):
                 if t not in met:  # the first common word decides the bound
                     _, template, need = self.templates[t]
-                    met[t] = len(ranks) >= need <= min(len(template) - i, len(ranks) - j)
-        have, found = set(ranks), []
+                    possible = len(ranks) >= need <= min(len(template) - i, len(ranks) - j)
+                    met[t] = possible and len(template) >= shortest
+        found = {}
         for t, possible in met.items():
             if possible:
-                label, template, need = self.templates[t]
+                _, template, need = self.templates[t]
                 if (n := len(template & have)) >= need:
-                    found.append((label, n / len(template)))
+                    found[t] = n / len(template)
         return found
 
+    def blocks(self, text: str | None) -> list[dict]:
+        """The smallest blocks that are found, with their first line and number of lines."""
+        rank, vocabulary = self.rank, self.vocabulary
+        lines = [{rank[w] for w in vocabulary & set(plain_words(x))} for x in (text or "").split("\n")]
+        out = []
+
+        def give(i: int, n: int, found: dict[int, float]) -> None:
+            for t, share in found.items():
+                out.append({"label": self.templates[t][0], "line": i, "lines": n, "score": share})
+
+        joined, held = lines, []
+        for i, have in enumerate(lines):
+            found = self.find(have)
+            give(i, 1, found)
+            held.append({t for t in found if len(self.templates[t][1]) >= LONG})
+        for n in range(2, WRAPPED + 1):
+            joined = [a | b for a, b in zip(joined, lines[n - 1 :])]
+            held = [a | b for a, b in zip(held, held[1:])]
+            for i, have in enumerate(joined):
+                found = {t: share for t, share in self.find(have, LONG).items() if t not in held[i]}
+                give(i, n, found)
+                held[i] |= found.keys()
+        return out
+
 
 def block_counts(docs: DataFrame, words: set[bytes], text_col: str = "text") -> dict[bytes, int]:
     """In how many blocks each of these words is."""
@@ -139,7 +171,7 @@ def scan(
     phrases: dict[str, str] | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """The documents with n_words, phrases (word, label) and blocks (label, line, score).
+    """The documents with n_words, phrases (word, label) and blocks (label, first line, number of lines, score).
 
     ``templates`` has columns label and text.
     """
@@ -172,14 +204,4 @@ class _Search:
     def __call__(self, texts):
         if self.index is None:
             self.index = TemplateIndex(*self.given.value, self.threshold)
-        find = self.index.find
-        return [
-            [
-                [
-                    {"label": label, "line": i, "score": score}
-                    for i, line in enumerate((text or "").split("\n"))
-                    for label, score in find(plain_words(line))
-                ]
-                for text in texts
-            ]
-        ]
+        return [list(map(self.index.blocks, texts))]

@@ -322,6 +322,36 @@ def test_kept_documents_are_those_labelled_good(spark):
 # --- licenses
 
 
+def brute_blocks(text):
+    """Every run of lines with enough of a template, unless a smaller run within has it too."""
+    lines = [set(PLAIN.findall(lower(line))) for line in (text or "").split("\n")]
+    out = []
+    for label, template in licenses.TEMPLATES:
+        t, held = set(PLAIN.findall(lower(template))), set()
+        for n in range(1, (licenses.WRAPPED if len(t) >= licenses.LONG else 1) + 1):
+            for i in range(len(lines) - n + 1):
+                share = len(t & set().union(*lines[i : i + n])) / len(t)
+                if share >= licenses.THRESHOLD - 1e-9:
+                    if not any(i <= a and a + m <= i + n for a, m in held):
+                        out.append((label, share))
+                    held.add((i, n))
+    return out
+
+
+def test_wrapped_templates_are_found():
+    label, text = licenses.TEMPLATES[1]
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES), {}, licenses.THRESHOLD)
+    words = text.split()
+    for width in (5, 6, 9, 40):
+        rows = ["# " + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+        wrapped = "one\n" + "\n".join(rows) + "\ntwo"
+        got = index.blocks(wrapped)
+        same([(b["label"], b["score"]) for b in got], brute_blocks(wrapped))
+        assert {b["label"] for b in got} == {label}
+        assert all(1 <= b["line"] <= len(rows) and 1 <= b["lines"] <= licenses.WRAPPED for b in got)
+    assert index.blocks(None) == index.blocks("") == []
+
+
 @CASES
 def test_license_scan(spark, folders, case):
     want = []
@@ -333,13 +363,9 @@ def test_license_scan(spark, folders, case):
             at = [i for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
             places += [(i, label) for i in at]
         base = sorted({s for _, s in places})
-        for line in (r["text"] or "").split("\n"):
-            have = set(PLAIN.findall(lower(line)))
-            for label, text in licenses.TEMPLATES:
-                t = set(PLAIN.findall(lower(text)))
-                if len(t & have) >= licenses.THRESHOLD * len(t) - 1e-9:
-                    labels.add(label)
-                    score = max(score, len(t & have) / len(t))
+        for label, score_of in brute_blocks(r["text"]):
+            labels.add(label)
+            score = max(score, score_of)
         at = [i for i, _ in places]
         want.append((r["doc_id"], len(words), len(at), min(at, default=None), max(at, default=None), ",".join(base),
                      ",".join(sorted(labels | set(base))), 1.0 if at else score))
