@@ -1,9 +1,13 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A template is a set of words, a block a line, or up to WRAPPED lines in a row for templates of
-LONG words and more, which are seldom written on one. A block is found if it has at least the
-share ``threshold`` of a template's words and no smaller block within it does. The join is
-filtered, without losing a pair:
+A template is a set of words. It is found where a window of the text's words, whatever the line
+breaks in it, has at least the share ``threshold`` of them; a window has up to SPREAD times as many
+words as the template, so words that are scattered over a long line are no notice, and one that
+names two licenses is.
+
+What is given of a window are the smallest blocks of lines around it, with their share: a line, or up to WRAPPED
+lines in a row for templates of LONG words and more. A window that no such block holds is a block of
+its own lines. The join is filtered, without losing a pair; texts and blocks go the same way:
 
 * words are ordered by the number of blocks that have them in the whole corpus, rarest first;
 * prefix: of a template of n words of which k must be in the block, one of the rarest
@@ -24,6 +28,8 @@ with the names of new ones are replaced.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import accumulate
 from math import ceil, inf
 
 from pyspark.sql import DataFrame
@@ -51,6 +57,7 @@ TEMPLATES = (
 )
 THRESHOLD = 0.8
 WRAPPED, LONG = 4, 10
+SPREAD = 2
 CHUNK = 4_000_000
 FOUND = "array<struct<label:string,line:int,lines:int,score:double>>"
 
@@ -63,6 +70,8 @@ class TemplateIndex:
         ordered = sorted(words, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(ordered)}
         self.templates, self.prefix = [], {}
+        #: By template: the most words of a window.
+        self.window = []
         #: The fewest common words that any template needs, and any of LONG words and more.
         self.least, self.least_long = inf, inf
         for label, text in templates:
@@ -75,6 +84,8 @@ class TemplateIndex:
                 for i, r in enumerate(ranks[: len(ranks) - need + 1]):
                     self.prefix.setdefault(r, []).append((len(self.templates), i))
                 self.templates.append((label, frozenset(ranks), need))
+                own = plain_words(text)
+                self.window.append(SPREAD * len(own))
         self.vocabulary = self.rank.keys()
 
     def find(self, have: set[int], shortest: int = 1) -> dict[int, float]:
@@ -100,15 +111,68 @@ class TemplateIndex:
                     found[t] = n / len(template)
         return found
 
+    def _windows_of(self, t: int, places: list[int], ranks: list[int]) -> list[tuple[int, int, int, frozenset]]:
+        """The best windows of a template that do not overlap: first and last word, how
+        many of the template's words, and where these are."""
+        _, template, need = self.templates[t]
+        own = [(p, r) for p, r in zip(places, ranks) if r in template]
+        found, n, end = [], {}, 0
+        for k, (start, first) in enumerate(own):
+            while end < len(own) and own[end][0] < start + self.window[t]:
+                n[own[end][1]] = n.get(own[end][1], 0) + 1
+                end += 1
+            if len(n) >= need:
+                at: dict[int, int] = {}
+                for p, r in own[k:end]:
+                    at.setdefault(r, p)
+                found.append((start, max(at.values()), len(at), frozenset(at.values())))
+            n[first] -= 1
+            if not n[first]:
+                del n[first]
+        best, taken = [], set()
+        for w in sorted(found, key=lambda w: (-w[2], w[1] - w[0], w[0])):
+            if taken.isdisjoint(range(w[0], w[1] + 1)):
+                best.append(w)
+                taken.update(range(w[0], w[1] + 1))
+        return best
+
+    def windows(self, words: list[bytes]) -> dict[int, list[tuple[int, int, int, frozenset]]]:
+        """The windows of every template that the text has, without those that are part of
+        a match of another label."""
+        rank = self.rank
+        possible = self.find({rank[w] for w in self.vocabulary & set(words)})
+        if not possible:
+            return {}
+        places = [p for p, w in enumerate(words) if w in rank]
+        ranks = [rank[words[p]] for p in places]
+        found = {t: some for t in possible if (some := self._windows_of(t, places, ranks))}
+        at: dict[int, list[tuple[str, frozenset]]] = {}
+        for t, some in found.items():
+            for w in some:
+                for p in w[3]:
+                    at.setdefault(p, []).append((self.templates[t][0], w[3]))
+        for t, some in found.items():
+            label = self.templates[t][0]
+            found[t] = [w for w in some if not any(x != label and w[3] < more for x, more in at[w[0]])]
+        return {t: some for t, some in found.items() if some}
+
     def blocks(self, text: str | None) -> list[dict]:
-        """The smallest blocks that are found, with their first line and number of lines."""
+        """What is found, with the first line and the number of lines."""
+        rows = [plain_words(x) for x in (text or "").split("\n")]
+        windows = self.windows([w for row in rows for w in row])
+        if not windows:
+            return []
+        begins = [0, *accumulate(map(len, rows))]
         rank, vocabulary = self.rank, self.vocabulary
-        lines = [{rank[w] for w in vocabulary & set(plain_words(x))} for x in (text or "").split("\n")]
-        out = []
+        lines = [{rank[w] for w in vocabulary & set(row)} for row in rows]
+        out, shown = [], set()
 
         def give(i: int, n: int, found: dict[int, float]) -> None:
             for t, share in found.items():
-                out.append({"label": self.templates[t][0], "line": i, "lines": n, "score": share})
+                inside = [w for w in windows.get(t, ()) if w[0] < begins[i + n] and begins[i] <= w[1]]
+                if inside:
+                    out.append({"label": self.templates[t][0], "line": i, "lines": n, "score": share})
+                    shown.update((t, w[0]) for w in inside)
 
         joined, held = lines, []
         for i, have in enumerate(lines):
@@ -122,6 +186,12 @@ class TemplateIndex:
                 found = {t: share for t, share in self.find(have, LONG).items() if t not in held[i]}
                 give(i, n, found)
                 held[i] |= found.keys()
+        for t, some in windows.items():
+            label, template, _ = self.templates[t]
+            for first, last, n, _ in some:
+                if (t, first) not in shown:
+                    i, j = bisect_right(begins, first) - 1, bisect_right(begins, last) - 1
+                    out.append({"label": label, "line": i, "lines": j - i + 1, "score": n / len(template)})
         return out
 
 

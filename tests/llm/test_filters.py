@@ -352,6 +352,19 @@ def test_wrapped_templates_are_found():
     assert index.blocks(None) == index.blocks("") == []
 
 
+def test_templates_are_found_whatever_the_line_breaks():
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES), {}, licenses.THRESHOLD)
+    for label, text in licenses.TEMPLATES:
+        words = text.split()
+        for width in (1, 2, 3):
+            for between in ("\n", "\n\n"):
+                wrapped = between.join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+                got = index.blocks(f"one two\n{wrapped}\nthree")
+                assert {b["label"] for b in got} == {label}, (label, width)
+    own = licenses.TemplateIndex([("house", "Use within our house only")], {}, licenses.THRESHOLD)
+    assert own.blocks("a\nuse within\n\nour\nhouse b") == [{"label": "house", "line": 1, "lines": 4, "score": 0.8}]
+
+
 @CASES
 def test_license_scan(spark, folders, case):
     want = []
