@@ -3,7 +3,9 @@
 A template is a set of words. It is found where a window of the text's words, whatever the line
 breaks in it, has at least the share ``threshold`` of them; a window has up to SPREAD times as many
 words as the template, so words that are scattered over a long line are no notice, and one that
-names two licenses is.
+names two licenses is. Words that tell licenses apart must be in the window: those of the template that are in its label (name
+and version) or in NAMES. Where all that one template matches belongs to a match of another label that has
+more, only the larger is given. ``TEMPLATES`` has the licenses that are wanted, ``OTHERS`` those that would be taken for them.
 
 What is given of a window are the smallest blocks of lines around it, with their share: a line, or up to WRAPPED
 lines in a row for templates of LONG words and more. A window that no such block holds is a block of
@@ -55,6 +57,30 @@ TEMPLATES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
+#: Notices that share most words with those above.
+OTHERS = (
+    ("bsd", "Released under the BSD License."),
+    ("mpl-2", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("epl-2", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-2", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2"),
+    ("lgpl-2", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-3", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl-3", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("agpl-3", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+)
+#: Words that a template's match must have, besides those of its label.
+NAMES = frozenset(b"gnu lesser affero mozilla eclipse creative attribution sharealike noderivatives noncommercial".split())
 THRESHOLD = 0.8
 WRAPPED, LONG = 4, 10
 SPREAD = 2
@@ -70,8 +96,8 @@ class TemplateIndex:
         ordered = sorted(words, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(ordered)}
         self.templates, self.prefix = [], {}
-        #: By template: the most words of a window.
-        self.window = []
+        #: By template: the words that a match must have, and the most words of a window.
+        self.telling, self.window = [], []
         #: The fewest common words that any template needs, and any of LONG words and more.
         self.least, self.least_long = inf, inf
         for label, text in templates:
@@ -85,6 +111,8 @@ class TemplateIndex:
                     self.prefix.setdefault(r, []).append((len(self.templates), i))
                 self.templates.append((label, frozenset(ranks), need))
                 own = plain_words(text)
+                telling = NAMES.union(plain_words(label)).intersection(own)
+                self.telling.append(frozenset(self.rank[w] for w in telling))
                 self.window.append(SPREAD * len(own))
         self.vocabulary = self.rank.keys()
 
@@ -121,7 +149,7 @@ class TemplateIndex:
             while end < len(own) and own[end][0] < start + self.window[t]:
                 n[own[end][1]] = n.get(own[end][1], 0) + 1
                 end += 1
-            if len(n) >= need:
+            if len(n) >= need and self.telling[t] <= n.keys():
                 at: dict[int, int] = {}
                 for p, r in own[k:end]:
                     at.setdefault(r, p)

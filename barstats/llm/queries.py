@@ -84,7 +84,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    templates = spark.createDataFrame(licenses.TEMPLATES, "label string, text string")
+    templates = spark.createDataFrame(licenses.TEMPLATES + licenses.OTHERS, "label string, text string")
     found = licenses.scan(table(spark, folder).select("doc_id", "text"), templates)
     base = "transform(phrases, x -> x.label)"
     every = f"concat({base}, transform(blocks, x -> x.label))"

@@ -353,7 +353,7 @@ def test_wrapped_templates_are_found():
 
 
 def test_templates_are_found_whatever_the_line_breaks():
-    index = licenses.TemplateIndex(list(licenses.TEMPLATES), {}, licenses.THRESHOLD)
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES + licenses.OTHERS), {}, licenses.THRESHOLD)
     for label, text in licenses.TEMPLATES:
         words = text.split()
         for width in (1, 2, 3):
@@ -365,6 +365,20 @@ def test_templates_are_found_whatever_the_line_breaks():
     assert own.blocks("a\nuse within\n\nour\nhouse b") == [{"label": "house", "line": 1, "lines": 4, "score": 0.8}]
 
 
+def test_other_licenses_and_scattered_words_are_told_apart():
+    index = licenses.TemplateIndex(list(licenses.TEMPLATES + licenses.OTHERS), {}, licenses.THRESHOLD)
+    labels = lambda text: {b["label"] for b in index.blocks(text)}
+    for label, text in licenses.OTHERS:
+        assert labels(text) == labels(text.replace(" ", "\n")) == {label}, text
+    wanted = licenses.TemplateIndex(list(licenses.TEMPLATES), {}, licenses.THRESHOLD)
+    for text in ("Released under the BSD License.", "Licensed under the Mozilla Public License, Version 2.0.",
+                 "Licensed under CC BY-SA 4.0.", "This work is licensed under the GNU General Public License, version 2."):
+        assert wanted.blocks(text) == [], text
+    far = " and many other words here ".join(["Released", "under", "the", "MIT", "license"])
+    assert labels(far) == set()
+    assert labels("Licensed under the MIT License or the Apache License, Version 2.0") == {"mit", "apache-2"}
+
+
 @CASES
 def test_license_scan(spark, folders, case):
     want = []
