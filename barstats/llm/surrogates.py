@@ -1,6 +1,7 @@
 """Surrogates for personal data: keyed, of the same type, distinct and consistent.
 
-Entities are found by pattern: e-mail addresses, IP addresses, phone, card and social
+Entities are found by pattern: e-mail addresses, IP addresses of both versions, phone numbers (a + or a
+leading 0 and 8 to 15 digits in groups of any length, or an area code and two groups), card and social
 security numbers, and names behind a form of address, which are then replaced wherever the same document
 has them. An entity is its kind and a canonical form (an address in lower case, the digits
 of a number, a name's word case-folded), and its surrogate is drawn from a keyed hash of
@@ -25,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from ipaddress import IPv6Address
 
 import regex
 from pyspark.sql import DataFrame
@@ -49,8 +51,13 @@ NUMBERED = regex.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*+(?<!\.)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+)"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
+    r"|(?<![\w.:])(?P<ip6>(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){6}(?:\d{1,3}\.){3}\d{1,3}"
+    r"|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
+    r"(?:(?:[0-9A-Fa-f]{1,4}:){0,6}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{1,4}))?)(?![\w:]|\.\d)"
     r"|(?<![\w.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|-\d)"
-    r"|(?<![\w.])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}|\+\d{7,15})(?![\w])"
+    r"|(?<![\w.])(?P<phone>\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}(?!\w)"
+    r"|(?:\+ ?\(?\d|(?<![/-])(?!\d\d?[./-]\d\d?[./-]\d{4}(?!\d))(?:\(0|0(?=\d)))(?:[ ./()–-]{0,3}\d){7,14}(?!\w)"
+    r"|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}|\+\d{7,15})(?![\w])"
 )
 _DIGIT = regex.compile("[0-9]")
 _RUN = regex.compile(r"[\p{L}\w]+")
@@ -107,6 +114,20 @@ def _places(text: str, names: Iterable[str]) -> Iterator[tuple[int, str]]:
                     break
 
 
+def _groups(written: str) -> str:
+    """The eight groups of an IPv6 address; nothing for the empty address, or for what is none.
+
+    Words of a to f alone around two colons are more often names of a program.
+    """
+    if not _DIGIT.search(written) and len(written.replace("::", ":").strip(":").split(":")) < 4:
+        return ""
+    try:
+        value = int(IPv6Address(written))
+    except ValueError:
+        return ""
+    return ":".join(f"{value >> shift & 0xFFFF:x}" for shift in range(112, -16, -16)) if value else ""
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of every entity, in order, not overlapping.
 
@@ -115,9 +136,14 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text:
         return []
     found, people = [], {}
-    if "@" in text or _DIGIT.search(text):
+    if "@" in text or ":" in text or _DIGIT.search(text):
         for m in NUMBERED.finditer(text):
             kind, value = m.lastgroup, m[m.lastgroup]
+            if kind == "ip6":
+                if not (value := _groups(value)):
+                    continue
+                found.append((*m.span(kind), "ip", value))
+                continue
             if kind in ("email", "ip"):
                 value = value.lower()
             else:
@@ -165,12 +191,18 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
         shaped = [_same_shape(p, draws) for p in (local, *labels)]
         shaped[0] += "".join(chr(97 + draws.below(26)) for _ in range(more))
         return f"{shaped[0]}@{'.'.join(shaped[1:])}.example"
+    if kind == "ip" and ":" in canon:
+        if more > 3:  # all groups, of all lengths
+            return ":".join(f"{draws.below(1 << 16):x}" for _ in range(8))
+        lengths = [0 if g == "0" else min(4, len(g) + more) for g in canon.split(":")]
+        return ":".join(f"{16 ** (n - 1) + draws.below(15 * 16 ** (n - 1)):x}" if n else "0" for n in lengths)
     if kind == "ip":
         ranges = {1: (1, 10), 2: (10, 100), 3: (100, 256)}
         lengths = [min(3, len(o) + more) for o in canon.split(".")]
         return ".".join(str(lo + draws.below(hi - lo)) for lo, hi in (ranges[n] for n in lengths))
     if not kind.startswith("name-"):
-        return _same_shape(canon, draws)
+        national = len(canon) - len(canon.lstrip("0")[:20]) if kind == "phone" else 0
+        return canon[:national] + _same_shape(canon[national:], draws)
     _, part, *rest = kind.split("-")
     gender, script = (rest[0], rest[1]) if part == "given" else ("n", rest[0])
     first, vowels = SOUNDS[script]
@@ -185,6 +217,9 @@ def formatted(written: str, kind: str, new: str) -> str:
     if kind in ("ssn", "card", "phone"):
         digits = iter(new)
         return "".join(next(digits) if c.isdigit() else c for c in written)
+    if kind == "ip" and ":" in new:
+        new = IPv6Address(new).compressed if "::" in written else new
+        return new.upper() if written != written.lower() else new
     if kind == "email" and written != written.lower():
         local, _, domain = written.partition("@")
         return "".join(n.upper() if i < len(local) and local[i].isupper() else n for i, n in enumerate(new))

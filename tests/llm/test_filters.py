@@ -245,6 +245,22 @@ def test_forms_of_address_in_a_row_are_no_names():
     ]
 
 
+def test_phones_of_any_grouping_and_both_ip_versions_are_found():
+    for kind, written in [
+        *(("phone", w) for w in ("+33 1 23 45 67 89", "01 23 45 67 89", "+34 912 34 56 78", "030/1234567", "+49 (0)30 1234567", "(030) 123 45 67", "0049 30 123456", "01.23.45.67.89")),
+        *(("ip", w) for w in ("2001:db8::1", "2001:0DB8:0:0:0:FF00:42:8329", "fe80::ab", "::ffff:10.1.2.3")),
+    ]:
+        text = f"Call {written}, or not."
+        assert [(text[a:b], k) for a, b, k, _ in surrogates.mentions(text)] == [(written, kind)], written
+        new, (span,) = surrogates.rewrite(text, b"k" * 32, {})
+        assert new == f"Call {span['surrogate']}, or not." and span["surrogate"] != written
+        (again,) = surrogates.mentions(new)
+        assert again[2] == kind and new[again[0] : again[1]] == span["surrogate"]
+    assert surrogates.mentions("2001:DB8::1")[0][3] == surrogates.mentions("2001:db8:0:0:0:0:0:1")[0][3]
+    for text in ("am 01.02.2020 um 12:30:45", "05/12/2023", "0.123456789", "std::abc ab::cd ::", "a1:b::2::3"):
+        assert surrogates.mentions(text) == [], text
+
+
 def test_names_meet_neither_numbers_nor_longer_words():
     text = "Mr. Ann-Lee Ann, Dr. O’Neil: Ann@x9.de Ann-Lee Ann-Lees Anna O’Neil’s Ann"
     assert [(text[a:b], kind.split("-")[0]) for a, b, kind, _ in surrogates.mentions(text)] == [
