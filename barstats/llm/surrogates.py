@@ -10,9 +10,11 @@ Digits replace digits between the same separators, letters replace letters of th
 script, octets octets; names get names of the same gender (as the form of address tells it) and
 script. The replacing text ends like the entity's own: ``.example`` takes the place of an address's last label.
 
-Distinctness is checked over the corpus: a surrogate that is a real entity, or that two
-entities share, is drawn again for all but one, until none is left. Entities that needed another
-draw are few; the texts that have one are found by a 128-bit hash and told how often to draw.
+Distinctness is checked over the corpus, for all names together and for all numbers by their digits:
+a surrogate that is a real entity, or that two entities share, is drawn again for all but one, until
+none is left. A given name behind a form of address for either gender is the entity of the one gender that
+it has elsewhere. The texts with entities that needed another draw, or have such a gender, are found by a 128-bit hash and told
+how to draw.
 All others are rewritten from the key alone. Texts are read twice and only shuffled if Spark
 cannot send that small table to the tasks.
 
@@ -228,12 +230,13 @@ def formatted(written: str, kind: str, new: str) -> str:
     return new
 
 
-def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str | None, list[dict]]:
+def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], tuple[str, int]]) -> tuple[str | None, list[dict]]:
     """The text with surrogates, and what was replaced where (spans of the given text)."""
     found = mentions(text)
     parts, at, spans = [], 0, []
     for start, end, kind, canon in found:
-        new = surrogate(kind, canon, attempts.get((kind, canon), 0), key)
+        drawn, attempt = attempts.get((kind, canon), (kind, 0))
+        new = surrogate(drawn, canon, attempt, key)
         new = formatted(text[start:end], kind, new)
         parts += [text[at:start], new]
         at = end
@@ -256,9 +259,22 @@ def _key(text_col: str):
     return F.xxhash64(text_col).alias("_t1"), F.xxhash64(F.lit("t"), text_col).alias("_t2")
 
 
+def of_gender(found: DataFrame) -> DataFrame:
+    """kind, canon, drawn: given names of no known gender that are elsewhere met with one
+    gender only, and the kind that they are then drawn as."""
+    names = found.where("kind LIKE 'name-given-%'").select("kind", "canon").distinct()
+    known = names.where("kind NOT LIKE 'name-given-n-%'").groupBy("canon")
+    known = known.agg(F.min("kind").alias("drawn"), F.count("*").alias("n")).where("n = 1")
+    return names.where("kind LIKE 'name-given-n-%'").join(known.drop("n"), "canon").select("kind", "canon", "drawn")
+
+
+#: Kinds that are told apart by nothing that is written: all names, all numbers.
+_SPACE = "CASE WHEN kind LIKE 'name-%' THEN 'name' WHEN kind IN ('ssn', 'card', 'phone') THEN 'digits' ELSE kind END"
+
+
 def assign(found: DataFrame, key: bytes) -> DataFrame:
-    """kind, canon, attempt, new for distinct entities, so that no two of a kind share a
-    surrogate and none is a real entity of its kind.
+    """kind, canon, attempt, new for distinct entities, so that no two share a surrogate and
+    none is a real entity, of whatever kind that can be written the same.
 
     A surrogate belongs to the entity that has it at the earliest attempt (of several, the
     least); the others draw again. Every round is written to the shared folder.
@@ -268,13 +284,17 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
         work = lambda kinds, canons, tries: [list(map(surrogate, kinds, canons, tries, [key] * len(kinds)))]
         return append(rows, ["kind", "canon", "attempt"], "new string", work)
 
+    space = F.expr(_SPACE).alias("space")
     real = staged(found.select("kind", "canon").distinct(), "entities")
     drawn = staged(draw(real.withColumn("attempt", F.lit(0))), "drawn")
     while True:
-        owner = drawn.groupBy("kind", "new").agg(F.min(F.struct("attempt", "canon")).alias("owner"), F.count("*").alias("n"))
-        shared = owner.where("n > 1").select("kind", "new", "owner")
-        again = drawn.join(shared, ["kind", "new"]).where("owner.canon <> canon").select("kind", "canon")
-        taken = drawn.join(real.select("kind", F.col("canon").alias("new")), ["kind", "new"], "left_semi")
+        first = F.min(F.struct("attempt", "canon", "kind")).alias("owner")
+        owner = drawn.groupBy(space, "new").agg(first, F.count("*").alias("n"))
+        shared = owner.where("n > 1").select("space", "new", "owner")
+        again = drawn.withColumn("space", space).join(shared, ["space", "new"])
+        again = again.where("owner.canon <> canon OR owner.kind <> kind").select("kind", "canon")
+        known = real.select(space, F.col("canon").alias("new"))
+        taken = drawn.withColumn("space", space).join(known, ["space", "new"], "left_semi")
         again = staged(again.union(taken.select("kind", "canon")).distinct(), "again")
         if again.isEmpty():
             return drawn
@@ -288,19 +308,25 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     (in the given text) and surrogate of everything replaced."""
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
     found = staged(entities(docs, text_col), "mentions")
-    again = assign(found, secret).where("attempt > 0").select("kind", "canon", "attempt")
+    merged = staged(of_gender(found), "merged")
+    names = found.select("kind", "canon").distinct().join(merged, ["kind", "canon"], "left")
+    names = staged(names.select("kind", "canon", F.coalesce("drawn", "kind").alias("drawn")), "names")
+    drawn = assign(names.select(F.col("drawn").alias("kind"), "canon"), secret).where("attempt > 0")
+    drawn = drawn.select(F.col("kind").alias("drawn"), "canon", "attempt")
+    again = names.join(drawn, ["drawn", "canon"], "left").where("attempt > 0 OR drawn <> kind")
+    again = again.select("kind", "canon", "drawn", F.coalesce("attempt", F.lit(0)).alias("attempt"))
     again = staged(again, "attempts")
     rows = docs.drop("_attempts", "_t1", "_t2", "replaced")
     if again.isEmpty():
-        rows = rows.withColumn("_attempts", F.lit(None).cast("array<struct<kind:string,canon:string,attempt:int>>"))
+        rows = rows.withColumn("_attempts", F.lit(None).cast("array<struct<kind:string,canon:string,drawn:string,attempt:int>>"))
     else:
         of_text = found.join(again, ["kind", "canon"]).groupBy("_t1", "_t2")
-        of_text = staged(of_text.agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("_attempts")), "texts")
+        of_text = staged(of_text.agg(F.collect_set(F.struct("kind", "canon", "drawn", "attempt")).alias("_attempts")), "texts")
         one, two = _key(text_col)
         rows = rows.withColumns({"_t1": one, "_t2": two}).join(of_text, ["_t1", "_t2"], "left")
 
     def work(texts, attempts) -> Iterator[list]:
-        known = [{(a["kind"], a["canon"]): a["attempt"] for a in some or ()} for some in attempts]
+        known = [{(a["kind"], a["canon"]): (a["drawn"], a["attempt"]) for a in some or ()} for some in attempts]
         return list(zip(*(rewrite(t, secret, k) for t, k in zip(texts, known)))) or [[], []]
 
     names = [c for c in docs.columns if c not in ("replaced", "_attempts", "_t1", "_t2")]

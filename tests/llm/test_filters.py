@@ -245,6 +245,25 @@ def test_forms_of_address_in_a_row_are_no_names():
     ]
 
 
+def test_surrogates_are_distinct_across_kinds(spark):
+    words = ["x" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(1500)]
+    rows = [(kind, w) for w in words for kind in ("name-family-latin", "name-given-n-latin")]
+    taken = surrogates.surrogate("name-family-latin", words[0], 0, b"k" * 32)
+    rows += [("name-given-m-latin", taken), ("ssn", "123456789"), ("phone", surrogates.surrogate("ssn", "123456789", 0, b"k" * 32))]
+    got = surrogates.assign(spark.createDataFrame(rows, "kind string, canon string"), b"k" * 32).collect()
+    assert len({r["new"] for r in got}) == len(rows) == len(got)
+    assert not {r["new"] for r in got} & {c for _, c in rows}
+
+
+def test_a_name_has_one_surrogate_behind_any_form_of_address(spark):
+    rows = [(1, "Dr Anna Meier"), (2, "Frau Anna Meier"), (3, "Dr Kim Meier"), (4, "Herr Kim Meier"), (5, "Frau Kim Meier"), (6, "Dr Toni Meier")]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    new = {r["id"]: r["text"].split() for r in surrogates.replace_entities(docs, "k").collect()}
+    assert new[1][1:] == new[2][1:] and new[1][1].endswith("a")
+    assert len({new[i][1] for i in (3, 4, 5)}) == 3 and new[6][1].endswith("el")
+    assert len({w[2] for w in new.values()}) == 1
+
+
 def test_phones_of_any_grouping_and_both_ip_versions_are_found():
     for kind, written in [
         *(("phone", w) for w in ("+33 1 23 45 67 89", "01 23 45 67 89", "+34 912 34 56 78", "030/1234567", "+49 (0)30 1234567", "(030) 123 45 67", "0049 30 123456", "01.23.45.67.89")),
