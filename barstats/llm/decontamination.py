@@ -14,14 +14,18 @@ is one chunk. Documents are read once, nothing of them is shuffled or collected,
 are no sizes at which anything is left out.
 
 Words are runs of letters and digits with A-Z in lower case, so punctuation does not
-matter. An item with fewer words than the shortest mask is found as a whole and exactly; one
-without words, or with a null text, is in no document. A null document text has no words.
+matter. An item of up to SHORT words is laid against the document as a whole, with 0.8 of its words
+to match wherever they stand; its seeds are all choices of so many of its words. Of fewer than five
+words all must match. One without words, or with a null text, is in no document. A null document text has no words.
 Equal items, and repeated documents, each count as themselves. Columns of the input with
 the names of new ones are replaced.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import ceil
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +38,18 @@ MISMATCH = 2
 LEAST_RUN = 8
 #: A document leaks an item of which it has this share of words, and this many if so long.
 LEAK_SHARE, LEAK_WORDS = 0.5, 10
+#: Items of up to so many words are found by LEAST_SHARE of them.
+SHORT, LEAST_SHARE = 12, 0.8
 CHUNK = 16_000_000
 
 OVERLAPS = "array<struct<item_id:{key},start:int,words:int,matches:int,share:double,leaked:boolean>>"
 
 
+def needed(n: int) -> int:
+    """The words of an item of n that a leak has at least."""
+    return min(LEAK_WORDS, ceil(LEAST_SHARE * n - 1e-9)) if n > 4 else n
+
+
 class Seeds:
     """The seeds of one chunk of the benchmark, and the check of their hits."""
 
@@ -57,10 +68,14 @@ class Seeds:
                     self.words.append(np.array(number, np.int64))
                     self.ids.append([])
                 self.ids[i].append(key)
-        whole = sorted({len(w) for w in self.words if len(w) < shortest})
-        #: A mask of ones for each length below the masks'; used by items of that length.
+        short = sorted({len(w) for w in self.words if len(w) <= SHORT})
         self.tables = [(m, self._table(m, lambda w: len(w) >= shortest)) for m in self.masks]
-        self.tables += [(np.arange(n), self._table(np.arange(n), lambda w, n=n: len(w) == n)) for n in whole]
+        #: And for each length up to SHORT, used by items of that length, a mask for all the
+        #: choices of words that are enough; it begins at the first of them.
+        for n in short:
+            for some in combinations(range(n), needed(n)):
+                mask = np.array(some) - some[0]
+                self.tables.append((mask, self._table(mask, lambda w, n=n: len(w) == n, some[0])))
 
     @staticmethod
     def _hash(words: np.ndarray, mask: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -70,14 +85,14 @@ class Seeds:
             h ^= h >> np.uint64(29)
         return h
 
-    def _table(self, mask: np.ndarray, wanted) -> tuple[np.ndarray, ...]:
-        """Sorted hashes with their item and place."""
+    def _table(self, mask: np.ndarray, wanted, place: int | None = None) -> tuple[np.ndarray, ...]:
+        """Sorted hashes with their item and place: every place, or the one that is given."""
         found = []
         for i, words in enumerate(self.words):
             n = len(words) - int(mask[-1])
             if wanted(words) and n > 0:
-                at = np.arange(n)
-                found.append(np.stack([self._hash(words, mask, at).view(np.int64), np.full(n, i), at]))
+                at = np.arange(n) if place is None else np.array([place])
+                found.append(np.stack([self._hash(words, mask, at).view(np.int64), np.full(len(at), i), at]))
         rows = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
         h = rows[0].view(np.uint64)
         order = np.argsort(h, kind="stable")
@@ -114,7 +129,11 @@ class Seeds:
             item = self.words[i]
             lo, hi = max(0, -offset), min(len(item), len(words) - offset)
             same = item[lo:hi] == numbers[lo + offset : hi + offset]
-            for a, b in good_runs(same, min(LEAST_RUN, len(item))):
+            good = good_runs(same, min(LEAST_RUN, len(item)))
+            if len(item) <= SHORT and same.sum() >= needed(len(item)):
+                at = np.flatnonzero(same)
+                good = [(int(at[0]), int(at[-1]) + 1)]
+            for a, b in good:
                 matched = lo + a + np.flatnonzero(same[a:b])
                 runs.setdefault(i, []).append((lo + a + offset, b - a, matched))
         out = []
@@ -128,7 +147,7 @@ class Seeds:
                 "words": length,
                 "matches": matches,
                 "share": share,
-                "leaked": share >= LEAK_SHARE and matches >= min(LEAK_WORDS, n),
+                "leaked": share >= LEAK_SHARE and matches >= needed(n),
             }
             out += [{"item_id": key, **what} for key in self.ids[i]]
         return out

@@ -75,6 +75,20 @@ def test_decontamination(spark, folders, case, chunk):
         assert {r["doc_id"] for r in got if r["leaked"]} >= {10, 11}
 
 
+@pytest.mark.parametrize("n", range(1, 14))
+def test_short_items_bear_substituted_words(n):
+    item = [f"w{i}" for i in range(n)]
+    seeds = decontamination.Seeds([("x", " ".join(item))])
+    for i in range(n):
+        for changed in ({i}, {i, (i + 3) % n}):
+            text = " ".join(["so", *("z" if k in changed else w for k, w in enumerate(item)), "on"])
+            found = [o["matches"] for o in seeds.overlaps(text) if o["leaked"]]
+            enough = n - len(changed) >= 0.8 * n and n > 4
+            if n <= decontamination.SHORT:
+                assert found == ([n - len(changed)] if enough else []), (i, changed)
+    assert seeds.overlaps(" ".join(item))[0]["leaked"]
+
+
 def test_decontamination_keeps_columns_and_clean_documents(spark):
     docs = spark.createDataFrame([(1, "nothing of it", 5), (2, None, 6)], "doc_id int, text string, overlaps int")
     bench = spark.createDataFrame([("x", "some other words altogether")], "item_id string, text string")
