@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barstats.llm import (
+    byte_bpe,
+    centroids,
     decontamination,
     licenses,
     line_spread,
     mixing,
     quality,
+    ranked_search,
     secrets,
     simhash,
     surrogates,
@@ -23,6 +26,7 @@ from barstats.sources.scratch import new_folder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 #: For trying things out; a corpus of its own has a key of its own.
 PII_KEY = "example key"
 
@@ -122,6 +126,29 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The best documents for every item of the benchmark."""
+    index = ranked_search.build_index(table(spark, folder), new_folder(spark, "index"))
+    return ranked_search.search(index, table(spark, folder, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder).select("doc_id", "text")
+    path, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(docs, path, pattern).select("doc_id", "ids")
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return byte_bpe.decode(encoded, path, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(written, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.with_inertia(centroids.cluster(table(spark, folder, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -135,9 +162,56 @@ QUERIES = {
         op8_line_spread,
         op9_simhash,
         op10_token_store,
+        op11_ranked_search,
+        op12_byte_bpe,
+        op13_centroids,
     )
 }
 
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Rounds of assignment and means, one behind the other."""
+    near = """near{i} AS MATERIALIZED (
+            SELECT id, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+                SELECT v.id, c.k, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d
+                FROM parts v JOIN centroids{i} c USING (place) GROUP BY v.id, c.k
+            ) GROUP BY id
+        )"""
+    mean = """centroids{j} AS MATERIALIZED (
+            SELECT c.k, c.place, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.x)::BIGINT AS x
+            FROM centroids{i} c LEFT JOIN (
+                SELECT near{i}.k, v.place, sum(v.x)::HUGEINT AS s, count(*)::HUGEINT AS n
+                FROM near{i} JOIN parts v USING (id) GROUP BY near{i}.k, v.place
+            ) m USING (k, place)
+        )"""
+    steps = [part.format(i=i, j=i + 1) for i in range(rounds) for part in (near, mean)]
+    steps.append(near.format(i=rounds))
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, row_number() OVER () AS id, embedding FROM embeddings
+            WHERE len(embedding) = {centroids.COMPONENTS}
+                AND (SELECT count(*) FROM (SELECT unnest(embedding) AS x) WHERE isfinite(x)) = {centroids.COMPONENTS}
+        ), parts AS MATERIALIZED (
+            SELECT id, generate_subscripts(embedding, 1) AS place,
+                floor({centroids.SCALE} * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept
+        ), first AS (
+            SELECT id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM kept
+            QUALIFY k < {k}
+        ), centroids0 AS MATERIALIZED (
+            SELECT first.k, parts.place, parts.x FROM first JOIN parts USING (id)
+        ), {", ".join(steps)}, sums AS (
+            SELECT k, sum(d)::BIGINT AS cluster_inertia FROM near{rounds} GROUP BY k
+        ), names AS (
+            SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY place)) AS centroid_sha256
+            FROM centroids{rounds} GROUP BY k
+        )
+        SELECT vec_id, k::INTEGER AS cluster, d AS distance, cluster_inertia,
+            (SELECT sum(cluster_inertia)::BIGINT FROM sums) AS inertia, centroid_sha256
+        FROM near{rounds} JOIN kept USING (id) JOIN sums USING (k) JOIN names USING (k)
+    """
+
+
 #: The others go through a tokenizer, positions of matches, iterations or keyed hashes.
 ORACLE = {
     "op8_line_spread": f"""
@@ -155,4 +229,31 @@ ORACLE = {
             coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text
         FROM marked GROUP BY doc_id
     """,
+    "op11_ranked_search": f"""
+        WITH terms AS (
+            SELECT row, doc_id, term, count(*) AS tf FROM (
+                SELECT rowid AS row, doc_id, unnest(regexp_extract_all(
+                    translate(text, '{ranked_search.UPPER}', '{ranked_search.LOWER}'), '{ranked_search.TERM}')) AS term
+                FROM (SELECT row_number() OVER () AS rowid, * FROM documents)
+            ) GROUP BY row, doc_id, term
+        ), lengths AS (SELECT row, sum(tf) AS n FROM terms GROUP BY row
+        ), total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM lengths
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM terms, total GROUP BY term, docs
+        ), asked AS (
+            SELECT item, item_id, unnest(regexp_extract_all(
+                translate(text, '{ranked_search.UPPER}', '{ranked_search.LOWER}'), '{ranked_search.TERM}')) AS term
+            FROM (SELECT row_number() OVER () AS item, * FROM benchmark)
+        ), scored AS (
+            SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (
+                1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // all_terms)))))::BIGINT AS score
+            FROM asked JOIN terms USING (term) JOIN weights USING (term) JOIN lengths USING (row), total
+            GROUP BY item, item_id, row, doc_id
+        )
+        SELECT item_id, row_number() OVER best AS rank, doc_id, score FROM scored WHERE score > 0
+        WINDOW best AS (PARTITION BY item ORDER BY score DESC, doc_id)
+        QUALIFY rank <= 20
+    """,
+    "op13_centroids": _clusters_sql(centroids.CENTROIDS, centroids.ROUNDS),
 }
