@@ -756,15 +756,14 @@ def stream_ingest(spark, folder):
 def stream_zscore(spark, folder):
     """Events arrive in three batches; scores carry on across them and across restarts.
 
-    Half of the events of three hours come a batch early, which the delay bears; some events
-    have lost their time, and are set aside.
+    One symbol is two days behind the others throughout. Half of the events of three hours come a batch
+    early, which the delay bears; some events have lost their time, and are set aside.
     """
     incoming, checkpoint = new_folder(spark, "incoming"), new_folder(spark, "checkpoint")
-    scores = ZScoreStream(
-        output=new_folder(spark, "scores"), state=new_folder(spark, "state"), delay="6 hours", **BY_ROW
-    )
+    scores = ZScoreStream(output=new_folder(spark, "scores"), delay="6 hours", **BY_ROW)
     ticks = ticks_from_events(spark, folder).select(*KEY, "close")
-    at, odd = F.col(TS), F.col("row_index") % 2 == 1
+    behind = F.when(F.col(SYMBOL) == "click", F.expr("interval 2 days")).otherwise(F.expr("interval 0 days"))
+    at, odd = F.col(TS) + behind, F.col("row_index") % 2 == 1
     first, soon, second = (
         F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-11 03:00:00", "2024-01-21")
     )
@@ -778,7 +777,7 @@ def stream_zscore(spark, folder):
         part.write.mode("append").parquet(incoming)
         arriving = spark.readStream.schema(ticks.schema).parquet(incoming)
         scores.start(arriving, checkpoint).awaitTermination()
-    scores.finish(spark)
+    scores.finish(spark, checkpoint)
     aside = scores.read_rejects(spark).select(
         *KEY, F.lit(None).cast("double").alias(Z), F.lit(None).cast("boolean").alias(Z_FLAG)
     )

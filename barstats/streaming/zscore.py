@@ -1,151 +1,264 @@
-"""Rolling z-scores on a stream, with the batch operators.
-
-Row windows are not available on a streaming table. Each micro-batch is a batch
-table, though, and a trailing window needs only the last ``window - 1`` rows of a
-series from before it. Those rows are kept as a small Parquet table next to the
-query's checkpoint, together with the rows that are still ahead of the watermark,
-and are put in front of the next batch. A crowded symbol is cut into blocks there
-as anywhere else, and no Python runs per row.
-
-A batch that is run again after a failure reads the same state and overwrites the
-same output folder, so every bar comes out exactly once. No bar is lost: one without a
-time, and one that comes too late for its windows, is set aside with a reason.
+"""Rolling z-scores on a stream, from Spark's keyed state.
+
+A trailing window needs only the last ``window - 1`` values of a series from before a
+batch: a ring of them is the state of the series, next to the bars that still wait for
+earlier ones. Spark keeps it in its state store, gives a batch the state of the series
+it touches, writes output and state exactly once, and carries on from the checkpoint.
+
+Every series has a time of its own: its latest bar, less ``delay``. Bars come out in order when that
+passes them, however far other series are ahead. The stream's watermark lies ``idle`` behind the
+latest bar of all and only says which series have ended: a timer at a series' last time
+brings out what waits, and its state goes. A bar of a series after that starts it anew.
+
+No bar is lost: one without a time, and one that comes too late for its windows, comes
+out with a reason. A null column value is skipped by the window, as NaN is here. A task holds
+one batch's bars of one series at a time; limit the files of a trigger to bound them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from barstats.operators.rolling import add_rolling_stats
+from barstats.functions import mean_name, std_name, zscore_flag_name, zscore_name
+from barstats.operators.rolling import add_rolling_stats, check_size
 from barstats.operators.zscore import detect_zscore_anomalies
 from barstats.schema import SYMBOL, TS, WINDOW, Z_THRESHOLD
+from barstats.sources.layout import existing
+
+REASON = "reason"
+_AT = "_at"
+_EVENT = "_event"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The last values, the latest time seen, the time up to which bars have come out, and the timer.
+_SERIES = StructType(
+    [
+        StructField("ring", ArrayType(DoubleType())),
+        StructField("seen", LongType()),
+        StructField("out", LongType()),
+        StructField("timer", LongType()),
+    ]
+)
+
+
+def trailing_scores(ring: Sequence[float | None], values: Sequence[float | None], window: int):
+    """Mean, deviation and score of each value over the last ``window``, the ring being in front.
+
+    Arrays with NaN for what is not there. Sums are taken from the greatest value of the
+    frame, so that a flat frame has a deviation of exactly zero and hence no score.
+    """
+    if not len(values):
+        return (np.zeros(0),) * 3
+    gaps = [None] * (window - 1 - len(ring))
+    every = np.array([*gaps, *ring, *values], dtype=float)
+    frames = np.lib.stride_tricks.sliding_window_view(every, window)
+    mean, std = np.full(len(values), np.nan), np.full(len(values), np.nan)
+    for a in range(0, len(values), 8192):
+        frame = frames[a : a + 8192]
+        there = ~np.isnan(frame)
+        n = there.sum(1)
+        top = np.where(there, frame, -np.inf).max(1)
+        top[n == 0] = np.nan
+        off = np.where(there, frame - top[:, None], 0.0)
+        center = off.sum(1) / np.where(n > 0, n, np.nan)
+        square = np.where(there, (off - center[:, None]) ** 2, 0.0).sum(1)
+        mean[a : a + 8192] = top + center
+        std[a : a + 8192] = np.sqrt(square / np.where(n > 1, n - 1, np.nan))
+    own = every[window - 1 :]
+    score = (own - mean) / np.where(std > 0, std, np.nan)
+    return mean, std, score
+
+
+class SeriesScores(StatefulProcessor):
+    """The state of each series, and what comes out of it."""
+
+    def __init__(self, stream: ZScoreStream, bars: StructType, delay: int):
+        self.stream, self.delay = stream, delay
+        self.names = [f for f in bars.names if f != _AT]
+        self.waits = bars
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.series = handle.getValueState("series", _SERIES)
+        self.waiting = handle.getListState("waiting", self.waits)
+
+    def _place(self, row: dict) -> tuple:
+        keys = (row[c] for c in self.stream.tiebreak)
+        return row[_AT], *((k is not None, k) if k is not None else (False,) for k in keys)
+
+    def _bare(self, row: dict, reason: str) -> Row:
+        scores = dict.fromkeys(self.stream.added)
+        return Row(**{c: row[c] for c in self.names}, **scores, **{REASON: reason})
+
+    def _scored(self, ring: list, rows: list[dict]) -> Iterator[Row]:
+        """Score rows in order, and move the ring on behind them."""
+        window = self.stream.window
+        values = [row[self.stream.column] for row in rows]
+        for row, *numbers in zip(rows, *(a.tolist() for a in trailing_scores(ring, values, window))):
+            mean, std, score = (None if x != x else x for x in numbers)
+            flag = None if score is None else abs(score) > self.stream.threshold
+            added = dict(zip(self.stream.added, (mean, std, score, flag)))
+            yield Row(**{c: row[c] for c in self.names}, **added, **{REASON: None})
+        ring[:] = [None if v is None else float(v) for v in [*ring, *values][1 - window :]]
 
-EPOCH = "epoch"
-_DONE = "_done"
-_SEEN_TO = "_seen_to"
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.series.get() if self.series.exists() else None
+        ring, seen, out, timer = (list(known[0]), *known[1:]) if known else ([], None, None, None)
+        # What lies behind the watermark may belong to a series that has ended.
+        ended = timerValues.getCurrentWatermarkInMs() * 1000 or None
+        limit = out if known else ended
+        held = [dict(zip(self.waits.names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
+        before = len(held)
+        for row in rows:
+            row = row.asDict()
+            row = {c: row[c] for c in self.waits.names}
+            if row[_AT] is None:
+                yield self._bare(row, "bad_timestamp")
+            elif limit is not None and row[_AT] <= limit:
+                yield self._bare(row, "late")
+            else:
+                held.append(row)
+                seen = row[_AT] if seen is None else max(seen, row[_AT])
+        if len(held) == before:
+            return
+        out = max(t for t in (seen - self.delay, limit) if t is not None)
+        ready = sorted((row for row in held if row[_AT] <= out), key=self._place)
+        if ready:
+            yield from self._scored(ring, ready)
+        if rest := [tuple(row.values()) for row in held if row[_AT] > out]:
+            self.waiting.put(rest)
+        elif before:
+            self.waiting.clear()
+        due = seen // 1000
+        if timer != due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        self.series.update((ring, seen, out, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.series.get() if self.series.exists() else None
+        if known is None or known[3] != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        if self.waiting.exists():
+            held = [dict(zip(self.waits.names, row)) for row in self.waiting.get()]
+            yield from self._scored(list(known[0]), sorted(held, key=self._place))
+            self.waiting.clear()
+        self.series.clear()
+
+    def close(self) -> None:
+        pass
 
 
 @dataclass(frozen=True)
 class ZScoreStream:
-    """``delay`` is an interval: how long a bar may come after a later one.
+    """``delay`` is an interval: how long a bar may come after a later one of its series.
 
-    Bars are scored in the order of their time. One at or before the watermark
-    (the latest time seen, less the delay) when it arrives is late: the windows it
-    belongs to have gone out. Late bars, and bars without a time, go to the table of
-    rejects. With a delay the last bars wait for newer ones, or for :meth:`finish`.
+    Bars of a series are scored in the order of their time. One at or before the time up to which its
+    series has come out is late, and goes to the rejects, as one without a time does. With a
+    delay the last bars wait for newer ones, or for :meth:`finish`. ``idle`` is an interval: a
+    series that is this far behind the latest bar of all has ended.
     """
 
     output: str
-    state: str
     column: str = "close"
     window: int = WINDOW
     threshold: float = Z_THRESHOLD
     delay: str = "0 seconds"
+    idle: str = "30 days"
     ts: str = TS
     partition_cols: Sequence[str] = (SYMBOL,)
     tiebreak: Sequence[str] = ()
 
-    def _state_of(self, epoch: int) -> str:
-        # Two places in turn: a batch never writes where it reads.
-        return f"{self.state}/slot={epoch % 2}"
+    def __post_init__(self):
+        check_size(self.window)
 
     @property
-    def _rejects(self) -> str:
-        return f"{self.output}-rejects"
-
-    def _earlier(self, batch: DataFrame, epoch: int) -> DataFrame | None:
-        if epoch == 0:
-            return None
-        return batch.sparkSession.read.parquet(self._state_of(epoch - 1))
-
-    def process(self, batch: DataFrame, epoch: int) -> None:
-        """Score what a batch completes. Its source is read once."""
-        batch = batch.persist()
-        try:
-            self._process(batch, epoch)
-        finally:
-            batch.unpersist()
-
-    def _process(self, batch: DataFrame, epoch: int) -> None:
-        columns = batch.columns
-        at = F.col(self.ts)
-        timed = batch.where(at.isNotNull())
-        rejects = batch.where(at.isNull()).withColumn("reason", F.lit("bad_timestamp"))
-        fresh = timed.withColumn(_DONE, F.lit(False))
-        earlier = self._earlier(batch, epoch)
-        rows = fresh
-        before = F.lit(None).cast("timestamp_ntz")
-        if earlier is not None:
-            # The watermark travels with the rows it was computed for: one value.
-            before = earlier.agg(F.max(_SEEN_TO)).scalar()
-            known = fresh.withColumn("_before", before)
-            in_time = F.col("_before").isNull() | (at > F.col("_before"))
-            on_time, late = known.where(in_time), known.where(~in_time)
-            late = late.select(*columns).withColumn("reason", F.lit("late"))
-            rejects = rejects.unionByName(late)
-            rows = earlier.select(*columns, _DONE).unionByName(on_time.select(*columns, _DONE))
-        rejects.write.mode("overwrite").parquet(f"{self._rejects}/{EPOCH}={epoch}")
-        newest = timed.agg((F.max(self.ts) - F.expr(f"interval {self.delay}"))).scalar()
-        marked = rows.withColumn(_SEEN_TO, F.greatest(before, newest))
-        ready = marked.where(F.col(_DONE) | (at <= F.col(_SEEN_TO)))
-        self._score(ready, epoch)
-
-        # The limit on the rank is pushed to the map side: a few rows per series leave a task.
-        newest_first = Window.partitionBy(*self.partition_cols).orderBy(
-            *[F.desc(c) for c in (self.ts, *self.tiebreak)]
-        )
-        tails = (
-            ready.withColumn("_nth", F.row_number().over(newest_first))
-            .where(F.col("_nth") <= self.window - 1)
-            .drop("_nth")
-            .withColumn(_DONE, F.lit(True))
+    def added(self) -> tuple[str, ...]:
+        """The columns that scores add."""
+        return tuple(
+            name(self.column, self.window) for name in (mean_name, std_name, zscore_name, zscore_flag_name)
         )
-        ahead = marked.where(~F.col(_DONE) & (at > F.col(_SEEN_TO)))
-        tails.unionByName(ahead).write.mode("overwrite").parquet(self._state_of(epoch))
-
-    def _score(self, ready: DataFrame, epoch: int) -> None:
-        scored = add_rolling_stats(
-            ready,
-            self.column,
-            self.window,
-            ts=self.ts,
-            partition_cols=self.partition_cols,
-            tiebreak=self.tiebreak,
-        )
-        detect_zscore_anomalies(scored, self.column, self.window, self.threshold).where(
-            ~F.col(_DONE)
-        ).drop(_DONE, _SEEN_TO).write.mode("overwrite").parquet(f"{self.output}/{EPOCH}={epoch}")
 
-    def finish(self, spark: SparkSession) -> None:
-        """Score the bars that still wait for newer ones. The stream has ended with them.
+    @property
+    def _finished(self) -> str:
+        return f"{self.output}-finished"
 
-        Doing it again gives the same; going on after it needs a new state and checkpoint.
-        """
-        self._score(spark.read.parquet(self._state_of(self._last_epoch(spark))), -1)
+    def _micros(self) -> Column:
+        """A bar's time in microseconds, as the wall clock has it."""
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{self.ts}`)")
 
-    def _last_epoch(self, spark: SparkSession) -> int:
-        root = spark._jvm.org.apache.hadoop.fs.Path(self._rejects)
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-        return max(int(f.getPath().getName().partition("=")[2]) for f in files)
+    def scored(self, bars: DataFrame) -> DataFrame:
+        """The stream of bars with their scores, or with a reason why they have none."""
+        at = bars.withColumn(_AT, self._micros())
+        marked = at.withColumn(_EVENT, F.timestamp_micros(_AT)).withWatermark(_EVENT, self.idle)
+        # Without the column of the watermark Spark passes late bars on, and the series decides.
+        rows = marked.drop(_EVENT)
+        seconds = bars.sparkSession.range(1).select(
+            F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {self.delay}"))
+        )
+        kinds = (DoubleType(), DoubleType(), DoubleType(), BooleanType(), StringType())
+        new = [StructField(n, k) for n, k in zip((*self.added, REASON), kinds)]
+        processor = SeriesScores(self, rows.schema, seconds.first()[0])
+        return rows.groupBy(*self.partition_cols).transformWithState(
+            processor, StructType([*bars.schema.fields, *new]), "Append", "EventTime"
+        )
 
     def start(self, bars: DataFrame, checkpoint: str) -> StreamingQuery:
         """Score everything that has arrived, and stop. Start again to go on."""
-        return (
-            bars.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
+        spark = bars.sparkSession
+        before = spark.conf.get(_PROVIDER)
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+        try:  # the query takes a copy of the settings as it starts
+            return (
+                self.scored(bars)
+                .writeStream.format("parquet")
+                .option("path", self.output)
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
+        finally:
+            spark.conf.set(_PROVIDER, before)
+
+    def finish(self, spark: SparkSession, checkpoint: str) -> None:
+        """Score the bars that still wait for newer ones, from the state the stream has left.
+
+        The stream has ended with them: doing it again gives the same, and going on after it would
+        bring them out twice. The batch operators score them, behind the values of the rings.
+        """
+        state = spark.read.format("statestore").option("path", checkpoint)
+        waiting = state.option("stateVarName", "waiting").load().select("list_element.*").drop(_AT)
+        rings = state.option("stateVarName", "series").load().select("key.*", F.posexplode("value.ring"))
+        # Ring values stand in front of all bars, in their order.
+        first = F.coalesce(waiting.agg(F.min(self.ts)).scalar(), F.lit("1970-01-01").cast(waiting.schema[self.ts].dataType))
+        ahead = F.make_dt_interval(secs=F.lit(self.window) - F.col("pos"))
+        front = rings.select(
+            *self.partition_cols, F.col("col").alias(self.column), (first - ahead).alias(self.ts)
         )
+        rows = waiting.withColumn("_new", F.lit(True)).unionByName(front, allowMissingColumns=True)
+        series = {"ts": self.ts, "partition_cols": self.partition_cols, "tiebreak": self.tiebreak}
+        rolled = add_rolling_stats(rows, self.column, self.window, **series)
+        out = detect_zscore_anomalies(rolled, self.column, self.window, self.threshold).where("_new")
+        out = out.drop("_new").withColumn(REASON, F.lit(None).cast("string"))
+        out.write.mode("overwrite").parquet(self._finished)
+
+    def _all(self, spark: SparkSession) -> DataFrame:
+        rows = spark.read.parquet(self.output)
+        rest = existing(spark, self._finished)
+        return rows if rest is None else rows.unionByName(rest)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The bars scored so far."""
-        return spark.read.parquet(self.output).drop(EPOCH)
+        return self._all(spark).where(F.col(REASON).isNull()).drop(REASON)
 
     def read_rejects(self, spark: SparkSession) -> DataFrame:
         """The bars set aside so far, with a reason."""
-        return spark.read.parquet(self._rejects).drop(EPOCH)
+        return self._all(spark).where(F.col(REASON).isNotNull()).drop(*self.added)

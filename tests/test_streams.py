@@ -1,24 +1,49 @@
 from datetime import timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from barstats.operators.rolling import add_rolling_stats
 from barstats.operators.zscore import detect_zscore_anomalies
 from barstats.streaming.ingest import add_new_bars
-from barstats.streaming.zscore import ZScoreStream
+from barstats.streaming.zscore import ZScoreStream, trailing_scores
 from helpers import START, random_series, same_rows, series
 
+NUMBERS = ("close_rolling_mean_5", "close_rolling_std_5", "close_zscore_5")
 
-@pytest.fixture
-def stream(tmp_path):
-    def make(**options):
-        return ZScoreStream(
-            output=str(tmp_path / "out"), state=str(tmp_path / "state"), window=5, threshold=1.5,
-            tiebreak=("row_index",), **options,
+
+class Stream:
+    """A stream over files, in runs that each go on from the one before."""
+
+    def __init__(self, spark, folder, **options):
+        self.spark, self.folder = spark, folder
+        self.scores = ZScoreStream(
+            output=f"{folder}/out", window=5, threshold=1.5, tiebreak=("row_index",), **options
         )
 
-    return make
+    def put(self, bars):
+        bars.write.mode("append").parquet(f"{self.folder}/in")
+        arriving = self.spark.readStream.schema(bars.schema).parquet(f"{self.folder}/in")
+        self.scores.start(arriving, f"{self.folder}/checkpoint").awaitTermination()
+
+    def finish(self):
+        self.scores.finish(self.spark, f"{self.folder}/checkpoint")
+
+    def rows(self):
+        return sorted(r["row_index"] for r in self.scores.read(self.spark).collect())
+
+    def rejects(self):
+        return sorted((r["row_index"], r["reason"]) for r in self.scores.read_rejects(self.spark).collect())
+
+    def same_as_batch(self, bars):
+        want = rounded(batch_result(bars))
+        return same_rows(rounded(self.scores.read(self.spark)).select(want.columns), want)
+
+
+@pytest.fixture
+def stream(spark, tmp_path):
+    return lambda **options: Stream(spark, str(tmp_path), **options)
 
 
 def batch_result(bars):
@@ -27,50 +52,106 @@ def batch_result(bars):
     )
 
 
+def rounded(df):
+    return df.withColumns({c: F.round(c, 9) + F.lit(0.0) for c in NUMBERS})
+
+
 def test_batches_in_order_give_the_batch_result(spark, stream):
     bars = random_series(spark, 400).dropDuplicates(["date"]).cache()
     cuts = [F.lit(START + timedelta(minutes=m)).cast("timestamp_ntz") for m in (40, 80)]
     at, scores = F.col("date"), stream()
-    for epoch, part in enumerate((at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1])):
-        scores.process(bars.where(part), epoch)
-        scores.process(bars.where(part), epoch)  # run again after a failure
-    assert same_rows(scores.read(spark).select(batch_result(bars).columns), batch_result(bars))
+    for part in (at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]):
+        scores.put(bars.where(part))
+    assert scores.same_as_batch(bars) and not scores.rejects()
 
 
 def test_late_bars_are_set_aside(spark, stream):
-    bars = series(spark, [1.0, 2.0, 4.0, 8.0])
-    scores = stream()
-    scores.process(bars.where("row_index in (0, 2)"), 0)
-    scores.process(bars.where("row_index in (1, 3)"), 1)
-    assert sorted(r["row_index"] for r in scores.read(spark).collect()) == [0, 2, 3]
-    assert [(r["row_index"], r["reason"]) for r in scores.read_rejects(spark).collect()] == [(1, "late")]
+    bars, scores = series(spark, [1.0, 2.0, 4.0, 8.0]), stream()
+    scores.put(bars.where("row_index in (0, 2)"))
+    scores.put(bars.where("row_index in (1, 3)"))
+    assert scores.rows() == [0, 2, 3] and scores.rejects() == [(1, "late")]
 
 
 def test_a_delay_waits_for_bars_out_of_order(spark, stream):
     bars = series(spark, [1.0, 2.0, 4.0, 8.0, 16.0])
     end = spark.createDataFrame([("S", START + timedelta(hours=1), 99, 5.0)], bars.schema)
     scores = stream(delay="5 minutes")
-    scores.process(bars.where("row_index in (0, 2)"), 0)
-    assert scores.read(spark).isEmpty()
-    scores.process(bars.where("row_index in (1, 4)"), 1)
-    scores.process(bars.where("row_index = 3").unionByName(end), 2)
-    got = scores.read(spark)
-    assert same_rows(got.select(batch_result(bars).columns), batch_result(bars))
+    scores.put(bars.where("row_index in (0, 2)"))
+    assert scores.rows() == []
+    scores.put(bars.where("row_index in (1, 4)"))
+    scores.put(bars.where("row_index = 3").unionByName(end))
+    assert scores.same_as_batch(bars)
 
 
 def test_finish_scores_what_waits_and_rejects_are_kept(spark, stream):
-    bars = series(spark, [1.0, 2.0, 4.0, 8.0, 16.0])
+    bars = series(spark, [1.0, 2.0, 4.0, 8.0, 16.0, None, 32.0])
     lost = bars.where("row_index = 3").withColumn("date", F.lit(None).cast("timestamp_ntz"))
-    scores = stream(delay="1 hour")
-    scores.process(bars.where("row_index in (0, 2)").unionByName(lost), 0)
-    scores.process(bars.where("row_index in (1, 4)"), 1)
-    assert scores.read(spark).isEmpty()
+    scores = stream(delay="2 minutes")
+    scores.put(bars.where("row_index in (0, 2)").unionByName(lost))
+    scores.put(bars.where("row_index in (1, 4, 5, 6)"))
+    assert scores.rows() == [0, 1, 2, 4]
     for _ in range(2):
-        scores.finish(spark)
-        want = batch_result(bars.where("row_index <> 3"))
-        assert same_rows(scores.read(spark).select(want.columns), want)
-    rejects = scores.read_rejects(spark).collect()
-    assert [(r["row_index"], r["reason"]) for r in rejects] == [(3, "bad_timestamp")]
+        scores.finish()
+        assert scores.same_as_batch(bars.where("row_index <> 3"))
+    assert scores.rejects() == [(3, "bad_timestamp")]
+
+
+def test_a_series_far_behind_the_others_is_not_late(spark, stream):
+    ahead = series(spark, [1.0, 2.0, 4.0, 8.0, 9.0], "A", START + timedelta(days=2))
+    behind = series(spark, [3.0, 1.0, 5.0, 2.0, 9.0], "B")
+    scores = stream()
+    for part in ("row_index < 2", "row_index = 2", "row_index > 2"):
+        scores.put(ahead.where(part).unionByName(behind.where(part)))
+    assert scores.same_as_batch(ahead.unionByName(behind)) and not scores.rejects()
+
+
+def test_an_idle_series_ends_and_what_waits_comes_out(spark, stream):
+    old = series(spark, [1.0, 2.0, 4.0], "A")
+    scores = stream(delay="1 hour", idle="1 day")
+    scores.put(old.unionByName(series(spark, [5.0], "B")))
+    assert scores.rows() == []
+    scores.put(series(spark, [6.0], "B", START + timedelta(days=3)))
+    assert scores.rows() == [0, 0, 1, 2]  # all but the newest of B
+    state = spark.read.format("statestore").option("path", f"{scores.folder}/checkpoint")
+    left = state.option("stateVarName", "series").load().select("key.symbol").collect()
+    assert [r["symbol"] for r in left] == ["B"]
+    # Bars behind the watermark are late; later ones start the series anew.
+    scores.put(old.where("row_index = 2").unionByName(series(spark, [7.0], "A", START + timedelta(days=3))))
+    assert scores.rejects() == [(2, "late")]
+
+
+def test_a_quiet_run_keeps_the_state(spark, stream):
+    bars, scores = series(spark, [1.0, 2.0, 4.0, 8.0]), stream()
+    scores.put(bars.where("row_index < 2"))
+    scores.put(bars.limit(0))
+    scores.put(bars.where("row_index >= 2"))
+    assert scores.same_as_batch(bars)
+
+
+def test_columns_of_other_types_come_through(spark, stream):
+    bars = series(spark, [1.0, 2.0, 4.0]).withColumns(
+        {"big": F.lit(2**60 + 1), "gap": F.lit(None).cast("long"), "day": F.to_date("date"), "parts": F.array("row_index")}
+    )
+    scores = stream(delay="1 minute")
+    scores.put(bars.where("row_index < 2"))
+    scores.put(bars.where("row_index = 2"))
+    scores.finish()
+    assert same_rows(scores.scores.read(spark).select(bars.columns), bars)
+
+
+@pytest.mark.parametrize("cut", [0, 1, 4, 7, 30])
+def test_trailing_scores_carry_on_behind_the_ring(cut):
+    rng = np.random.default_rng(cut)
+    values = [None if rng.random() < 0.2 else float(rng.integers(0, 4)) for _ in range(30)]
+    whole = trailing_scores([], values, 5)
+    parts = [trailing_scores([], values[:cut], 5), trailing_scores(values[max(0, cut - 4) : cut], values[cut:], 5)]
+    for a, b, c in zip(whole, *parts):
+        assert np.allclose(a, np.concatenate([b, c]), equal_nan=True)
+
+
+def test_a_flat_frame_has_no_score():
+    mean, std, score = trailing_scores([], [0.1] * 30, 20)
+    assert np.allclose(mean, 0.1) and np.isnan(std[0]) and (std[1:] == 0).all() and np.isnan(score).all()
 
 
 def test_arriving_bars_are_added_once_and_by_day(spark, tmp_path):
@@ -80,12 +161,3 @@ def test_arriving_bars_are_added_once_and_by_day(spark, tmp_path):
     add_new_bars(bars.limit(0), lake)
     assert same_rows(spark.read.parquet(lake).drop("trading_day").select(bars.columns).where("close < 8"), bars)
     assert spark.read.parquet(lake).select("trading_day").distinct().count() == 2
-
-
-def test_a_quiet_batch_keeps_the_state(spark, stream):
-    bars = series(spark, [1.0, 2.0, 4.0, 8.0])
-    scores = stream()
-    scores.process(bars.where("row_index < 2"), 0)
-    scores.process(bars.limit(0), 1)
-    scores.process(bars.where("row_index >= 2"), 2)
-    assert same_rows(scores.read(spark).select(batch_result(bars).columns), batch_result(bars))
