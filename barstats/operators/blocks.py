@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barstats.operators.sliding import RowStage
 from barstats.schema import SYMBOL, TS
 
 BLOCK = "_block"
@@ -236,14 +237,17 @@ def in_blocks(
     return out
 
 
-def over_series(df: DataFrame, depth: int, *stages: Stage, **series) -> DataFrame:
+def over_series(df: DataFrame, depth: int, *stages: Stage | RowStage, **series) -> DataFrame:
     """Add windowed columns. A stage may use what the stages before it added."""
 
     def build(part: DataFrame) -> DataFrame:
         names = {k: v for k, v in series.items() if k in ("ts", "partition_cols", "tiebreak")}
         window = series_window(part, **names)
         for stage in stages:
-            part = part.withColumns(dict(stage(window)))
+            if isinstance(stage, RowStage):
+                part = stage.add_to(part, window)
+            else:
+                part = part.withColumns(dict(stage(window)))
         return part
 
     return in_blocks(df, depth, build, **series)

@@ -19,6 +19,7 @@ from barstats.operators.quarantine import (
     minute_of_day,
 )
 from barstats.operators.rolling import check_size, trailing
+from barstats.operators.sliding import RowStage, above_quantile
 from barstats.schema import SYMBOL, TS, WINDOW
 
 DAY = "trading_day"
@@ -78,33 +79,11 @@ def volume_stats_stage(size: int = WINDOW):
     return stage
 
 
-def sorted_quantile(values: Column, quantile: float) -> Column:
-    """Interpolated quantile of a sorted array."""
-    place = (F.size(values) - 1) * F.lit(quantile)
-    low = F.get(values, F.floor(place).cast("int"))
-    high = F.get(values, F.ceil(place).cast("int"))
-    return low + (high - low) * (place - F.floor(place))
-
-
-def regime_stages(
+def regime_stage(
     size: int = VOL_WINDOW, length: int = REGIME_WINDOW, quantile: float = REGIME_QUANTILE
-):
-    """TRUE where volatility exceeds its own recent quantile.
-
-    The frame is sorted as an array, which costs a fraction of ``percentile`` over
-    a moving frame; it holds at most ``length`` values.
-    """
-    vol = f"realized_vol_{size}"
-
-    def gather(window: WindowSpec) -> Mapping[str, Column]:
-        recent = F.collect_list(vol).over(trailing(window, length))
-        return {"is_volatility_regime": F.sort_array(recent)}
-
-    def compare(window: WindowSpec) -> Mapping[str, Column]:
-        bound = sorted_quantile(F.col("is_volatility_regime"), quantile)
-        return {"is_volatility_regime": F.col(vol) > bound}
-
-    return gather, compare
+) -> RowStage:
+    """TRUE where volatility exceeds its own recent quantile."""
+    return above_quantile(f"realized_vol_{size}", "is_volatility_regime", check_size(length), quantile)
 
 
 def ewma_stage(size: int = WINDOW, decay: float = EWMA_LAMBDA):
@@ -160,7 +139,7 @@ def add_vol_regime(
         size + length - 1,
         returns_stage,
         realized_vol_stage(size),
-        *regime_stages(size, length, quantile),
+        regime_stage(size, length, quantile),
         **series,
     )
 
@@ -193,7 +172,7 @@ def add_intraday_features(
         return_stats_stage(size),
         realized_vol_stage(vol_size),
         volume_stats_stage(size),
-        *regime_stages(vol_size, regime_length),
+        regime_stage(vol_size, regime_length),
         **series,
     )
     return add_session_features(windowed)
