@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from barstats.llm.common import Memo
 
+#: Pieces that a worker remembers; some 220 bytes each.
+REMEMBERED = 1_000_000
 #: A leaf without a pair; greater than any rank and place.
 _NONE = (1 << 62) - 1
 _PLACE = (1 << 32) - 1
@@ -46,41 +48,48 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     if n < 2:
         return [ranks[piece]] if n else []
-    leaves = 1 << (n - 2).bit_length()
-    pairs = [
-        _NONE if (r := ranks.get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)
-    ]
-    tree = [_NONE] * leaves + pairs + [_NONE] * (leaves - n + 1)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    get, last = ranks.get, n - 1
+    # Leaf p is node last + p. The key has the place in it, so the least of a range is leftmost
+    # whatever the shape of the tree, and any number of leaves will do.
+    tree = [_NONE] * last
+    for p in range(last):
+        rank = get(piece[p : p + 2])
+        tree.append(_NONE if rank is None else rank << 32 | p)
+    after, before = list(range(1, n + 1)), list(range(-1, last))
     if n > _SMALL:
         tree, after, before = array("q", tree), array("i", after), array("i", before)
-    for node in range(leaves - 1, 0, -1):
-        tree[node] = min(tree[2 * node], tree[2 * node + 1])
+    for node in range(last - 1, 0, -1):
+        a, b = tree[2 * node], tree[2 * node + 1]
+        tree[node] = a if a < b else b
 
-    get = ranks.get
     while (least := tree[1]) != _NONE:
         i = least & _PLACE
         j = after[i]
         k = after[i] = after[j]
-        changed = [(j, None)] if j < n - 1 else []
+        # Three leaves change: the pair at j is gone, the one at i and the one before have grown.
+        paths = [(last + i) >> 1]
+        if j < last:
+            tree[last + j] = _NONE
+            paths.append((last + j) >> 1)
         if k < n:
             before[k] = i
-            changed.append((i, get(piece[i : after[k]])))
+            rank = get(piece[i : after[k]])
+            tree[last + i] = _NONE if rank is None else rank << 32 | i
         else:
-            changed.append((i, None))
+            tree[last + i] = _NONE
         if i:
             h = before[i]
-            changed.append((h, get(piece[h:k])))
-        for place, rank in changed:
-            value = _NONE if rank is None else rank << 32 | place
-            node = leaves + place
-            while tree[node] != value:
-                tree[node] = value
-                if node == 1:
+            rank = get(piece[h:k])
+            tree[last + h] = _NONE if rank is None else rank << 32 | h
+            paths.append((last + h) >> 1)
+        for node in paths:
+            while node:
+                a, b = tree[2 * node], tree[2 * node + 1]
+                if b < a:
+                    a = b
+                if tree[node] == a:
                     break
-                other = tree[node ^ 1]
-                if other < value:
-                    value = other
+                tree[node] = a
                 node >>= 1
     ids, at = [], 0
     while at < n:
@@ -99,17 +108,17 @@ class ByteCoder:
             raise ValueError(f"{path}: bytes without a token")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(_as_written(pattern))
-        self.memo = Memo(self._ids)
+        self.memo = Memo(self._ids, most=REMEMBERED)
 
     def _ids(self, piece: str) -> bytes:
         data = piece.encode()
         rank = self.ranks.get(data)
-        return np.array(merged(data, self.ranks) if rank is None else [rank], "<i4").tobytes()
+        return array("i", merged(data, self.ranks) if rank is None else [rank]).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text."""
         pieces = self.pattern.findall(text) if text else ()
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), "<i4")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), np.intc)
 
     def decode(self, ids: np.ndarray) -> bytes:
         try:
@@ -142,7 +151,8 @@ def ids_of(path: str, pattern: str, text: Column) -> Column:
         values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
         return pa.ListArray.from_arrays(pa.array(ends), values)
 
-    return encode_texts(text)
+    # Ids that are used twice are still made once.
+    return encode_texts.asNondeterministic()(text)
 
 
 def bytes_of(path: str, pattern: str, ids: Column) -> Column:
