@@ -27,11 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barstats.operators.sliding import RowStage
 from barstats.schema import SYMBOL, TS
 
 BLOCK = "_block"
@@ -52,6 +52,13 @@ SHARED_DEPTH = 64
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 
+class Passes(Protocol):
+    """A stage that goes through the rows of a series in its own way."""
+
+    def add_to(self, part: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame: ...
+
+
+
 def series_window(
     df: DataFrame,
     ts: str = TS,
@@ -59,8 +66,18 @@ def series_window(
     tiebreak: Sequence[str] = (),
 ) -> WindowSpec:
     """The series' own order; inside one block when ``df`` is cut into blocks."""
-    keys = [*partition_cols, *([BLOCK] if BLOCK in df.columns else [])]
-    return Window.partitionBy(*keys).orderBy(ts, *tiebreak)
+    keys, order = series_columns(df, ts, partition_cols, tiebreak)
+    return Window.partitionBy(*keys).orderBy(*order)
+
+
+def series_columns(
+    df: DataFrame,
+    ts: str = TS,
+    partition_cols: Sequence[str] = (SYMBOL,),
+    tiebreak: Sequence[str] = (),
+) -> tuple[list[str], list[str]]:
+    """The columns that tell series (or their blocks) apart, and those that order their rows."""
+    return [*partition_cols, *([BLOCK] if BLOCK in df.columns else [])], [ts, *tiebreak]
 
 
 @dataclass(frozen=True)
@@ -237,15 +254,16 @@ def in_blocks(
     return out
 
 
-def over_series(df: DataFrame, depth: int, *stages: Stage | RowStage, **series) -> DataFrame:
+def over_series(df: DataFrame, depth: int, *stages: Stage | Passes, **series) -> DataFrame:
     """Add windowed columns. A stage may use what the stages before it added."""
 
     def build(part: DataFrame) -> DataFrame:
         names = {k: v for k, v in series.items() if k in ("ts", "partition_cols", "tiebreak")}
         window = series_window(part, **names)
+        keys, order = series_columns(part, **names)
         for stage in stages:
-            if isinstance(stage, RowStage):
-                part = stage.add_to(part, window)
+            if hasattr(stage, "add_to"):
+                part = stage.add_to(part, keys, order)
             else:
                 part = part.withColumns(dict(stage(window)))
         return part

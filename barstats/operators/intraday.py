@@ -18,7 +18,7 @@ from barstats.operators.quarantine import (
     SESSION_OPEN_MINUTE,
     minute_of_day,
 )
-from barstats.operators.rolling import check_size, trailing
+from barstats.operators.rolling import check_size, moments_stage, trailing
 from barstats.operators.sliding import RowStage, above_quantile
 from barstats.schema import SYMBOL, TS, WINDOW
 
@@ -51,32 +51,19 @@ def returns_stage(window: WindowSpec) -> Mapping[str, Column]:
 
 
 def return_stats_stage(size: int = WINDOW):
-    def stage(window: WindowSpec) -> Mapping[str, Column]:
-        frame = trailing(window, size)
-        return {
-            f"rolling_mean_return_{size}": F.avg("log_return").over(frame),
-            f"rolling_std_return_{size}": F.stddev_samp("log_return").over(frame),
-        }
-
-    return stage
+    return moments_stage(
+        "log_return", size, mean=f"rolling_mean_return_{size}", std=f"rolling_std_return_{size}"
+    )
 
 
 def realized_vol_stage(size: int = VOL_WINDOW):
-    squared = F.col("log_return") * F.col("log_return")
-    return lambda window: {
-        f"realized_vol_{size}": F.sqrt(F.sum(squared).over(trailing(window, size)))
-    }
+    return moments_stage("log_return", size, root_square=f"realized_vol_{size}")
 
 
 def volume_stats_stage(size: int = WINDOW):
-    def stage(window: WindowSpec) -> Mapping[str, Column]:
-        frame = trailing(window, size)
-        return {
-            f"volume_rolling_mean_{size}": F.avg("volume").over(frame),
-            f"volume_rolling_std_{size}": F.stddev_samp("volume").over(frame),
-        }
-
-    return stage
+    return moments_stage(
+        "volume", size, mean=f"volume_rolling_mean_{size}", std=f"volume_rolling_std_{size}"
+    )
 
 
 def regime_stage(

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import heapq
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from math import floor, inf
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -104,8 +104,9 @@ class RowStage:
     name: str
     make: Callable[[], Callable[[bool, float | None], bool | None]]
 
-    def add_to(self, part: DataFrame, window: WindowSpec) -> DataFrame:
+    def add_to(self, part: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
         # The window function brings the rows of a series into one task and in order.
+        window = Window.partitionBy(*keys).orderBy(*order)
         marked = part.withColumn(_FIRST, F.row_number().over(window) == 1)
         kept = [f for f in part.schema.fields if f.name != self.name]
         names, source, make = [f.name for f in kept], self.source, self.make

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from barstats.functions import iqr_flag_name, zscore_name
 from barstats.operators import clean as cleaning
-from barstats.operators import daily, features, histograms, intraday, iqr, profile, rolling, views
+from barstats.operators import daily, features, histograms, intraday, iqr, profile, rolling, rollup, views
 from barstats.operators import quarantine as q
 from barstats.operators.checks import data_quality_report
+from barstats.operators.quantiles import exact_quantiles
 from barstats.operators.rules import Rules, add_volume_zscore, apply_rules
 from barstats.operators.zscore import (
     add_rolling_zscore,
@@ -349,6 +350,15 @@ def rolling_stats_pooled(spark, folder):
     return rounded(out, *ROLLED).select("row_index", SYMBOL, TS, *ROLLED)
 
 
+@query
+def rolling_stats_wide(spark, folder):
+    """A frame of 2,000 order lines of a supplier's line number."""
+    lines = series_from_lineitem(spark, folder).withColumn(SYMBOL, F.col("l_linenumber").cast("string"))
+    out = rolling.add_rolling_stats(lines, "close", 2000, tiebreak=LINE_ORDER)
+    names = ("close_rolling_mean_2000", "close_rolling_std_2000")
+    return rounded(out, *names).select(SYMBOL, TS, *LINE_ORDER, *names)
+
+
 @query
 def zscore(spark, folder):
     out = add_rolling_zscore(rolled_ticks(spark, folder), "close", WINDOW)
@@ -475,6 +485,64 @@ def top_days_combined(spark, folder):
     return daily.top_days_combined(enriched(spark, folder))
 
 
+# --- a kept rollup ----------------------------------------------------------------
+
+
+def kept_rollup(spark, folder, rows=None):
+    """The days of January's first half are there already; the others arrive, one of them twice."""
+    lake, rolled = new_folder(spark, "lake"), rollup.Rollup(new_folder(spark, "rollup"), **BY_ROW)
+    bars = enriched(spark, folder) if rows is None else rows
+    layout.load_table(bars, lake, "overwrite")
+    day = F.col(DAY)
+    days = [r[DAY] for r in read_enriched(lake, spark).select(DAY).distinct().orderBy(DAY).collect()]
+    rolled.add(read_enriched(lake, spark).where(day < days[len(days) // 2]))
+    rolled.refresh(spark, lake, days[len(days) // 2 :])
+    rolled.refresh(spark, lake, days[-1:])
+    return rolled.read(spark)
+
+
+@query
+def rollup_summary(spark, folder):
+    kept = kept_rollup(spark, folder)
+    mean = rollup.daily_average(kept, "simple_return").withColumnRenamed("mean", "avg_return")
+    return rounded(rollup.daily_summary(kept).join(mean, [DAY, SYMBOL], "left"), "avg_return")
+
+
+@query
+def rollup_volatility(spark, folder):
+    top = rollup.highest_volatility_symbols(kept_rollup(spark, folder), limit=3)
+    return rounded(top, "return_volatility")
+
+
+@query
+def rollup_anomaly_counts(spark, folder):
+    return rollup.rolling_anomaly_counts(kept_rollup(spark, folder))
+
+
+@query
+def rollup_daily_series(spark, folder):
+    return rounded(rollup.daily_series(kept_rollup(spark, folder), "close"), "close")
+
+
+@query
+def iqr_bounds_merged(spark, folder):
+    """Fences from sketches of single days, with the exact edges that their ranks must lie between."""
+    ticks = ticks_from_events(spark, folder).withColumns(
+        {"simple_return": F.lit(None).cast("double"), Z_FLAG: F.lit(None).cast("boolean"), IQR_FLAG: F.lit(None).cast("boolean")}
+    )
+    bounds = rollup.iqr_bounds_merged(kept_rollup(spark, folder, ticks), by=[SYMBOL])
+    probs = [p + e for p in (0.25, 0.75) for e in (-RELATIVE_ERROR, RELATIVE_ERROR)]
+    edges = exact_quantiles(ticks, "close", probs, by=[SYMBOL]).select(SYMBOL, "quantiles")
+    edge = [F.col("quantiles")[i] for i in range(4)]
+    return bounds.join(edges, SYMBOL).select(
+        SYMBOL,
+        "n",
+        *[e.alias(name) for e, name in zip(edge, ("q1_from", "q1_to", "q3_from", "q3_to"))],
+        F.col("q1").between(edge[0], edge[1]).alias("q1_holds"),
+        F.col("q3").between(edge[2], edge[3]).alias("q3_holds"),
+    )
+
+
 # --- histograms and profiles ------------------------------------------------------
 
 

@@ -173,6 +173,11 @@ ORACLE["flagship_series"] = f"""WITH lines AS MATERIALIZED {_LINES},
       {rs('simple_return', *ROLLED, 'close_zscore_20')}, close_zscore_anomaly_20,
       close < lower OR close > upper AS close_iqr_anomaly FROM rolled, fences"""
 
+ORACLE["rolling_stats_wide"] = f"""SELECT symbol, date, {_LINE_ORDER},
+    {r('avg(close) OVER w', 'close_rolling_mean_2000')}, {r('stddev_samp(close) OVER w', 'close_rolling_std_2000')}
+    FROM (SELECT * REPLACE (CAST(l_linenumber AS VARCHAR) AS symbol) FROM {_LINES})
+    WINDOW w AS (PARTITION BY symbol ORDER BY date, {_LINE_ORDER} ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)"""
+
 # Sources and sinks.
 oracle("scan_csv_bars", f"SELECT {BAR_TEXT} FROM bars", "bars")
 oracle("sink_parquet_roundtrip", f"SELECT {BAR} FROM bars", "bars")
@@ -323,6 +328,40 @@ oracle(
     GROUP BY 1, 2 HAVING anomaly_count > 0 ORDER BY 3 DESC, 1, 2 LIMIT 10""",
     "enriched",
 )
+oracle(
+    "rollup_summary",
+    f"""SELECT {DAY}, symbol, count(*) AS bars, arg_min(open, (date, row_index)) AS open, max(high) AS high,
+      min(low) AS low, arg_max(close, (date, row_index)) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+      count_if(close_zscore_anomaly_20) AS zscore, count_if(close_iqr_anomaly) AS iqr,
+      count_if(coalesce(close_zscore_anomaly_20, false) OR coalesce(close_iqr_anomaly, false)) AS either,
+      {r('avg(simple_return)', 'avg_return')} FROM enriched GROUP BY 1, 2""",
+    "enriched",
+)
+oracle(
+    "rollup_volatility",
+    f"""SELECT symbol, {r('stddev_samp(simple_return)', 'return_volatility')},
+    count(simple_return) AS observations FROM enriched
+    GROUP BY symbol ORDER BY stddev_samp(simple_return) DESC, symbol LIMIT 3""",
+    "enriched",
+)
+oracle(
+    "rollup_anomaly_counts",
+    """SELECT trading_day, symbol, anomaly_count, CAST(sum(anomaly_count) OVER (PARTITION BY symbol
+      ORDER BY trading_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_anomaly_count
+    FROM (SELECT CAST(date AS DATE) AS trading_day, symbol, count_if(close_iqr_anomaly) AS anomaly_count
+      FROM enriched GROUP BY 1, 2)""",
+    "enriched",
+)
+oracle(
+    "rollup_daily_series", f"SELECT {DAY}, {r('avg(close)', 'close')} FROM enriched GROUP BY 1", "enriched"
+)
+oracle(
+    "iqr_bounds_merged",
+    """SELECT symbol, count(close) AS n, quantile_disc(close, 0.24) AS q1_from, quantile_disc(close, 0.26) AS q1_to,
+      quantile_disc(close, 0.74) AS q3_from, quantile_disc(close, 0.76) AS q3_to,
+      true AS q1_holds, true AS q3_holds FROM ticks GROUP BY symbol""",
+    "ticks",
+)
 oracle(
     "daily_volume",
     f"SELECT {DAY}, symbol, CAST(sum(volume) AS BIGINT) AS total_volume FROM bars GROUP BY 1, 2",
