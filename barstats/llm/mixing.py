@@ -3,16 +3,16 @@
 A source's target is its weight's share of all words, at most ``most_epochs`` times what it
 has; what a source cannot take is shared again by weight. A target is some whole passes
 over the source and a part of one more. For the part the source's documents are dealt to
-blocks of about BLOCK words by a keyed hash of their id, which is a random permutation, and
-blocks are drawn in a hashed order while they fit. In the one block where the target ends,
+blocks, BLOCKS of them or as many as have about BLOCK words, by a keyed hash of their id, which is a
+random permutation, and blocks are drawn in a hashed order while they fit. In the one block where the target ends,
 documents are drawn in hashed order while they fit, so that a target is met to within less
 than the smallest document left over.
 
 How many drawn blocks of each source go to which output shard comes from a tree over the
 shards: a node's blocks are divided between its halves by a multivariate hypergeometric
 draw, down to single shards, so quotas are exact and as random as if all blocks had been
-shuffled. Every shard then takes the next blocks of a source's permutation, disjoint from
-all others, and is shuffled by itself.
+shuffled. There are SHARDS of them, or as many as have about SHARD_WORDS words. Every shard then takes
+the next blocks of a source's permutation, disjoint from all others, and is shuffled by itself.
 
 What is counted per document is narrow (an id, a source and a size); only ``mix`` moves
 texts. A task of the draw sees one block's documents; windows run over the blocks
@@ -21,7 +21,8 @@ of a source; one row per source, aggregated, is ranked and split in single tasks
 Null sources are a source, last in order. A null or empty text has size 0 and is never
 taken. Rows with an id of their own are drawn alike however the table is cut into files;
 rows that repeat an id, or have none, are told apart by their position. No row is taken over
-``most_epochs`` times. In an empty table nothing is taken.
+``most_epochs`` times. In an empty table nothing is taken. Texts of any length are counted whole, and ties in
+a hashed order are broken by position. Columns that have the names of new ones are replaced.
 """
 
 from __future__ import annotations
@@ -39,8 +40,11 @@ from barstats.sources.scratch import staged
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
+#: Words of a block and of a shard in large tables; any table has this many of both at least.
 BLOCK = 200_000
 SHARD_WORDS = 10_000_000
+BLOCKS = 64
+SHARDS = 16
 SEED = 17
 _TOP_NODES = 32
 
@@ -150,16 +154,38 @@ def plan_mix(
     block: int = BLOCK,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
+    blocks: int = BLOCKS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """A row per document: row, doc_id, size, source_size, target and copies, an array with
     epoch and shard of every time the mix takes it."""
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows = staged(_measured(docs, row, id_col, text_col, source_col), "sizes")
-    draw = _draw(rows, weights, most_epochs, block, shard_words, seed)
+    draw = _draw(rows, weights, most_epochs, block, shard_words, seed, blocks, shards)
     taken = draw.taken(rows).select("row", "doc_id", "sid", "size", "copies")
     return taken.join(draw.targets.select("sid", "source_size", "target"), "sid").drop("sid")
 
 
+def _place(seed: int, shard: Column, epoch: Column) -> Column:
+    """Where a copy comes in the shuffled order of its shard."""
+    return F.xxhash64(F.lit(seed), shard, epoch, F.col("row"))
+
+
+def with_positions(plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """The plan with copies that also have their position in their shuffled shard, from 0.
+
+    A task orders one shard, whose size is bounded; rows here have no texts.
+    """
+    each = plan.select("row", F.explode("copies").alias("c")).select("row", "c.epoch", "c.shard")
+    place = _place(seed, F.col("shard"), F.col("epoch"))
+    order = Window.partitionBy("shard").orderBy("place", "row", "epoch")
+    each = each.withColumn("place", place).withColumn("position", F.row_number().over(order) - 1)
+    copies = each.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("epoch", "shard", "position"))).alias("placed"))
+    kind = "array<struct<epoch:int,shard:int,position:int>>"
+    out = plan.join(copies, "row", "left").withColumn("copies", F.expr(f"coalesce(placed, cast(array() AS {kind}))"))
+    return out.drop("placed")
+
+
 def _measured(docs: DataFrame, row: Column, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
     source = F.col(source_col).cast("string").alias("source")
@@ -198,14 +224,15 @@ class Draw:
 
 
 def _draw(
-    rows: DataFrame, weights: tuple[int, ...], most_epochs: int, block: int, shard_words: int, seed: int
+    rows: DataFrame, weights: tuple[int, ...], most_epochs: int, block: int, shard_words: int, seed: int,
+    least_blocks: int, least_shards: int,
 ) -> Draw:
     targets = staged(source_targets(rows, weights, most_epochs), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     sources = targets.withColumn("epochs", epochs.cast("int")).withColumns(
         {
             "part": F.col("target") - F.col("epochs") * F.col("source_size"),
-            "blocks": F.greatest(F.lit(1), F.ceil(F.col("source_size") / block)).cast("int"),
+            "blocks": F.greatest(F.lit(least_blocks), F.ceil(F.col("source_size") / block)).cast("int"),
         }
     )
     sources = staged(sources, "sources")
@@ -232,7 +259,7 @@ def _draw(
     slots = slots.select("sid", "block", "epoch", (F.col("epoch") * F.col("of") + F.col("pos")).alias("slot"))
     drawn = staged(slots.groupBy("sid").agg(F.count("*").alias("blocks")), "drawn")
     words = targets.agg(F.sum("target")).first()[0] or 0.0
-    quotas = staged(shard_quotas(drawn, max(1, ceil(words / shard_words)), seed), "quotas")
+    quotas = staged(shard_quotas(drawn, max(least_shards, ceil(words / shard_words)), seed), "quotas")
     upto = F.sum("quota").over(Window.partitionBy("sid").orderBy("shard"))
     of_shard = quotas.withColumn("upto", upto).select(
         "sid", "shard", F.explode(F.sequence(F.col("upto") - F.col("quota"), F.col("upto") - 1)).alias("slot")
@@ -265,6 +292,8 @@ def mix(
     block: int = BLOCK,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
+    blocks: int = BLOCKS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """The documents as often as the mix takes them, with mix_copy, mix_shard and mix_place.
 
@@ -274,10 +303,12 @@ def mix(
     """
     own = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     held = staged(_measured(docs, F.monotonically_increasing_id(), id_col, text_col, source_col, *own), "rows")
-    draw = _draw(held.select("row", "doc_id", "source", "size"), weights, most_epochs, block, shard_words, seed)
+    rows = held.select("row", "doc_id", "source", "size")
+    draw = _draw(rows, weights, most_epochs, block, shard_words, seed, blocks, shards)
     out = draw.taken(held).withColumn("_copy", F.explode("copies"))
-    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
-    place = F.xxhash64(F.lit(seed), F.col("_copy.shard"), F.col("_copy.epoch"), F.col("row"))
+    added = ("mix_copy", "mix_shard", "mix_place")
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in added]
+    place = _place(seed, F.col("_copy.shard"), F.col("_copy.epoch"))
     return out.select(
         *back,
         F.col("_copy.epoch").alias("mix_copy"),

@@ -69,9 +69,18 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    plan = mixing.plan_mix(table(spark, folder))
+    """What the mix takes of every document, with the shard of each copy and its place there."""
+    plan = mixing.with_positions(mixing.plan_mix(table(spark, folder)))
     taken = F.col("size") * F.size("copies")
-    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return plan.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        taken.alias("taken"),
+        F.transform("copies", lambda c: c["shard"]).alias("shards"),
+        F.transform("copies", lambda c: c["position"]).alias("positions"),
+    )
 
 
 def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:

@@ -187,6 +187,52 @@ def test_mix_gives_rows_as_often_as_planned(spark, folders, tmp_path):
     assert spark.read.parquet(str(tmp_path / "mix")).count() == len(mixed)
 
 
+@pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
+def test_the_query_goes_through_the_tree_and_a_local_shuffle(spark):
+    rows = queries.op4_mixing(spark, str(FOLDER)).collect()
+    order = defaultdict(list)
+    for r in rows:
+        assert r["taken"] == r["size"] * len(r["shards"])
+        for shard, position in zip(r["shards"], r["positions"]):
+            order[shard].append((position, r["doc_id"]))
+    assert set(order) == set(range(mixing.SHARDS))
+    for placed in order.values():
+        ids = [d for _, d in sorted(placed)]
+        assert sorted(p for p, _ in placed) == list(range(len(placed)))
+        assert len(ids) < 5 or ids != sorted(ids)
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
+def test_quotas_are_those_of_a_tree_drawn_by_hand(spark):
+    """Blocks of each source that a shard gets, node by node from the root."""
+    plan = mixing.plan_mix(queries.table(spark, str(FOLDER)))
+    drawn = spark.createDataFrame([(0, 640), (1, 64), (2, 3), (3, 100)], "sid int, blocks long")
+    counts = np.array([640, 64, 3, 100])
+    capacity = np.diff(np.arange(mixing.SHARDS + 1) * counts.sum() // mixing.SHARDS)
+    want, nodes = [], [(0, mixing.SHARDS, counts)]
+    while nodes:
+        lo, hi, here = nodes.pop()
+        if hi - lo == 1:
+            want += [(lo, sid, n) for sid, n in enumerate(here.tolist()) if n]
+            continue
+        mid = (lo + hi) // 2
+        rng = np.random.default_rng([mixing.SEED, lo, hi])
+        left = rng.multivariate_hypergeometric(here, int(capacity[lo:mid].sum()), method="marginals")
+        nodes += [(lo, mid, left), (mid, hi, here - left)]
+    got = mixing.shard_quotas(drawn, mixing.SHARDS, mixing.SEED)
+    same([tuple(r) for r in got.select("shard", "sid", "quota").collect()], want)
+    # Copies of a block stay together: they are dealt as blocks, and blocks are drawn in many parts.
+    assert plan.select(F.explode("copies.shard")).distinct().count() == mixing.SHARDS
+
+
+def test_columns_of_the_names_that_the_mix_adds(spark):
+    rows = [(i, "one two three", "a", "mine", "mine") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_copy string, Mix_Shard string")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == ["doc_id", "text", "source", "mix_copy", "mix_shard", "mix_place"]
+    assert dict(mixed.dtypes)["mix_shard"] == "int" and mixed.count() == 20
+
+
 # --- surrogates
 
 
