@@ -191,14 +191,22 @@ def sink_partition_overwrite(spark, folder):
 def retention_filter(spark, folder):
     path = new_folder(spark, "by-day")
     layout.load_table(bars_from_events(spark, folder), path, mode="overwrite")
-    kept = layout.retained(read_enriched(path, spark), 10, as_of="2024-01-30")
-    return rounded(kept, "average")
+    layout.expire(spark, path, 10, as_of="2024-01-30")
+    return rounded(read_enriched(path, spark), "average")
+
+
+@query
+def retained_days(spark, folder):
+    """A read of the days that are kept, of a table that has them all."""
+    path = new_folder(spark, "by-day")
+    layout.load_table(bars_from_events(spark, folder), path, mode="overwrite")
+    return rounded(layout.retained(read_enriched(path, spark), 10, as_of="2024-01-30"), "average")
 
 
 @query
 def run_summary(spark, folder):
     path = new_folder(spark, "summary")
-    layout.write_run_summary(enriched(spark, folder), path)
+    layout.load_with_summary(enriched(spark, folder), new_folder(spark, "by-day"), path, mode="overwrite")
     schema = (
         "processed_row_count long, symbols long, zscore_anomalies long, iqr_anomalies long,"
         " first_bar timestamp_ntz, last_bar timestamp_ntz"
@@ -272,7 +280,7 @@ def filter_time_range(spark, folder):
 @query
 def filter_flagged(spark, folder):
     """Flagged and unflagged bars, tagged; bars without a flag are in neither."""
-    bars = enriched(spark, folder)
+    bars = staged(enriched(spark, folder).select("row_index", SYMBOL, TS, Z_FLAG), "enriched")
     return (
         cleaning.flagged(bars, Z_FLAG)
         .unionByName(cleaning.flagged(bars, Z_FLAG, value=False))
@@ -554,7 +562,7 @@ def hist_close_by_iqr(spark, folder):
 
 @query
 def hist_numeric(spark, folder):
-    bars = rounded(clean_bars(spark, folder).select(*RAW_COLUMNS), "average")
+    bars = staged(rounded(clean_bars(spark, folder).select(*RAW_COLUMNS), "average"), "clean")
     return rounded(histograms.histogram_numeric(bars), "lower", "upper")
 
 
@@ -587,7 +595,7 @@ def profile_duplicates(spark, folder):
 
 @query
 def describe(spark, folder):
-    stats = profile.describe(clean_bars(spark, folder))
+    stats = profile.describe(staged(clean_bars(spark, folder), "clean"))
     return rounded(stats, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -756,6 +764,10 @@ def intraday_returns(spark, folder):
     ticks = ticks_from_events(spark, folder)
     bars = intraday.add_log_return(ticks, **BY_ROW).select(*KEY, "close", "log_return")
     flags = labelled(spark, folder).select(*KEY, "close", "anomaly_label", "anomaly_score")
+    # Both tables in buckets of the key, so that they meet without a shuffle.
+    bars, flags = (
+        layout.write_bucketed(t, new_folder(spark, "bucketed"), KEY, 8) for t in (bars, flags)
+    )
     out = views.intraday_returns(bars, flags, key=KEY)
     return rounded(out, "log_return", "anomaly_score")
 

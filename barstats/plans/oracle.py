@@ -193,11 +193,8 @@ oracle(
       CASE WHEN date >= '2024-01-16' THEN volume + 1 ELSE volume END AS volume) FROM bars)""",
     "bars",
 )
-oracle(
-    "retention_filter",
-    f"SELECT {BAR}, {DAY} FROM bars WHERE CAST(date AS DATE) >= DATE '2024-01-30' - 10",
-    "bars",
-)
+for _name in ("retention_filter", "retained_days"):
+    oracle(_name, f"SELECT {BAR}, {DAY} FROM bars WHERE CAST(date AS DATE) >= DATE '2024-01-30' - 10", "bars")
 oracle(
     "run_summary",
     """SELECT count(*) AS processed_row_count, count(DISTINCT symbol) AS symbols,

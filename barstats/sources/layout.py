@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+import time
 from collections.abc import Sequence
 from typing import Literal
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barstats.functions import trading_day
 from barstats.schema import IQR_FLAG, SYMBOL, TS, Z_FLAG
 
 DAY = "trading_day"
+_DAY_NAME = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
+_SUMMARY_TYPES = {"first_bar": "timestamp_ntz", "last_bar": "timestamp_ntz"}
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -86,6 +92,39 @@ def retained(df: DataFrame, days: int | None, as_of: str, day: str = DAY) -> Dat
     return df.where(F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), days))
 
 
+def expire(spark: SparkSession, path: str, days: int | None, as_of: str) -> list[str]:
+    """Delete the folders of days older than ``days`` before ``as_of``, and say which.
+
+    Only folders of days are looked at, and nothing is read. ``None`` keeps all.
+    """
+    if days is None:
+        return []
+    oldest = dt.date.fromisoformat(as_of) - dt.timedelta(days=days)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for entry in files.listStatus(root):
+        name, _, day = entry.getPath().getName().partition("=")
+        if entry.isDirectory() and name == DAY and _DAY_NAME.fullmatch(day) and dt.date.fromisoformat(day) < oldest:
+            files.delete(entry.getPath(), True)
+            gone.append(day)
+    return sorted(gone)
+
+
+def write_bucketed(df: DataFrame, path: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table in buckets of its key, sorted, and read it back.
+
+    Two tables in as many buckets of the same key meet in a join, and are grouped by it, without a
+    shuffle. The table is known by its path: its name in the catalog is given up again.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid4().hex}"
+    writer = df.repartition(buckets, *by).write.format("parquet").bucketBy(buckets, *by).sortBy(*by)
+    writer.option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return table
+
+
 def write_quarantine(df: DataFrame, path: str, mode: str = "append", ts: str = TS) -> None:
     """Rejected bars by day and reason."""
     by = [DAY, "reason"]
@@ -99,19 +138,42 @@ def write_quarantine(df: DataFrame, path: str, mode: str = "append", ts: str = T
     )
 
 
-def run_summary(df: DataFrame, z_flag: str = Z_FLAG, iqr_flag: str = IQR_FLAG) -> DataFrame:
-    """One row about a finished run."""
-    return df.agg(
-        F.count("*").alias("processed_row_count"),
-        F.countDistinct(SYMBOL).alias("symbols"),
+def _summary(z_flag: str, iqr_flag: str) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("processed_row_count"),
         F.count_if(F.col(z_flag)).alias("zscore_anomalies"),
         F.count_if(F.col(iqr_flag)).alias("iqr_anomalies"),
         F.min(TS).alias("first_bar"),
         F.max(TS).alias("last_bar"),
-    )
+    ]
+
+
+def run_summary(df: DataFrame, z_flag: str = Z_FLAG, iqr_flag: str = IQR_FLAG) -> DataFrame:
+    """One row about a finished run."""
+    return df.agg(*_summary(z_flag, iqr_flag), F.countDistinct(SYMBOL).alias("symbols"))
 
 
 def write_run_summary(df: DataFrame, path: str) -> None:
     """The summary as JSON, with the time it was made."""
     stamped = run_summary(df).withColumn("generated_at", F.current_timestamp())
     stamped.write.mode("overwrite").json(path)
+
+
+def load_with_summary(
+    df: DataFrame, path: str, summary: str, z_flag: str = Z_FLAG, iqr_flag: str = IQR_FLAG, **layout
+) -> DataFrame:
+    """Write a table with :func:`load_table`, and a summary of the run as JSON; read the table back.
+
+    The summary's counts are taken as the rows are written, so what the table was made from is read
+    once. Only the number of symbols, which is no running count, comes from that column of the new
+    table. The summary also has the seconds that the writing took and where the rows went.
+    """
+    seen, began = Observation(), time.monotonic()
+    load_table(df.observe(seen, *_summary(z_flag, iqr_flag)), path, **layout)
+    seconds, spark = time.monotonic() - began, df.sparkSession
+    table = spark.read.parquet(path)
+    symbols = table.agg(F.countDistinct(SYMBOL).alias("symbols"))
+    counts = [F.lit(v).cast(_SUMMARY_TYPES.get(k, "long")).alias(k) for k, v in seen.get.items()]
+    record = symbols.select(*counts, "symbols", F.lit(path).alias("output"), F.lit(seconds).alias("seconds"))
+    record.withColumn("generated_at", F.current_timestamp()).write.mode("overwrite").json(summary)
+    return table
