@@ -2,11 +2,11 @@
 
 A seed is a fixed mask over consecutive words: words at its ones are hashed together, words
 at its zeros are ignored, so a substituted word only spoils the seeds that look at it.
-Hashes of every place of the documents meet those of the benchmark. Around each hit the
-document is laid against the item at that offset, and the best run of words is taken in
-which a match counts 1 and a mismatch -MISMATCH; it may hold substituted words. On both sides of it
-more runs are looked for. Runs of all offsets of one item together tell how much of the
-item a document holds.
+Hashes of every place of the documents meet those of the benchmark. Hits of an item at nearby
+offsets are one place, where the document and the whole item are aligned: the most words in
+order, each within BAND of the offset of a hit, so that substituted, left out and added words only cost
+themselves. An alignment with 0.8 of the item's words counts whole, of another the runs in which at least
+half of the words match. Runs of all places of one item together tell how much of the item a document holds.
 
 The benchmark is sent to the tasks in chunks of at most CHUNK bytes of text each (in
 expectation: rows are dealt by hash), and documents pass by every chunk; a small benchmark
@@ -14,15 +14,18 @@ is one chunk. Documents are read once, nothing of them is shuffled or collected,
 are no sizes at which anything is left out.
 
 Words are runs of letters and digits with A-Z in lower case, so punctuation does not
-matter. An item of up to SHORT words is laid against the document as a whole, with 0.8 of its words
-to match wherever they stand; its seeds are all choices of so many of its words. Of fewer than five
-words all must match. One without words, or with a null text, is in no document. A null document text has no words.
-Equal items, and repeated documents, each count as themselves. Columns of the input with
-the names of new ones are replaced.
+matter. A leak has 0.8 of an item's words, or ten and half of them if it is longer than twelve.
+Items of up to SHORT words have seeds for all choices of so many of their words, and for all words
+but one that is left out. Of fewer than five words all must match. An item without words, or with a null
+text, is in no document. A null document text has no words; texts of any length are looked through whole.
+Equal items, and repeated documents, each count as themselves; of places that hold equally much of an
+item the first is reported. An empty benchmark leaves every document without overlaps, and an
+empty table stays empty. Columns of the input with the names of new ones are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import ceil
 
@@ -32,10 +35,14 @@ from pyspark.sql import functions as F
 
 from barstats.llm.common import append, chunks, plain_words
 
-MASKS = ("11101011", "1100110101", "1010011011")
-MISMATCH = 2
+MASKS = ("111011", "1101101", "10110011")
+#: What a word of the item that does not match costs a run, in words that do.
+MISMATCH = 1
 #: A run counts from this many words on (or the whole item, if it is shorter).
-LEAST_RUN = 8
+LEAST_RUN = 5
+#: By how many words an alignment may leave the offsets of its hits; by one for items of up to SHORT.
+BAND = 3
+WIDE = 64
 #: A document leaks an item of which it has this share of words, and this many if so long.
 LEAK_SHARE, LEAK_WORDS = 0.5, 10
 #: Items of up to so many words are found by LEAST_SHARE of them.
@@ -76,6 +83,8 @@ class Seeds:
             for some in combinations(range(n), needed(n)):
                 mask = np.array(some) - some[0]
                 self.tables.append((mask, self._table(mask, lambda w, n=n: len(w) == n, some[0])))
+            if needed(n) < n:  # and one for all its words but one that the document leaves out
+                self.tables.append((np.arange(n - 1), self._table_without_one(n)))
 
     @staticmethod
     def _hash(words: np.ndarray, mask: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -98,6 +107,20 @@ class Seeds:
         order = np.argsort(h, kind="stable")
         return h[order], rows[1][order], rows[2][order]
 
+    def _table_without_one(self, n: int) -> tuple[np.ndarray, ...]:
+        """Sorted hashes of the items of n words, each without one of its words."""
+        every, first = np.arange(n - 1), np.array([0])
+        found = [
+            (int(self._hash(np.delete(words, gone), every, first)[0]), i)
+            for i, words in enumerate(self.words)
+            if len(words) == n
+            for gone in range(n)
+        ]
+        h = np.array([x[0] for x in found], np.uint64)
+        order = np.argsort(h, kind="stable")
+        item = np.array([x[1] for x in found], np.int64)
+        return h[order], item[order], np.zeros(len(found), np.int64)
+
     def hits(self, words: np.ndarray) -> np.ndarray:
         """Distinct (item, offset of the item in the document)."""
         found = []
@@ -121,21 +144,28 @@ class Seeds:
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
     def overlaps(self, text: str | None) -> list[dict]:
-        """What the text holds of each item: its best runs over all offsets."""
+        """What the text holds of each item: its runs over all places."""
         words = plain_words(text)
         numbers = np.fromiter((self.word_id.get(w, 0) for w in words), np.int64, len(words))
         runs: dict[int, list[tuple[int, int, int, np.ndarray]]] = {}
-        for i, offset in self.hits(numbers).tolist():
+        for i, first, last in places(self.hits(numbers)):
             item = self.words[i]
-            lo, hi = max(0, -offset), min(len(item), len(words) - offset)
-            same = item[lo:hi] == numbers[lo + offset : hi + offset]
-            good = good_runs(same, min(LEAST_RUN, len(item)))
-            if len(item) <= SHORT and same.sum() >= needed(len(item)):
-                at = np.flatnonzero(same)
-                good = [(int(at[0]), int(at[-1]) + 1)]
-            for a, b in good:
-                matched = lo + a + np.flatnonzero(same[a:b])
-                runs.setdefault(i, []).append((lo + a + offset, b - a, matched))
+            band = 1 if len(item) <= SHORT else BAND
+            lo, hi = first - band, last + band
+            near = numbers[max(0, lo) : max(0, len(item) + hi)]
+            # No alignment has more than the item's words that are there at all.
+            if np.isin(item, near).sum() < min(LEAST_RUN, needed(len(item))):
+                continue
+            at = aligned(item, numbers, lo, hi)
+            taken = np.flatnonzero(at >= 0)
+            if len(taken) >= max(needed(len(item)), LEAST_SHARE * len(item)):
+                spans = [(int(taken[0]), int(taken[-1]) + 1)]
+            else:
+                spans = good_runs(at >= 0, min(LEAST_RUN, needed(len(item))))
+            for a, b in spans:
+                matched = a + np.flatnonzero(at[a:b] >= 0)
+                start = int(at[matched[0]])
+                runs.setdefault(i, []).append((start, int(at[matched[-1]]) + 1 - start, matched))
         out = []
         for i, found in sorted(runs.items()):
             n = len(self.words[i])
@@ -153,6 +183,52 @@ class Seeds:
         return out
 
 
+def places(hits: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Item, first and last offset of its hits (sorted) that are no more than a band apart; of
+    repeated words, whose hits go on and on, WIDE offsets at a time."""
+    if len(hits):
+        cut = (np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) > BAND)
+        starts = np.r_[0, np.flatnonzero(cut) + 1]
+        ends = np.r_[starts[1:], len(hits)] - 1
+        for i, first, last in zip(hits[starts, 0].tolist(), hits[starts, 1].tolist(), hits[ends, 1].tolist()):
+            for lo in range(first, last + 1, WIDE):
+                yield i, lo, min(last, lo + WIDE - 1)
+
+
+def aligned(item: np.ndarray, words: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Where each word of the item stands in the document, or -1: as many as can be in order, at
+    offsets from lo to hi."""
+    n, width = len(item), hi - lo + 1
+    # best[i][d] is the most matches of item[i:] at offsets from lo + d on, ahead of all that is used.
+    best = [[0] * (width + 2) for _ in range(n + 1)]
+    known = len(words)
+    same = [
+        [0 <= i + o < known and words[i + o] == item[i] for o in range(lo, hi + 1)] for i in range(n)
+    ]
+    for i in range(n - 1, -1, -1):
+        row, after, match = best[i], best[i + 1], same[i]
+        for d in range(width - 1, -1, -1):
+            # Leave out the document's word, the item's word, or take both.
+            most = row[d + 1]
+            if d and after[d - 1] > most:
+                most = after[d - 1]
+            elif not d and after[0] > most:
+                most = after[0]
+            if match[d] and after[d] + 1 > most:
+                most = after[d] + 1
+            row[d] = most
+    at, i, d = np.full(n, -1), 0, 0
+    while i < n and d < width:
+        if same[i][d] and best[i][d] == best[i + 1][d] + 1:
+            at[i] = i + lo + d
+            i += 1
+        elif best[i][d] == best[i][d + 1]:
+            d += 1
+        else:
+            i, d = i + 1, max(0, d - 1)
+    return at
+
+
 def good_runs(same: np.ndarray, least: int) -> list[tuple[int, int]]:
     """The best run, and those of the parts on both sides of it, of at least so many words."""
     found, parts = [], [(0, len(same))]
