@@ -5,7 +5,7 @@ at its zeros are ignored, so a substituted word only spoils the seeds that look
 Hashes of every place of the documents meet those of the benchmark. Hits of an item at nearby
 offsets are one place, where the document and the whole item are aligned: the most words in
 order, each within BAND of the offset of a hit, so that substituted, left out and added words only cost
-themselves. An alignment with 0.8 of the item's words counts whole, of another the runs in which at least
+themselves. An alignment with 0.7 of the item's words counts whole, of another the runs in which at least
 half of the words match. Runs of all places of one item together tell how much of the item a document holds.
 
 The benchmark is sent to the tasks in chunks of at most CHUNK bytes of text each (in
@@ -47,6 +47,8 @@ WIDE = 64
 LEAK_SHARE, LEAK_WORDS = 0.5, 10
 #: Items of up to so many words are found by LEAST_SHARE of them.
 SHORT, LEAST_SHARE = 12, 0.8
+#: An alignment with this share of an item's words needs no runs.
+WHOLE_SHARE = 0.7
 CHUNK = 16_000_000
 
 OVERLAPS = "array<struct<item_id:{key},start:int,words:int,matches:int,share:double,leaked:boolean>>"
@@ -158,7 +160,7 @@ class Seeds:
                 continue
             at = aligned(item, numbers, lo, hi)
             taken = np.flatnonzero(at >= 0)
-            if len(taken) >= max(needed(len(item)), LEAST_SHARE * len(item)):
+            if len(taken) >= max(needed(len(item)), WHOLE_SHARE * len(item)):
                 spans = [(int(taken[0]), int(taken[-1]) + 1)]
             else:
                 spans = good_runs(at >= 0, min(LEAST_RUN, needed(len(item))))

@@ -59,7 +59,7 @@ def brute_leaks(text, items):
         matched = set()
         for d in hits:
             at = [i for i, _ in most_in_order(item, words, d - band, d + band)]
-            if n <= decontamination.SHORT and len(at) >= need or len(at) >= max(need, 0.8 * n):
+            if n <= decontamination.SHORT and len(at) >= need or len(at) >= max(need, 0.7 * n):
                 matched |= set(at)
         if len(matched) >= need and 2 * len(matched) >= n:
             leaks.add(key)
@@ -69,7 +69,7 @@ def brute_leaks(text, items):
 @pytest.mark.parametrize("case", ["awkward", "empty", "given"])
 @pytest.mark.parametrize("chunk", [decontamination.CHUNK, 60])
 def test_decontamination(spark, folders, case, chunk):
-    """Whatever holds 0.8 of an item at one place is a leak, and nothing is that has not half of one."""
+    """Whatever holds 0.7 of an item, and enough of its words, at one place is a leak, and nothing is that has not half of one."""
     if case == "given" and chunk == 60:
         pytest.skip("a chunk for each item is tried on small tables")
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{folders[case]}/benchmark.parquet").to_pylist()]
@@ -119,7 +119,7 @@ def test_items_bear_a_word_left_out_or_added(n):
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
-@pytest.mark.parametrize("share,least", [(0.1, 0.99), (0.2, 0.97), (0.25, 0.9)])
+@pytest.mark.parametrize("share,least", [(0.1, 0.99), (0.2, 0.99), (0.25, 0.97), (0.3, 0.9)])
 def test_recall_by_share_of_substituted_words(share, least):
     """Items of every length: the given ones, and their beginnings of 5 to 20 words."""
     rng = np.random.default_rng(7)
@@ -138,7 +138,7 @@ def test_recall_by_share_of_substituted_words(share, least):
         of[size] += 1
         found[size] += any(o["leaked"] for o in seeds.overlaps(f"und so {text} weiter"))
     assert sum(found.values()) >= least * sum(of.values())
-    each = 0.9 if share <= 0.2 else 0.75
+    each = 0.9 if share <= 0.25 else 0.75
     assert all(found[n] >= each * of[n] for n in of), {n: found[n] / of[n] for n in of}
 
 
