@@ -5,9 +5,12 @@ distinct repository and by distinct owner. A value that several owners have is a
 example (documentation, test fixtures); one that a single owner has, and that looks
 random, is taken as live.
 
-Null texts are empty. A null repository or owner counts as one of its own. Repeated rows are
+Null texts are empty, texts of any length are scanned whole, and an empty table gives none. A null
+repository or owner counts as one of its own. Repeated rows are
 scanned as rows of their own but count once per repository and owner. Values are known by
-a 128-bit hash; the table of candidates holds no secret.
+a 128-bit hash; the table of candidates holds no secret. A key block is known by what stands between its
+first and its last line, however it is wrapped; one with nothing there is unclear. Candidates at one place
+are in the order of their kinds. ``find_candidates`` replaces a column candidates.
 """
 
 from __future__ import annotations
@@ -34,8 +37,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 and more starts where it is fi
 KEYED = re.compile(
     r"gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,}"
     r"|sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"
-    r"|-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    # A key block to its last line, or what can be of a key behind its first line.
+    r"|-----BEGIN [A-Z ]*PRIVATE KEY-----(?:((?:[^-]|-(?!----))*)-----END [A-Z ]*PRIVATE KEY-----|([A-Za-z0-9+/=\s]*))"
 )
+#: The hash of a key block with nothing in it, which says nothing of who has it.
+EMPTY = hashlib.blake2b(b"", digest_size=16).hexdigest()
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KEY_MARKS = ("gh", "xox", "AIza", "sk-", "eyJ", "-----BEGIN ")
 KINDS = ("assign", "access", "hex", "key")
@@ -69,10 +75,16 @@ def scan(text: str | None) -> list[tuple[str, int, int, str]]:
                 found.append(("access", m.start(), m.end(), m[0]))
     found += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     if any(mark in text for mark in KEY_MARKS):
-        found += [("key", m.start(), m.end(), m[0]) for m in KEYED.finditer(text)]
+        found += [("key", m.start(), m.end(), _secret_of(m)) for m in KEYED.finditer(text)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def _secret_of(m: re.Match) -> str:
+    """What is secret of a key: of a block all between its first and last line, however it is wrapped."""
+    body = m[0] if m[1] is None and m[2] is None else m[1] or m[2] or ""
+    return "".join(body.split())
+
+
 def find_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with an array of candidates in ``candidates``."""
 
@@ -83,7 +95,7 @@ def find_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 "start": start,
                 "end": end,
                 "hash": hashlib.blake2b(value.encode(), digest_size=16).hexdigest(),
-                "random": bits(value) >= LIVE_BITS,
+                "random": bool(value) and bits(value) >= LIVE_BITS,
             }
             for kind, start, end, value in scan(text)
         ]
@@ -135,7 +147,8 @@ def judge_candidates(
     each = rows.select("row", "repo", "owner", F.inline("candidates"))
     counts = staged(ownership(each), "ownership")
     verdict = (
-        F.when(F.col("owners") >= example_owners, "example")
+        F.when(F.col("hash") == EMPTY, "unclear")
+        .when(F.col("owners") >= example_owners, "example")
         .when((F.col("owners") == 1) & F.col("random"), "live")
         .otherwise("unclear")
     )
