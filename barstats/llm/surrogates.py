@@ -6,13 +6,14 @@ security numbers, and names behind a form of address, which are then replaced wh
 has them. An entity is its kind and a canonical form (an address in lower case, the digits
 of a number, a name's word case-folded), and its surrogate is drawn from a keyed hash of
 those, so one entity has one surrogate in the whole corpus, whichever way it is written.
-Digits replace digits between the same separators, letters replace letters of the same case and
-script, octets octets; names get names of the same gender (as the form of address tells it) and
+Digits replace digits between the same separators, and a card's number whose last digit checks gets one of which
+the same is true; letters replace letters of the same case and script; octets replace octets, of the same
+private or local network if the address is of one. Names get names of the same gender (as the form of address tells it) and
 script. The replacing text ends like the entity's own: ``.example`` takes the place of an address's last label.
 
 Distinctness is checked over the corpus, for all names together and for all numbers by their digits:
 a surrogate that is a real entity, or that two entities share, is drawn again for all but one, until
-none is left. A given name behind a form of address for either gender is the entity of the one gender that
+none is left; an entity for which MOST_DRAWS draws do not suffice is an error, as its format has too few free values. A given name behind a form of address for either gender is the entity of the one gender that
 it has elsewhere. The texts with entities that needed another draw, or have such a gender, are found by a 128-bit hash and told
 how to draw.
 All others are rewritten from the key alone. Texts are read twice and only shuffled if Spark
@@ -44,8 +45,11 @@ GENDERS = {title: g for g, titles in (("m", MALE), ("f", FEMALE), ("n", EITHER))
 
 _TITLES = "|".join(sorted(map(regex.escape, GENDERS), key=len, reverse=True))
 #: A word of a name: no form of address itself, but for one that is a given name too.
-_NAME = rf"(?!(?!Don\b)(?:{_TITLES})\b)\p{{Lu}}[\p{{L}}’-]*"
-PERSON = regex.compile(rf"(?<![\w-])({_TITLES})\.? ({_NAME}(?: {_NAME}){{0,2}})")
+_NAME = rf"(?!(?!Don\b)(?:{_TITLES})\b)\p{{Lu}}(?:[\p{{L}}’-]|'(?=\p{{Lu}}))*"
+#: Words between names that are kept as they are.
+PARTICLES = ("van", "von", "der", "den", "de", "del", "della", "di", "da", "du", "la", "le", "ten", "zu", "bin", "al")
+_PART = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME}"
+PERSON = regex.compile(rf"(?<![\w-])({_TITLES})\.? ({_PART}(?: {_PART}){{0,2}})")
 #: An address is looked for once in each run of characters that it may have before its @, so
 #: long runs without one cost no more than their length.
 NUMBERED = regex.compile(
@@ -64,6 +68,8 @@ NUMBERED = regex.compile(
 _DIGIT = regex.compile("[0-9]")
 _RUN = regex.compile(r"[\p{L}\w]+")
 _TITLE_SEEN = regex.compile(rf"(?<![\w-])(?:{_TITLES})\b")
+#: Draws after which an entity fails, and after which an address may be of any network.
+MOST_DRAWS, ANY_NETWORK = 60, 24
 KINDS = ("email", "ip", "ssn", "card", "phone", "name")
 
 #: Syllables of made-up names: plain sounds of each script.
@@ -100,18 +106,19 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
-def _places(text: str, names: Iterable[str]) -> Iterator[tuple[int, str]]:
-    """Where the names stand as words of their own, the longest at each place, in one pass."""
-    of_run: dict[str, list[str]] = {}
+def _places(text: str, names: Iterable[str]) -> Iterator[tuple[int, int]]:
+    """Where the names stand as words of their own, whatever the case behind a capital letter;
+    the longest at each place, in one pass."""
+    of_run: dict[str, dict[str, int]] = {}
     for name in sorted(names, key=len, reverse=True):
-        of_run.setdefault(_RUN.match(name)[0], []).append(name)
+        of_run.setdefault(_RUN.match(name)[0].casefold(), {}).setdefault(name.casefold(), len(name))
     after = 0
     for m in _RUN.finditer(text):
-        if m.start() >= after:
-            for name in of_run.get(m[0], ()):
-                end = m.start() + len(name)
-                if text.startswith(name, m.start()) and not _RUN.match(text, end):
-                    yield m.start(), name
+        if m.start() >= after and not m[0][0].islower():
+            for name, length in of_run.get(m[0].casefold(), {}).items():
+                end = m.start() + length
+                if text[m.start() : end].casefold() == name and not _RUN.match(text, end):
+                    yield m.start(), end
                     after = end
                     break
 
@@ -137,7 +144,7 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
     """
     if not text:
         return []
-    found, people = [], {}
+    found, people, written = [], {}, set()
     if "@" in text or ":" in text or _DIGIT.search(text):
         for m in NUMBERED.finditer(text):
             kind, value = m.lastgroup, m[m.lastgroup]
@@ -153,17 +160,18 @@ def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
             found.append((*m.span(kind), kind, value))
     if _TITLE_SEEN.search(text):
         for m in PERSON.finditer(text):
-            words = m[2].split(" ")
+            words = [w for w in m[2].split(" ") if w not in PARTICLES]
+            written.update(words)
             for i, w in enumerate(words):
                 part = "family" if i == len(words) - 1 else f"given-{GENDERS[m[1]]}"
-                people.setdefault(w, f"name-{part}-{script_of(w)}")
+                people.setdefault(w.casefold(), f"name-{part}-{script_of(w)}")
     if people:
         starts, ends = [a for a, *_ in found], [b for _, b, *_ in found]
-        for start, name in _places(text, people):
-            end = start + len(name)
+        for start, end in _places(text, written):
             k = bisect_left(starts, end) - 1  # the last that begins before the name ends
             if k < 0 or ends[k] <= start:
-                found.append((start, end, people[name], name.casefold()))
+                canon = text[start:end].casefold()
+                found.append((start, end, people[canon], canon))
     return sorted(found)
 
 
@@ -180,6 +188,22 @@ def _same_shape(text: str, draws: Draws) -> str:
     return "".join(out)
 
 
+def check_digit(digits: str) -> str:
+    """The digit behind these that makes them a card's number."""
+    doubled = [int(c) * (2 - i % 2) for i, c in enumerate(reversed(digits))]
+    return str(-sum(d // 10 + d % 10 for d in doubled) % 10)
+
+
+def network(octets: list[str]) -> tuple[tuple[int, int], ...]:
+    """Ranges of the octets that make an address private, local or of its own host; else none."""
+    a, b = int(octets[0]), int(octets[1])
+    if a in (10, 127):
+        return ((a, a + 1),)
+    if a == 172 and 16 <= b < 32:
+        return (a, a + 1), (16, 32)
+    return ((a, a + 1), (b, b + 1)) if (a, b) in ((192, 168), (169, 254)) else ()
+
+
 def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
     """The canonical form of an entity's surrogate at an attempt.
 
@@ -199,12 +223,19 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
         lengths = [0 if g == "0" else min(4, len(g) + more) for g in canon.split(":")]
         return ":".join(f"{16 ** (n - 1) + draws.below(15 * 16 ** (n - 1)):x}" if n else "0" for n in lengths)
     if kind == "ip":
+        octets = canon.split(".")
         ranges = {1: (1, 10), 2: (10, 100), 3: (100, 256)}
-        lengths = [min(3, len(o) + more) for o in canon.split(".")]
-        return ".".join(str(lo + draws.below(hi - lo)) for lo, hi in (ranges[n] for n in lengths))
+        bounds = [ranges[min(3, len(o) + more)] for o in octets]
+        own = network(octets) if attempt < ANY_NETWORK else ()
+        bounds[: len(own)] = own
+        while True:
+            new = [str(lo + draws.below(hi - lo)) for lo, hi in bounds]
+            if own or not network(new):  # a public address stays one
+                return ".".join(new)
     if not kind.startswith("name-"):
         national = len(canon) - len(canon.lstrip("0")[:20]) if kind == "phone" else 0
-        return canon[:national] + _same_shape(canon[national:], draws)
+        new = canon[:national] + _same_shape(canon[national:], draws)
+        return new[:-1] + check_digit(new[:-1]) if kind == "card" and check_digit(canon[:-1]) == canon[-1] else new
     _, part, *rest = kind.split("-")
     gender, script = (rest[0], rest[1]) if part == "given" else ("n", rest[0])
     first, vowels = SOUNDS[script]
@@ -298,6 +329,9 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
         again = staged(again.union(taken.select("kind", "canon")).distinct(), "again")
         if again.isEmpty():
             return drawn
+        tries, kind = drawn.join(again, ["kind", "canon"]).agg(F.max(F.struct("attempt", "kind")).alias("m")).select("m.*").first()
+        if tries >= MOST_DRAWS:
+            raise ValueError(f"too few surrogates are free for entities of kind {kind}")
         marked = drawn.join(again.withColumn("lost", F.lit(1)), ["kind", "canon"], "left")
         marked = marked.select("kind", "canon", (F.col("attempt") + F.coalesce("lost", F.lit(0))).alias("attempt"))
         drawn = staged(draw(marked), "drawn")
@@ -307,7 +341,10 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     """The documents with surrogates in their text, and ``replaced``: kind, start, end
     (in the given text) and surrogate of everything replaced."""
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
-    found = staged(entities(docs, text_col), "mentions")
+    # The caller's columns go by number, so that none can have the name of a helper.
+    held = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    text = f"c{docs.columns.index(text_col)}"
+    found = staged(entities(held, text), "mentions")
     merged = staged(of_gender(found), "merged")
     names = found.select("kind", "canon").distinct().join(merged, ["kind", "canon"], "left")
     names = staged(names.select("kind", "canon", F.coalesce("drawn", "kind").alias("drawn")), "names")
@@ -316,21 +353,22 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     again = names.join(drawn, ["drawn", "canon"], "left").where("attempt > 0 OR drawn <> kind")
     again = again.select("kind", "canon", "drawn", F.coalesce("attempt", F.lit(0)).alias("attempt"))
     again = staged(again, "attempts")
-    rows = docs.drop("_attempts", "_t1", "_t2", "replaced")
+    rows = held
     if again.isEmpty():
         rows = rows.withColumn("_attempts", F.lit(None).cast("array<struct<kind:string,canon:string,drawn:string,attempt:int>>"))
     else:
         of_text = found.join(again, ["kind", "canon"]).groupBy("_t1", "_t2")
         of_text = staged(of_text.agg(F.collect_set(F.struct("kind", "canon", "drawn", "attempt")).alias("_attempts")), "texts")
-        one, two = _key(text_col)
+        one, two = _key(text)
         rows = rows.withColumns({"_t1": one, "_t2": two}).join(of_text, ["_t1", "_t2"], "left")
 
     def work(texts, attempts) -> Iterator[list]:
         known = [{(a["kind"], a["canon"]): (a["drawn"], a["attempt"]) for a in some or ()} for some in attempts]
         return list(zip(*(rewrite(t, secret, k) for t, k in zip(texts, known)))) or [[], []]
 
-    names = [c for c in docs.columns if c not in ("replaced", "_attempts", "_t1", "_t2")]
     new = "_new string, replaced array<struct<kind:string,start:int,end:int,surrogate:string>>"
-    out = append(rows, [text_col, "_attempts"], new, work)
-    own = [F.col("_new").alias(c) if c == text_col else F.col(c) for c in names]
+    out = append(rows, [text, "_attempts"], new, work)
+    own = [
+        F.col("_new" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() != "replaced"
+    ]
     return out.select(*own, "replaced")

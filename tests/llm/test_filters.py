@@ -398,6 +398,69 @@ def test_phones_of_any_grouping_and_both_ip_versions_are_found():
         assert surrogates.mentions(text) == [], text
 
 
+def test_nothing_of_planted_entities_is_left(spark):
+    """Texts put together from known entities: none of them, however written, is in the result."""
+    rng = np.random.default_rng(5)
+    people = [("Mr.", "John"), ("Herr", "Jürgen"), ("Mrs", "Ana"), ("Mme", "Zoé"), ("Dr.", "Kim"), ("г-жа", "Анна")]
+    families = ["Smith", "O'Hara", "Müller-Lang", "Garcia", "Петрова"]
+    rows, planted = [], []
+    for i in range(60):
+        title, first = people[rng.integers(len(people))]
+        family = families[rng.integers(len(families))]
+        mail = f"user{i}.{chr(97 + i % 26)}@host{i % 7}.example.org"
+        phone = f"+1 ({rng.integers(200, 999)}) {rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+        card = "".join(map(str, rng.integers(1, 10, 16)))
+        ip, ssn = f"{rng.integers(11, 99)}.{rng.integers(1, 255)}.7.{i + 1}", f"{rng.integers(100, 999)}-{rng.integers(10, 99)}-{rng.integers(1000, 9999)}"
+        text = f"Dear {title} {first} {family}, write to {mail} or {mail.upper()}; call {phone}. {first.upper()} paid with {card} from {ip} ({ssn})."
+        rows.append((i, text))
+        planted.append([first, first.upper(), family, mail, mail.upper(), phone, card, ip, ssn])
+    got = {r["id"]: r["text"] for r in surrogates.replace_entities(spark.createDataFrame(rows, "id int, text string"), "k").collect()}
+    for i, text in rows:
+        left = [x for x in planted[i] if re.search(rf"(?<!\w){re.escape(x)}(?!\w)", got[i])]
+        assert not left, (text, got[i])
+        shape = lambda t: re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]+", "a", t))
+        assert shape(got[i]).count("@") == 2 and len(re.findall(r"\+0 \(000\) 000-0000", shape(got[i]))) == 1
+
+
+def test_names_in_any_case_with_apostrophes_and_particles():
+    text = "Mrs. MARIA LOPEZ and Maria, Mr. O'Brien's, Mr. Jan van der Berg; Berg may will it: Mr. Will"
+    new, spans = surrogates.rewrite(text, b"k" * 32, {})
+    assert [text[s["start"] : s["end"]] for s in spans] == ["MARIA", "LOPEZ", "Maria", "O'Brien", "Jan", "Berg", "Berg", "Will"]
+    by = {text[s["start"] : s["end"]]: s["surrogate"] for s in spans}
+    assert by["MARIA"] == by["Maria"].upper() and "van der" in new and "may will it" in new
+    assert not any(f" {name}" in new for name in ("MARIA", "Maria", "LOPEZ", "O'Brien", "Jan", "Berg", "Will"))
+
+
+def test_surrogates_are_of_the_same_type():
+    def drawn(kind, canon):
+        return [surrogates.surrogate(kind, canon, i, b"k" * 32) for i in range(20)]
+
+    def luhn(n):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(n))) % 10 == 0
+
+    assert all(luhn(n) and len(n) == 16 for n in drawn("card", "4111111111111111"))
+    assert not all(luhn(n) for n in drawn("card", "4111111111111112"))
+    for canon, pattern in [
+        ("10.0.0.1", r"10\..*"), ("127.0.0.1", r"127\..*"), ("192.168.1.20", r"192\.168\..*"), ("169.254.1.1", r"169\.254\..*"),
+        ("172.20.1.1", r"172\.(1[6-9]|2\d|3[01])\..*"), ("8.8.4.4", r"(?!10\.|127\.|192\.168\.|169\.254\.|172\.(1[6-9]|2\d|3[01])\.).*"),
+    ]:
+        assert all(re.fullmatch(pattern, n) for n in drawn("ip", canon)), canon
+
+
+def test_a_format_without_free_values_is_an_error(spark):
+    rows = [("ssn", str(n)) for n in range(1, 10)]
+    with pytest.raises(ValueError, match="ssn"):
+        surrogates.assign(spark.createDataFrame(rows, "kind string, canon string"), b"k" * 32)
+
+
+def test_surrogates_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([("Mr. Ann", 1, 2, "x", 3)], "text string, _new int, _t1 int, replaced string, c0 int")
+    out = surrogates.replace_entities(docs, "k")
+    assert out.columns == ["text", "_new", "_t1", "c0", "replaced"]
+    row = out.first()
+    assert (row["_new"], row["_t1"], row["c0"]) == (1, 2, 3) and row["text"] == f"Mr. {row['replaced'][0]['surrogate']}"
+
+
 def test_names_meet_neither_numbers_nor_longer_words():
     text = "Mr. Ann-Lee Ann, Dr. O’Neil: Ann@x9.de Ann-Lee Ann-Lees Anna O’Neil’s Ann"
     assert [(text[a:b], kind.split("-")[0]) for a, b, kind, _ in surrogates.mentions(text)] == [
