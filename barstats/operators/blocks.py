@@ -151,7 +151,9 @@ def _cut_points(
     kept = candidates.where(F.col("reach").isNotNull()).withColumn("before", before)
     kept = kept.where(F.col("before").isNull() | (F.col("reach") >= F.col("before")))
     cut = F.struct(F.struct("key", "at").alias("place"), "reach")
-    return kept.agg(F.sort_array(F.collect_list(cut)).alias("cuts"))
+    cuts = F.sort_array(F.collect_list(cut))
+    refused = F.raise_error(F.lit("more cuts than a search goes through: make blocks longer"))
+    return kept.agg(F.when(F.size(cuts) < 2**_SEARCH_STEPS, cuts).otherwise(refused).alias("cuts"))
 
 
 def _places(ts: str, partition_cols: Sequence[str], tiebreak: Sequence[str]) -> tuple[Column, Column]:
