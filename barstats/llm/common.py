@@ -48,6 +48,23 @@ def append(
     return df.mapInArrow(run, out)
 
 
+def set_apart(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str], Callable[..., DataFrame]]:
+    """The table with its columns named by number, so that none has the name of a helper.
+
+    Also the new names of the needed columns, and a function that gives the others of a result their
+    own names back, beside the columns that are added. One of an added name is replaced.
+    """
+    held = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    lower = [c.lower() for c in docs.columns]
+
+    def back(out: DataFrame, *added: str) -> DataFrame:
+        taken = {c.lower() for c in added}
+        own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in taken]
+        return out.select(*own, *added)
+
+    return held, [f"c{lower.index(c.lower())}" for c in needed], back
+
+
 class Memo(dict):
     """Values by key, made when first asked for; emptied when it holds ``most`` of them.
 

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import append, chunks, plain_words
+from barstats.llm.common import append, chunks, plain_words, set_apart
 
 MASKS = ("111011", "1101101", "10110011")
 #: What a word of the item that does not match costs a run, in words that do.
@@ -265,16 +265,15 @@ def find_overlaps(
     first word and the length of the longest run, the item's words that are matched and
     their share, and whether that is a leak."""
     key = benchmark.schema[item_col].dataType.simpleString()
+    held, (text,), back = set_apart(docs, text_col)
     parts = []
     items = benchmark.select(F.col(item_col).alias("key"), F.col(item_text_col).alias("item"))
     for i, rows in enumerate(chunks(items, "item", chunk)):
         seeds = docs.sparkSession.sparkContext.broadcast([(r["key"], r["item"]) for r in rows])
         parts.append(f"_overlaps{i}")
-        docs = append(
-            docs, [text_col], f"{parts[-1]} {OVERLAPS.format(key=key)}", _Search(seeds)
-        )
+        held = append(held, [text], f"{parts[-1]} {OVERLAPS.format(key=key)}", _Search(seeds))
     joined = F.concat(*parts) if len(parts) > 1 else F.col(parts[0])
-    return docs.withColumn("overlaps", joined).drop(*parts)
+    return back(held.withColumn("overlaps", joined), "overlaps")
 
 
 class _Search:
@@ -299,7 +298,5 @@ def judge(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """The documents that leak no item, with their own columns."""
-    held = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    text = f"c{docs.columns.index(names.pop('text_col', 'text'))}"
-    clean = judge(held, benchmark, text_col=text, **names).where("NOT leaked")
-    return clean.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    held, (text,), back = set_apart(docs, names.pop("text_col", "text"))
+    return back(judge(held, benchmark, text_col=text, **names).where("NOT leaked"))

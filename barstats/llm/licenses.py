@@ -24,7 +24,8 @@ own words are counted, so nothing that is sent or collected grows with the docum
 
 Besides, fixed phrases are found at every place where their words stand in a row, over the
 whole text. Words are those of ``plain_words``. A null text has none; a template without
-words is found nowhere. Rows stand for themselves, repeated or not. Columns of the input
+words is found nowhere, and an empty table stays empty; texts of any length are looked through whole. Of
+equally good blocks the first is given. Rows stand for themselves, repeated or not. Columns of the input
 with the names of new ones are replaced.
 """
 
@@ -37,7 +38,7 @@ from math import ceil, inf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import append, chunks, plain_words
+from barstats.llm.common import append, chunks, plain_words, set_apart
 
 #: Fixed phrases and their labels.
 PHRASES = {
@@ -278,16 +279,16 @@ def scan(
     def base(texts):
         return list(zip(*(_words_and_phrases(t, phrases) for t in texts))) or [[], []]
 
-    plain, parts = docs, []
-    docs = append(docs, [text_col], "n_words long, phrases array<struct<word:long,label:string>>", base)
+    plain, (text,), back = set_apart(docs, text_col)
+    held, parts = append(plain, [text], "n_words long, phrases array<struct<word:long,label:string>>", base), []
     for k, rows in enumerate(chunks(templates.select("label", "text"), "text", chunk)):
         pairs = [(r["label"], r["text"] or "") for r in rows]
-        counts = block_counts(plain, {w for _, t in pairs for w in plain_words(t)}, text_col)
+        counts = block_counts(plain, {w for _, t in pairs for w in plain_words(t)}, text)
         index = docs.sparkSession.sparkContext.broadcast((pairs, counts))
         parts.append(f"_blocks{k}")
-        docs = append(docs, [text_col], f"{parts[-1]} {FOUND}", _Search(index, threshold))
+        held = append(held, [text], f"{parts[-1]} {FOUND}", _Search(index, threshold))
     joined = F.concat(*parts) if len(parts) > 1 else F.col(parts[0])
-    return docs.withColumn("blocks", joined).drop(*parts)
+    return back(held.withColumn("blocks", joined), "n_words", "phrases", "blocks")
 
 
 class _Search:

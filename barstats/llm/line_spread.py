@@ -10,7 +10,8 @@ are used.
 Lines and texts are known by 128 bits of hash, so that what is shuffled is narrow; the
 lines to remove are listed per text, and equal texts share the list. A line without a word
 is never removed. A null site counts as one site; a null text has no lines and stays null;
-an empty text has one empty line. Repeated rows have the same lines removed. Columns of the
+an empty text has one empty line, an empty table no lines; texts of any length are split whole. Repeated
+rows have the same lines removed. Columns of the
 input with the names of new ones are replaced.
 """
 
@@ -21,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import WORD
+from barstats.llm.common import WORD, set_apart
 from barstats.sources.scratch import staged
 
 MIN_SITES = 5
@@ -64,22 +65,22 @@ def remove_boilerplate(
     lg_slots: int = LG_SLOTS,
 ) -> DataFrame:
     """The documents with their text without widespread lines, n_lines and n_removed."""
-    docs = docs.drop(*(c for c in docs.columns if c.lower() in ("n_lines", "n_removed", "_t1", "_t2", "_gone")))
-    lines = staged(line_table(docs, text_col, site_col), "lines")
+    held, (text, site), back = set_apart(docs, text_col, site_col)
+    lines = staged(line_table(held, text, site), "lines")
     wide = staged(widespread(lines, min_sites, lg_slots), "widespread")
     gone = lines.join(wide, ["_l1", "_l2"], "left_semi").select("_t1", "_t2", "no").distinct()
     gone = staged(gone.groupBy("_t1", "_t2").agg(F.collect_set("no").alias("_gone")), "gone")
-    keyed = docs.withColumns(dict(zip(("_t1", "_t2"), _hashes(F.col(text_col), "_t"))))
+    keyed = held.withColumns(dict(zip(("_t1", "_t2"), _hashes(F.col(text), "_t"))))
     joined = keyed.join(gone, ["_t1", "_t2"], "left")
-    parts = F.split(F.col(text_col), "\n")
+    parts = F.split(F.col(text), "\n")
     left = F.filter(parts, lambda _, i: ~F.array_contains("_gone", i))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts))
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(parts))
     out = joined.withColumns(
         {
             "n_lines": n_lines.cast("long"),
             "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-            text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")),
+            text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")),
         }
     )
     out = out.withColumn("n_removed", F.greatest("n_removed", F.lit(0)))  # size() of null may be -1
-    return out.select(*docs.columns, "n_lines", "n_removed")
+    return back(out, "n_lines", "n_removed")

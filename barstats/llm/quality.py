@@ -13,7 +13,8 @@ vote as often as they are there. A null text has no words; it and any other text
 than MIN_WORDS words, or with over MAX_REPEATED percent of words in repeated 8-word windows,
 fails whatever the rules say. Texts of any length are taken whole.
 
-Repeated words and windows are told by their 64-bit hashes. A column of the input that has
+Repeated words and windows are told by their 64-bit hashes. In an empty table nothing is estimated or
+judged; a posterior of exactly KEEP_FROM is kept. A column of the input that has
 the name of a new one is replaced.
 """
 
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import WORD
+from barstats.llm.common import WORD, set_apart
 from barstats.sources.scratch import staged
 
 MIN_WORDS = 20
@@ -174,23 +175,23 @@ def judge(docs: DataFrame, text_col: str = "text", rules=RULES, keep_from: float
     The table with its votes is written to the shared folder once, as it is read for the
     estimate and for the verdicts: give it the columns that are needed.
     """
-    new = {"base_failed", "posterior", "kept", *(f"_v{i}" for i in range(len(rules)))}
-    rows = with_features(docs.drop(*(c for c in docs.columns if c.lower() in new)), text_col)
+    held, (text,), back = set_apart(docs, text_col)
+    rows = with_features(held, text)
     votes = {
         f"_v{i}": F.expr(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END")
         for i, (_, bad, good) in enumerate(rules)
     }
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words")
-    kept = [c for c in rows.columns if not c.startswith("_") or c in docs.columns]
+    kept = [c for c in rows.columns if not c.startswith("_")]
     voted = rows.withColumns(votes).withColumn("base_failed", failed)
     voted = staged(voted.select(*kept, "base_failed", *votes), "votes")
     model = fit(voted, len(rules))
     judged = voted.withColumn("posterior", model.posterior())
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_from)).drop(*votes)
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_from))
+    return back(judged, *FEATURES, "base_failed", "posterior", "kept")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are kept, with their own columns."""
-    held = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
-    judged = judge(held, f"c{docs.columns.index(text_col)}").where("kept")
-    return judged.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    held, (text,), back = set_apart(docs, text_col)
+    return back(judge(held, text).where("kept"))

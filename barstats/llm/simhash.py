@@ -17,7 +17,7 @@ streamed in sorted order: a task holds the fingerprints of one entry, CROWDED at
 
 Null or empty text has fingerprint 0, and links like any other. ``component_id`` is the
 smallest id that is not null; null if the component has none. Repeated rows are rows of
-their own. Columns of the input with the names of new ones are replaced.
+their own; an empty table has no groups, and texts of any length are shingled whole. Columns of the input with the names of new ones are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import append, ascii_words, components
+from barstats.llm.common import append, ascii_words, components, set_apart
 from barstats.sources.scratch import staged
 
 SHINGLE = 4
@@ -229,19 +229,20 @@ def drop_near_duplicates(
     id. Rows are told apart by id, so only rows whose id repeats or is null are compared
     by fingerprint once more.
     """
-    found = staged(near_duplicates(docs, id_col, text_col, crowded), "classified")
+    held, (key, text), back = set_apart(docs, id_col, text_col)
+    found = staged(near_duplicates(held, key, text, crowded), "classified")
     odd = found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id")
     odd = staged(odd, "odd")
     gone = found.where("NOT doc_id <=> component_id AND doc_id IS NOT NULL").select("doc_id")
     gone = staged(gone.union(odd.where("doc_id IS NOT NULL")).distinct(), "gone")
-    same = docs[id_col] == gone["doc_id"]
-    plain = docs.where(F.col(id_col).isNotNull()).join(gone, same, "left_anti")
+    same = held[key] == gone["doc_id"]
+    plain = held.where(F.col(key).isNotNull()).join(gone, same, "left_anti")
     if odd.isEmpty():
-        return plain
-    known = docs.join(odd, docs[id_col].eqNullSafe(odd["doc_id"]), "left_semi")
+        return back(plain)
+    known = held.join(odd, held[key].eqNullSafe(odd["doc_id"]), "left_semi")
     roots = found.select(F.col("fp").alias("_fp"), "root", "component_id").distinct()
-    known = with_fingerprint(known, text_col, "_fp").join(
+    known = with_fingerprint(known, text, "_fp").join(
         roots.withColumnsRenamed({"root": "_root", "component_id": "_least"}), "_fp"
     )
-    known = known.where(F.col(id_col).eqNullSafe(F.col("_least"))).dropDuplicates(["_root"])
-    return plain.unionByName(known.select(*[known[c] for c in docs.columns]))
+    known = known.where(F.col(key).eqNullSafe(F.col("_least"))).dropDuplicates(["_root"])
+    return back(plain.unionByName(known.select(*held.columns)))

@@ -5,7 +5,7 @@ heap. The pair of lowest rank is popped and merged until none is left: the piece
 as many tokens as it had symbols, less the merges. Texts are cut at white space, which no
 token spans, and the count of a stretch is remembered in a bounded table per worker.
 
-A null text counts as empty: no tokens, no bytes. Texts of any length are counted whole;
+A null text counts as empty: no tokens, no bytes; an empty table stays empty. Texts of any length are counted whole;
 rows are independent of each other, and columns with the names of new ones are replaced.
 """
 

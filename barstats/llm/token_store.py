@@ -13,7 +13,8 @@ A store is a folder:
   one place, and the stored 64-bit fingerprint tells keys that were never stored.
 
 The key of a document is its id and ``copy``: 0, or the number of earlier rows with the
-same id. Null ids come first and are keys like any other. A null text is empty. Rows with
+same id. Null ids come first and are keys like any other. A null text is empty, an empty table gives an empty store,
+and texts of any length are encoded whole. Other columns are not read, whatever their names. Rows with
 one id are ordered as they are read, and may span shards, so they can be any share of all.
 Text goes through one shuffle, by range of id; tasks stream it, and keep a few numbers for each
 document of the shard. A file's name carries the attempt that wrote it, and only
