@@ -187,6 +187,19 @@ def sink_partition_overwrite(spark, folder):
     return rounded(read_enriched(path, spark), "average")
 
 
+@query
+def sink_upsert(spark, folder):
+    """A third of the bars come once more with another volume, some of them twice, and the load is repeated."""
+    path = new_folder(spark, "by-day")
+    bars = bars_from_events(spark, folder)
+    layout.upsert(bars.where("row_index % 4 > 0"), path)
+    late = bars.where("row_index % 3 = 0 OR row_index % 4 = 0").withColumn("volume", F.col("volume") + 1)
+    again = late.where("row_index % 6 = 0").withColumn("volume", F.col("volume") - 1)
+    for _ in range(2):
+        layout.upsert(late.unionByName(again), path, newest=("volume",))
+    return rounded(read_enriched(path, spark), "average")
+
+
 @query
 def retention_filter(spark, folder):
     path = new_folder(spark, "by-day")

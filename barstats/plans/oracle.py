@@ -193,6 +193,12 @@ oracle(
       CASE WHEN date >= '2024-01-16' THEN volume + 1 ELSE volume END AS volume) FROM bars)""",
     "bars",
 )
+oracle(
+    "sink_upsert",
+    f"""SELECT {BAR}, {DAY} FROM (SELECT * REPLACE (CASE WHEN row_index % 3 = 0 OR row_index % 4 = 0
+      THEN volume + 1 ELSE volume END AS volume) FROM bars)""",
+    "bars",
+)
 for _name in ("retention_filter", "retained_days"):
     oracle(_name, f"SELECT {BAR}, {DAY} FROM bars WHERE CAST(date AS DATE) >= DATE '2024-01-30' - 10", "bars")
 oracle(

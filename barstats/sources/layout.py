@@ -6,11 +6,12 @@ import datetime as dt
 import re
 import time
 from collections.abc import Sequence
+from functools import reduce
 from typing import Literal
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barstats.functions import trading_day
@@ -54,6 +55,7 @@ def load_table(
     partition_field: str | None = TS,
     clustering_fields: Sequence[str] | None = (SYMBOL,),
     only_days_written: bool = False,
+    observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Write a table by day, clustered within each file.
 
@@ -62,7 +64,8 @@ def load_table(
     partition pruning; the sort gives row groups a narrow range of the clustering
     columns. Either can be turned off with ``None``. ``only_days_written`` replaces
     the days that ``df`` has and leaves the others alone. Rows of another schema are not
-    added to a table.
+    added to a table. ``observed`` counts the rows as they are written: behind the last shuffle, where a
+    task that is run again counts once.
     """
     if only_days_written and (mode != "overwrite" or not partition_field):
         raise ValueError("replacing single days needs mode='overwrite' and a partition field")
@@ -74,6 +77,8 @@ def load_table(
         order = [DAY, *order, partition_field]
     if order:
         df = df.sortWithinPartitions(*dict.fromkeys(order))
+    if observed:
+        df = df.observe(observed[0], *observed[1])
     writer = df.write.mode(mode)
     if partition_field:
         writer = writer.partitionBy(DAY)
@@ -82,6 +87,32 @@ def load_table(
     writer.parquet(path)
 
 
+def upsert(
+    df: DataFrame, path: str, key: Sequence[str] = (SYMBOL, TS), *, ts: str = TS, newest: Sequence[str] = ()
+) -> None:
+    """Add bars to a table by day, in the place of those with the same key.
+
+    Doing it again changes nothing, so a load can be repeated. The key has the time, so only the days
+    that arrive are read and written. Of bars that arrive with one key the last in the order of ``newest``
+    stays, then of all columns. NULL is equal to NULL in a key; a bar without a time is refused.
+    """
+    if ts not in key:
+        raise ValueError(f"the key must have {ts}, or days that do not arrive would be looked through")
+    order = [F.col(c).desc_nulls_last() for c in dict.fromkeys([*newest, *df.columns])]
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    dated = df.where(F.when(F.col(ts).isNotNull(), True).otherwise(F.raise_error(F.lit("a bar without a time")).cast("boolean")))
+    fresh = dated.withColumn("_nth", first).where("_nth = 1").drop("_nth")
+    there = existing(df.sparkSession, path)
+    if there is not None:
+        check_schema(df, path)
+        # The calendar bounds the days.
+        days = fresh.select(trading_day(F.col(ts)).alias(DAY)).distinct()
+        held = there.join(F.broadcast(days), DAY, "left_semi")
+        same = reduce(Column.__and__, [held[c].eqNullSafe(fresh[c]) for c in key])
+        fresh = fresh.unionByName(held.join(fresh.select(*key), same, "left_anti").select(*df.columns))
+    load_table(fresh, path, "overwrite", partition_field=ts, only_days_written=True)
+
+
 def retained(df: DataFrame, days: int | None, as_of: str, day: str = DAY) -> DataFrame:
     """The days not older than ``days`` before ``as_of``; all of them for None.
 
@@ -169,7 +200,7 @@ def load_with_summary(
     table. The summary also has the seconds that the writing took and where the rows went.
     """
     seen, began = Observation(), time.monotonic()
-    load_table(df.observe(seen, *_summary(z_flag, iqr_flag)), path, **layout)
+    load_table(df, path, observed=(seen, _summary(z_flag, iqr_flag)), **layout)
     seconds, spark = time.monotonic() - began, df.sparkSession
     table = spark.read.parquet(path)
     symbols = table.agg(F.countDistinct(SYMBOL).alias("symbols"))

@@ -72,6 +72,34 @@ def test_bars_far_behind_are_counted(spark, tmp_path):
     assert arrivals.rows() == [8, 9] and ingest.bars_too_late(query) == 1
 
 
+def test_an_upsert_can_be_repeated(spark, tmp_path):
+    path, bars = str(tmp_path / "t"), days(spark, 4)
+    layout.upsert(bars.where("row_index < 3"), path)
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("trading_day=2020-01-02/*.parquet")}
+    changed = bars.where("row_index >= 2").withColumn("close", F.col("close") * 10)
+    for _ in range(3):
+        layout.upsert(changed.unionByName(bars.where("row_index = 2")), path, newest=("close",))
+    want = bars.where("row_index < 2").unionByName(changed)
+    assert same_rows(spark.read.parquet(path).select(bars.columns), want)
+    assert untouched and all(p.stat().st_mtime_ns == t for p, t in untouched.items())
+
+
+def test_an_upsert_knows_null_keys_and_refuses_bars_without_a_time(spark, tmp_path):
+    path = str(tmp_path / "t")
+    bars = days(spark, 2).withColumn("symbol", F.when(F.col("row_index") > 0, F.col("symbol")))
+    for _ in range(2):
+        layout.upsert(bars, path)
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="date"):
+        layout.upsert(bars, path, key=("symbol",))
+    with pytest.raises(Exception, match="without a time"):
+        layout.upsert(bars.withColumn("date", F.lit(None).cast("timestamp_ntz")), path)
+    layout.upsert(bars.limit(0), path)
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="other columns"):
+        layout.upsert(bars.withColumn("close", F.lit("x")), path)
+
+
 def test_old_days_are_deleted_and_others_untouched(spark, tmp_path):
     path = str(tmp_path / "t")
     layout.load_table(days(spark, 5), path, "overwrite")
