@@ -1,4 +1,11 @@
-"""A corpus from raw documents to token ids: each stage works on what the one before kept."""
+"""A corpus from raw documents to token ids: each stage works on what the one before kept.
+
+All but the last return the columns of the documents, of whatever names. An empty table gives an
+empty one at every stage, and texts of any length are taken whole. Documents with a null or
+empty text fail the quality rules. Rows that repeat an id, or have none, are rows of their own but
+for near-duplicates, of which the row with the least id stays, or one of those that share it. Documents
+that tie in the mix are taken in the order of a hash of their id, then of their position.
+"""
 
 from __future__ import annotations
 
