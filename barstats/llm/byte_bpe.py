@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -26,10 +27,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barstats.llm.common import Memo
-
-#: Pieces that a worker remembers; some 220 bytes each.
-REMEMBERED = 1_000_000
+#: Pieces that a worker remembers, some 220 bytes each: the last ones, and as many from before.
+REMEMBERED = 400_000
+LONGEST = 48
 #: A leaf without a pair; greater than any rank and place.
 _NONE = (1 << 62) - 1
 _PLACE = (1 << 32) - 1
@@ -98,6 +98,27 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Recent(dict):
+    """Values by key, made when first asked for. When ``most`` are held they become the old ones,
+    from which those that are asked for again come back. Long keys are not kept."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.most:
+                self.old = {}
+                self.old = self.copy()
+                self.clear()
+            self[key] = value
+        return value
+
+
 class ByteCoder:
     """Encodes and decodes by one file of ranks and one pattern."""
 
@@ -108,7 +129,7 @@ class ByteCoder:
             raise ValueError(f"{path}: bytes without a token")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(_as_written(pattern))
-        self.memo = Memo(self._ids, most=REMEMBERED)
+        self.memo = Recent(self._ids, REMEMBERED)
 
     def _ids(self, piece: str) -> bytes:
         data = piece.encode()

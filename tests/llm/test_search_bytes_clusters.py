@@ -271,3 +271,12 @@ def test_too_large_components_are_refused(spark):
         centroids.cluster(table)
 
 
+
+
+def test_what_is_remembered_changes_nothing():
+    made = []
+    memo = byte_bpe.Recent(lambda k: made.append(k) or k.upper(), 3)
+    rng = random.Random(2)
+    keys = rng.choices(["a", "b", "c", "d", "e", "f", "g", "x" * 60], k=400)
+    assert [memo[k] for k in keys] == [k.upper() for k in keys]
+    assert len(memo) <= 3 and len(memo.old) <= 3 and len(made) < len(keys)
