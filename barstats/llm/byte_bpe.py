@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers, some 220 bytes each: the last ones, and as many from before.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LONGEST = 48
 #: A leaf without a pair; greater than any rank and place.
 _NONE = (1 << 62) - 1
