@@ -16,7 +16,8 @@ map-side, and its samples. Windows run over the hours of a series, whose number
 the calendar bounds, never over its rows or samples. A halo starts at
 a sample of the cut's own hour, or at an hour with enough rows behind it, so that in sparse
 hours it is not much longer than ``depth``. The cuts are a scalar subquery, of one entry
-for every eight million rows or so.
+for every half a million rows or so: a task sorts and buffers a few blocks, however long the
+series is.
 
 Operators one after the other share the cuts of the first, where they use the same series
 and look back no further: each of k operators reads its input once, and all of
@@ -42,10 +43,13 @@ _PLACE = "_place"
 # Binary search among up to 2 ** 24 cuts.
 _SEARCH_STEPS = 24
 
-# One row in SAMPLE_EVERY is sampled, and a block holds SAMPLES_PER_BLOCK samples:
-# about eight million rows.
-SAMPLE_EVERY = 4096
-SAMPLES_PER_BLOCK = 2048
+# A block has about BLOCK_ROWS rows, of which one in SAMPLE_EVERY is sampled. In crowded hours a halo is as
+# many samples as the depth has rows, at most one in HALO_SHARE of a block's: deep look-backs sample
+# more rows, up to one in LEAST_EVERY, from where on their blocks are longer.
+BLOCK_ROWS = 1 << 19
+SAMPLE_EVERY = 2048
+LEAST_EVERY = 16
+HALO_SHARE = 4
 # Cuts are made for at least this depth if blocks are long, to be of use to a next operator.
 SHARED_DEPTH = 64
 
@@ -156,6 +160,12 @@ def _cut_points(
     return kept.agg(F.when(F.size(cuts) < 2**_SEARCH_STEPS, cuts).otherwise(refused).alias("cuts"))
 
 
+def grain(depth: int) -> tuple[int, int]:
+    """How many rows there are to a sample, and samples to a block, if the caller does not say."""
+    per_block = max(BLOCK_ROWS // SAMPLE_EVERY, HALO_SHARE * depth)
+    return max(LEAST_EVERY, BLOCK_ROWS // per_block), per_block
+
+
 def _places(ts: str, partition_cols: Sequence[str], tiebreak: Sequence[str]) -> tuple[Column, Column]:
     key = F.struct(*partition_cols) if partition_cols else F.struct(F.lit(0).alias("all"))
     return key, F.struct(ts, *tiebreak)
@@ -168,8 +178,8 @@ def find_cuts(
     ts: str = TS,
     partition_cols: Sequence[str] = (SYMBOL,),
     tiebreak: Sequence[str] = (),
-    sample_every: int = SAMPLE_EVERY,
-    samples_per_block: int = SAMPLES_PER_BLOCK,
+    sample_every: int | None = None,
+    samples_per_block: int | None = None,
 ) -> Cuts:
     """Where to cut the series of a table; those of an earlier operator if they do."""
     if depth < 0:
@@ -179,8 +189,10 @@ def find_cuts(
     if known and known.series == series and known.depth >= depth:
         return known
     key, at = _places(ts, partition_cols, tiebreak)
-    depth = max(depth, 1, min(SHARED_DEPTH, sample_every * samples_per_block // 1024))
-    points = _cut_points(df, key, at, _hour(df, ts), depth, sample_every, samples_per_block)
+    every, per_block = grain(max(depth, SHARED_DEPTH))
+    every, per_block = sample_every or every, samples_per_block or per_block
+    depth = max(depth, 1, min(SHARED_DEPTH, every * per_block // 1024))
+    points = _cut_points(df, key, at, _hour(df, ts), depth, every, per_block)
     return Cuts(series, depth, points.scalar())
 
 
@@ -191,8 +203,8 @@ def split_series(
     ts: str = TS,
     partition_cols: Sequence[str] = (SYMBOL,),
     tiebreak: Sequence[str] = (),
-    sample_every: int = SAMPLE_EVERY,
-    samples_per_block: int = SAMPLES_PER_BLOCK,
+    sample_every: int | None = None,
+    samples_per_block: int | None = None,
     cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add ``_block`` and ``_halo``; halo rows appear in two blocks.

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barstats.operators.blocks import BLOCK, HALO, merge_blocks, over_series, split_series
+from barstats.operators.blocks import BLOCK, BLOCK_ROWS, HALO, grain, merge_blocks, over_series, split_series
 from barstats.operators.intraday import DAY_KEYS, add_vol_regime, with_day
 from helpers import plain_window, random_series, same_rows
 
@@ -149,3 +149,22 @@ def test_one_shuffle_of_the_rows(bars, spark):
 def test_negative_depth_is_refused(bars):
     with pytest.raises(ValueError):
         split_series(bars, -1)
+
+
+@pytest.mark.parametrize("depth", [19, 1999])
+def test_a_series_of_a_million_rows_is_in_blocks_by_default(spark, depth):
+    """Blocks are far shorter than what fits a task, for deep look-backs and in a crowded hour too."""
+    bars = spark.range(2_000_000).selectExpr(
+        "'one' AS symbol", "timestamp_micros(id * 1000000 div 200) AS date", "id AS row_index"
+    )
+    parts = split_series(bars, depth, tiebreak=("row_index",))
+    sizes = parts.groupBy(BLOCK).agg(F.count("*").alias("n"), F.count_if(HALO).alias("halo")).collect()
+    assert sum(r["n"] - r["halo"] for r in sizes) == 2_000_000
+    assert len(sizes) >= 3 and max(r["n"] for r in sizes) < 1_200_000
+    assert min(r["halo"] for r in sizes if r[BLOCK]) >= depth
+
+
+def test_blocks_do_not_grow_with_the_look_back():
+    for depth in (1, 64, 390, 2000, 8000):
+        every, per_block = grain(depth)
+        assert every * per_block <= BLOCK_ROWS and depth <= per_block // 4
