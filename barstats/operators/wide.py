@@ -58,7 +58,8 @@ class WideMoments:
         chunk = Window.partitionBy(*keys, _CHUNK)
         rows = rows.withColumn(_TAIL, _running(chunk.orderBy(F.desc(_ROW))))
         rows = rows.withColumn(_HEAD, _running(chunk.orderBy(_ROW)))
-        behind = F.lag(_TAIL, self.size - 1).over(Window.partitionBy(*keys).orderBy(_ROW))
+        # In the order the rows have from the window before: they are not sorted again.
+        behind = F.lag(_TAIL, self.size - 1).over(Window.partitionBy(*keys).orderBy(_CHUNK, _ROW))
         # At the end of its chunk a frame is the chunk.
         whole = F.col(_ROW) % self.size == self.size - 1
         rows = rows.withColumn(_TAIL, F.when(~whole, behind))

@@ -79,3 +79,11 @@ def test_rows_are_shuffled_once(spark):
         )
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1
+
+
+def test_a_row_is_sorted_three_times(spark):
+    """By time, and by chunk backwards and forwards: the last of these orders serves the look behind too."""
+    bars = spark.range(100).selectExpr("'S' AS symbol", "id AS date", "id AS row_index", "cast(id AS double) AS close")
+    out = WideMoments("close", 300, **STAGE).add_to(bars, ["symbol"], ["date"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 3
