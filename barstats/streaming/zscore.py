@@ -12,7 +12,9 @@ brings out what waits, and its state goes. A bar of a series after that starts i
 
 No bar is lost: one without a time, and one that comes too late for its windows, comes
 out with a reason. A null column value is skipped by the window, as NaN is here. A task holds
-one batch's bars of one series at a time; limit the files of a trigger to bound them.
+one batch's bars of one series at a time, as Arrow columns of some bytes a value; limit the files of a
+trigger to bound them. Bars come out of the state in chunks, a row with an array for each column, which
+Spark takes apart again.
 """
 
 from __future__ import annotations
@@ -21,8 +23,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -35,6 +40,8 @@ from barstats.sources.layout import existing
 REASON = "reason"
 _AT = "_at"
 _EVENT = "_event"
+#: So many bars leave the state as one row.
+CHUNK = 4096
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: The last values, the latest time seen, the time up to which bars have come out, and the timer.
@@ -57,7 +64,7 @@ def trailing_scores(ring: Sequence[float | None], values: Sequence[float | None]
     if not len(values):
         return (np.zeros(0),) * 3
     gaps = [None] * (window - 1 - len(ring))
-    every = np.array([*gaps, *ring, *values], dtype=float)
+    every = np.concatenate([np.array([*gaps, *ring], dtype=float), np.asarray(values, dtype=float)])
     frames = np.lib.stride_tricks.sliding_window_view(every, window)
     mean, std = np.full(len(values), np.nan), np.full(len(values), np.nan)
     for a in range(0, len(values), 8192):
@@ -76,6 +83,40 @@ def trailing_scores(ring: Sequence[float | None], values: Sequence[float | None]
     return mean, std, score
 
 
+class Bars:
+    """Bars in order of arrival, as Arrow columns: a small part of what as many Python rows take."""
+
+    def __init__(self, schema: StructType):
+        self.schema = to_arrow_schema(schema)
+        self.parts: list[pa.RecordBatch] = []
+        self.fresh: list[Sequence] = []
+
+    def add(self, values: Sequence) -> None:
+        self.fresh.append(values)
+        if len(self.fresh) == CHUNK:
+            self._pack()
+
+    def _pack(self) -> None:
+        columns = [pa.array(v, f.type) for v, f in zip(zip(*self.fresh), self.schema)]
+        self.parts.append(pa.RecordBatch.from_arrays(columns, schema=self.schema))
+        self.fresh = []
+
+    def table(self) -> pa.Table:
+        if self.fresh:
+            self._pack()
+        return pa.Table.from_batches(self.parts, self.schema)
+
+
+def in_order(bars: pa.Table, tiebreak: Sequence[str]) -> np.ndarray:
+    """The places of bars in the order of their time and tie-break, nulls first; equal ones as they came."""
+    keys = [(c, "ascending") for c in dict.fromkeys([_AT, *tiebreak])]
+    if not any(pa.types.is_nested(bars.schema.field(c).type) for c, _ in keys):
+        return pc.sort_indices(bars.select([c for c, _ in keys]), keys, null_placement="at_start").to_numpy()
+    columns = [bars.column(c).to_pylist() for c, _ in keys]
+    places = [tuple((v is not None, v) if v is not None else (False,) for v in row) for row in zip(*columns)]
+    return np.array(sorted(range(len(places)), key=places.__getitem__), dtype=np.int64)
+
+
 class SeriesScores(StatefulProcessor):
     """The state of each series, and what comes out of it."""
 
@@ -89,24 +130,36 @@ class SeriesScores(StatefulProcessor):
         self.series = handle.getValueState("series", _SERIES)
         self.waiting = handle.getListState("waiting", self.waits)
 
-    def _place(self, row: dict) -> tuple:
-        keys = (row[c] for c in self.stream.tiebreak)
-        return row[_AT], *((k is not None, k) if k is not None else (False,) for k in keys)
-
-    def _bare(self, row: dict, reason: str) -> Row:
-        scores = dict.fromkeys(self.stream.added)
-        return Row(**{c: row[c] for c in self.names}, **scores, **{REASON: reason})
-
-    def _scored(self, ring: list, rows: list[dict]) -> Iterator[Row]:
-        """Score rows in order, and move the ring on behind them."""
+    def _out(self, bars: pa.Table, reason: str | None = None, scores: Sequence[pa.Array] = ()) -> Iterator[Row]:
+        """Bars in chunks, with their scores or with a reason."""
+        for a in range(0, bars.num_rows, CHUNK):
+            chunk = bars.slice(a, CHUNK).combine_chunks()
+            n = chunk.num_rows
+            own = {c: chunk.column(c).combine_chunks() for c in self.names}
+            added = [x.slice(a, n) for x in scores] or [[None] * n for _ in self.stream.added]
+            yield Row(**own, **dict(zip(self.stream.added, added)), **{REASON: [reason] * n})
+
+    def _scored(self, ring: list, bars: pa.Table) -> Iterator[Row]:
+        """Score bars in order, and move the ring on behind them."""
         window = self.stream.window
-        values = [row[self.stream.column] for row in rows]
-        for row, *numbers in zip(rows, *(a.tolist() for a in trailing_scores(ring, values, window))):
-            mean, std, score = (None if x != x else x for x in numbers)
-            flag = None if score is None else abs(score) > self.stream.threshold
-            added = dict(zip(self.stream.added, (mean, std, score, flag)))
-            yield Row(**{c: row[c] for c in self.names}, **added, **{REASON: None})
-        ring[:] = [None if v is None else float(v) for v in [*ring, *values][1 - window :]]
+        bars = bars.combine_chunks()
+        order = in_order(bars, self.stream.tiebreak)
+        column = bars.column(self.stream.column)
+        values = pc.cast(column, pa.float64(), safe=False).to_numpy()[order]
+        mean, std, score = (pa.array(x, from_pandas=True) for x in trailing_scores(ring, values, window))
+        flag = pc.greater(pc.abs(score), self.stream.threshold)
+        for a in range(0, len(order), CHUNK):
+            scores = [x.slice(a, CHUNK) for x in (mean, std, score, flag)]
+            yield from self._out(bars.take(order[a : a + CHUNK]), scores=scores)
+        last = column.take(order[max(0, len(order) + 1 - window) :]).to_pylist()
+        ring[:] = [None if v is None else float(v) for v in [*ring, *last][1 - window :]]
+
+    def _held(self) -> Bars:
+        held = Bars(self.waits)
+        if self.waiting.exists():
+            for values in self.waiting.get():
+                held.add(values)
+        return held
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.series.get() if self.series.exists() else None
@@ -114,28 +167,33 @@ class SeriesScores(StatefulProcessor):
         # What lies behind the watermark may belong to a series that has ended.
         ended = timerValues.getCurrentWatermarkInMs() * 1000 or None
         limit = out if known else ended
-        held = [dict(zip(self.waits.names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
-        before = len(held)
+        held, aside = self._held(), {r: Bars(self.waits) for r in ("bad_timestamp", "late")}
+        had, came = bool(held.parts or held.fresh), False
         for row in rows:
             row = row.asDict()
-            row = {c: row[c] for c in self.waits.names}
-            if row[_AT] is None:
-                yield self._bare(row, "bad_timestamp")
-            elif limit is not None and row[_AT] <= limit:
-                yield self._bare(row, "late")
+            at, values = row[_AT], [row[c] for c in self.waits.names]
+            if at is None:
+                aside["bad_timestamp"].add(values)
+            elif limit is not None and at <= limit:
+                aside["late"].add(values)
             else:
-                held.append(row)
-                seen = row[_AT] if seen is None else max(seen, row[_AT])
-        if len(held) == before:
+                held.add(values)
+                came = True
+                seen = at if seen is None else max(seen, at)
+        for reason, bars in aside.items():
+            yield from self._out(bars.table(), reason)
+        if not came:
             return
         out = max(t for t in (seen - self.delay, limit) if t is not None)
-        ready = sorted((row for row in held if row[_AT] <= out), key=self._place)
-        if ready:
-            yield from self._scored(ring, ready)
-        if rest := [tuple(row.values()) for row in held if row[_AT] > out]:
-            self.waiting.put(rest)
-        elif before:
+        bars, held, aside = held.table(), None, None
+        ready = pc.less_equal(bars.column(_AT), out)
+        rest, bars = bars.filter(pc.invert(ready)), bars.filter(ready)
+        if bars.num_rows:
+            yield from self._scored(ring, bars)
+        if had:
             self.waiting.clear()
+        for part in rest.to_batches(CHUNK):
+            self.waiting.appendList([tuple(row.values()) for row in part.to_pylist()])
         due = seen // 1000
         if timer != due:
             if timer is not None:
@@ -148,8 +206,7 @@ class SeriesScores(StatefulProcessor):
         if known is None or known[3] != expiredTimerInfo.getExpiryTimeInMs():
             return
         if self.waiting.exists():
-            held = [dict(zip(self.waits.names, row)) for row in self.waiting.get()]
-            yield from self._scored(list(known[0]), sorted(held, key=self._place))
+            yield from self._scored(list(known[0]), self._held().table())
             self.waiting.clear()
         self.series.clear()
 
@@ -207,9 +264,10 @@ class ZScoreStream:
         kinds = (DoubleType(), DoubleType(), DoubleType(), BooleanType(), StringType())
         new = [StructField(n, k) for n, k in zip((*self.added, REASON), kinds)]
         processor = SeriesScores(self, rows.schema, seconds.first()[0])
-        return rows.groupBy(*self.partition_cols).transformWithState(
-            processor, StructType([*bars.schema.fields, *new]), "Append", "EventTime"
-        )
+        out = StructType([*bars.schema.fields, *new])
+        chunk = StructType([StructField(f.name, ArrayType(f.dataType)) for f in out])
+        chunks = rows.groupBy(*self.partition_cols).transformWithState(processor, chunk, "Append", "EventTime")
+        return chunks.select(F.inline(F.arrays_zip(*(f"`{n}`" for n in out.names)))).toDF(*out.names)
 
     def start(self, bars: DataFrame, checkpoint: str) -> StreamingQuery:
         """Score everything that has arrived, and stop. Start again to go on."""

@@ -3,11 +3,12 @@ from datetime import timedelta
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barstats.operators.rolling import add_rolling_stats
 from barstats.operators.zscore import detect_zscore_anomalies
 from barstats.streaming.ingest import add_new_bars
-from barstats.streaming.zscore import ZScoreStream, trailing_scores
+from barstats.streaming.zscore import Bars, ZScoreStream, in_order, trailing_scores
 from helpers import START, random_series, same_rows, series
 
 NUMBERS = ("close_rolling_mean_5", "close_rolling_std_5", "close_zscore_5")
@@ -161,3 +162,35 @@ def test_arriving_bars_are_added_once_and_by_day(spark, tmp_path):
     add_new_bars(bars.limit(0), lake)
     assert same_rows(spark.read.parquet(lake).drop("trading_day").select(bars.columns).where("close < 8"), bars)
     assert spark.read.parquet(lake).select("trading_day").distinct().count() == 2
+
+
+def test_bars_are_held_in_a_small_part_of_the_memory_of_python_rows():
+    schema = StructType.fromDDL("symbol string, date timestamp_ntz, row_index long, close double, _at long")
+    bars, n = Bars(schema), 100_000
+    for i in range(n):
+        bars.add(["S", START, None if i % 3 == 0 else 2**60 + i, 1.5 * i, i % 1000])
+    table = bars.table()
+    assert table.num_rows == n and table.nbytes < 60 * n and len(bars.fresh) == 0
+    order = in_order(table, ("row_index",))
+    at, row = (table.column(c).to_pylist() for c in ("_at", "row_index"))
+    want = sorted(range(n), key=lambda i: (at[i], row[i] is not None, row[i] or 0))
+    assert order.tolist() == want
+
+
+def test_bars_leave_the_state_in_chunks(spark, stream):
+    """Results of chunks are those of single bars, and every type comes through as it was."""
+    bars = random_series(spark, 9000).dropDuplicates(["date"]).where("row_index % 11 > 0")
+    bars = bars.withColumns(
+        {"big": F.when(F.col("row_index") % 3 > 0, F.lit(2**60) + F.col("row_index")),
+         "zoned": F.col("date").cast("timestamp"), "price": F.col("close").cast("decimal(20,3)"),
+         "held": F.array("row_index", F.lit(None)), "text": F.when(F.col("row_index") % 2 > 0, F.lit("é"))}
+    ).cache()
+    scores = stream(delay="5 minutes")
+    for part in (0, 1):
+        half = F.col("date") < F.lit(START + timedelta(minutes=1500)).cast("timestamp_ntz")
+        scores.put(bars.where(half if part == 0 else ~half))
+    scores.finish()
+    assert scores.same_as_batch(bars) and not scores.rejects()
+    plan = scores.scores.scored(spark.readStream.schema(bars.schema).parquet(f"{scores.folder}/in"))
+    made = plan._jdf.queryExecution().analyzed().toString()
+    assert "array<double>" in made or "inline(arrays_zip(" in made
