@@ -55,6 +55,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
     r"[^\s\p{L}\p{N}]", rf"[^{SPACES}\p{{L}}\p{{N}}]"
 ).replace(r"(?!\S)", rf"(?![^{SPACES}])").replace(r"\s+", rf"[{SPACES}]+")
 
+#: Marks that are a piece by themselves behind a word.
+MARKS = frozenset(".,;:!?)")
+
 
 class _Irregular(Exception):
     """Two white-space characters in a row: the text can't be cut at single spaces."""
@@ -77,6 +80,8 @@ class Encoder:
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.split = regex.compile(f"({'|'.join(names)})" if names else "(?!)")
         self.symbols = byte_symbols()
+        size = max([self.tokenizer.get_vocab_size(), *(i + 1 for i in added)])
+        self.of_id = [i.to_bytes(self.dtype.itemsize, "little") for i in range(size)]
         self.pieces = regex.compile(PIECES)
         self.stretches = regex.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.white = regex.compile(f"[{SPACES}]")
@@ -84,9 +89,11 @@ class Encoder:
         self.of_word = Memo(self._word, most=500_000)
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return b"".join([self.of_id[i] for i in ids])
 
     def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
+            return self._written(self.symbols[32] + piece[1:])
         return self._written("".join([self.symbols[b] for b in piece.encode()]))
 
     def _written(self, symbols: str) -> bytes:
@@ -99,7 +106,15 @@ class Encoder:
         return b"".join(map(self.of_piece.__getitem__, self.pieces.findall(stretch)))
 
     def _word(self, word: str) -> bytes:
-        """Of a word behind a single space."""
+        """Of a word behind a single space.
+
+        Letters are one piece with the space, and a mark behind them is another.
+        """
+        if not ODD.search(word):
+            if word.isalpha():
+                return self._piece(" " + word)
+            if word[-1:] in MARKS and word[:-1].isalpha():
+                return self.of_word[word[:-1]] + self.of_piece[word[-1]]
         if not word or self.white.match(word):
             raise _Irregular
         return self._stretch(" " + word)

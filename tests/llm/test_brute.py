@@ -200,3 +200,16 @@ def test_perfect_hash_with_equal_hashes():
     assert sorted(at.tolist()) == list(range(len(h)))
     assert (bucket.tables["n"][at] == mark).all()
     assert (bucket.find(h[:50], mark[:50] + np.uint64(10**6)) == -1).all()
+
+
+def test_plain_words_are_encoded_once_and_not_looked_through():
+    """Letters behind a space take no search for pieces, and a mark behind them reuses their ids."""
+    path = queries.public_tokenizers.path(queries.BYTE_TOKENIZER)
+    own = token_store.Encoder(path)
+    asked = []
+    own.stretches = own.pieces = own.split = None  # the first word alone is looked through
+    own._stretch = lambda stretch: asked.append(stretch) or b""
+    text = " zebra Zébré, zebra. zebra zébré!"
+    got = np.frombuffer(own.encode(text), own.dtype).tolist()
+    assert got == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert asked == [""] and "zebra" in own.of_word and " zebra" not in own.of_piece
