@@ -84,38 +84,74 @@ class Memo(dict):
         return value
 
 
+#: Nodes that a task links before it gives them and begins anew.
+_HELD = 500_000
+
+
+def _linked_to_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) in the order of u, each node once with the least that it is linked to here.
+
+    Gives what it holds between two values of u only, so edges of one u are always together.
+    """
+    parent: dict = {}
+
+    def root(node):
+        while (up := parent.setdefault(node, node)) != node:
+            parent[node] = node = parent[up]
+        return node
+
+    schema, last = None, None
+    for batch in batches:
+        schema = batch.schema
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if len(parent) >= _HELD and u != last:
+                yield _stars(parent, root, schema)
+                parent.clear()
+            last = u
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    if parent:
+        yield _stars(parent, root, schema)
+
+
+def _stars(parent: dict, root: Callable, schema: pa.Schema) -> pa.RecordBatch:
+    links = [(n, r) for n in parent if (r := root(n)) != n]
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*links), schema, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The smallest node that each node of a graph can reach: columns node, root.
 
-    ``edges`` has two columns of ordered values, a and b. Alternates between linking the
-    larger neighbours of a node, and the smaller ones, to the least of its neighbourhood
-    until nothing changes. Every round is written to the shared folder, so no lineage
-    grows; only a count and a checksum come to the driver. Nodes without an edge to
-    another node are left out.
+    ``edges`` has two columns of ordered values, a and b. Tasks link the nodes of their own
+    edges to the least of each group, first as the edges come, so that no node has more edges
+    to smaller ones than there are tasks, then all of a node's. As long as a node has two such
+    edges, or lies between two nodes, every edge hops to the least neighbour of its
+    smaller end, and the edges of the larger are linked again. Every round is written to the
+    shared folder, so no lineage grows; only a count comes to the driver. Nodes without an
+    edge to another node are left out.
     """
     e = edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    e = staged(e.distinct(), "links")
-    before = None
+    e = e.mapInArrow(_linked_to_least, e.schema)
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        dealt = e.repartition("u").sortWithinPartitions("u")
+        e = staged(dealt.mapInArrow(_linked_to_least, e.schema), "links")
+        ends = e.select(F.col("u").alias("node"), F.col("v").alias("to")).union(
+            e.select("v", F.lit(None).cast(e.schema["v"].dataType))
         )
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(
-            F.col("v").alias("u"), F.col("m").alias("v")
+        between = F.max(F.col("to").isNull()) & F.min("to").isNotNull()
+        nodes = ends.groupBy("node").agg(
+            F.min("to").alias("least"),
+            (between | F.coalesce(F.min("to") < F.max("to"), F.lit(False))).alias("open"),
         )
-        e = staged(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    stars = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stars.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        nodes = staged(nodes, "nodes")
+        if not nodes.where("open").count():
+            return nodes.select("node", F.coalesce("least", "node").alias("root"))
+        least = nodes.where("least IS NOT NULL").select(F.col("node").alias("v"), "least")
+        e = e.join(least, "v", "left").select("u", F.coalesce("least", "v").alias("v"))
 
 
 #: A-Z in lower case; other ASCII than letters and digits become spaces.

@@ -191,14 +191,15 @@ def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Links that connect what is connected: pairs (a, b) of fingerprints within 4 bits.
 
     ``fps`` has distinct values in column fp. The links of crowded table entries are
-    given as stars, which connect the same fingerprints as all their pairs would.
+    given as stars, which connect the same fingerprints as all their pairs would. A link
+    may come more than once.
     """
     entries = _table_entries(fps).repartition("key").sortWithinPartitions("key", "fp")
     found = staged(entries.mapInArrow(_verify(RADIUS, crowded), "a long, b long"), "pairs")
     full = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
     balls = _ball_entries(full).repartition("key").sortWithinPartitions("key", "fp")
     stars = balls.mapInArrow(_star(RADIUS), "a long, b long")
-    return found.where("b IS NOT NULL").union(stars).distinct()
+    return found.where("b IS NOT NULL").union(stars)
 
 
 def near_duplicates(
@@ -208,13 +209,14 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     rows = staged(with_fingerprint(rows, "_text").drop("_text"), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = staged(components(links(fps.select("fp"), crowded)), "groups")
-    rooted = fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    groups = components(links(fps.select("fp"), crowded)).withColumnRenamed("node", "fp")
+    # Only fingerprints that have a link are grouped and joined by their root.
+    ids = groups.join(fps, "fp").groupBy("root").agg(F.min("least").alias("id"))
+    linked = groups.join(ids, "root").select("fp", "root", "id")
+    component = F.expr("CASE WHEN root IS NULL THEN least ELSE id END")
+    of_fp = fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), component.alias("component_id")
     )
-    rooted = staged(rooted, "rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.join(ids, "root").select("fp", "root", "component_id")
     return rows.join(staged(of_fp, "classes"), "fp", "left").select(
         "doc_id", "fp", "root", "component_id"
     )

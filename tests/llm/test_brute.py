@@ -5,12 +5,14 @@ import itertools
 import re
 import tempfile
 import zlib
+from uuid import uuid4
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
 from barstats.llm import queries, simhash, token_counts, token_store
+from barstats.llm.common import components
 from llm_cases import CASES, documents, same
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -213,3 +215,43 @@ def test_plain_words_are_encoded_once_and_not_looked_through():
     got = np.frombuffer(own.encode(text), own.dtype).tolist()
     assert got == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
     assert asked == [""] and "zebra" in own.of_word and " zebra" not in own.of_piece
+
+
+def tasks_of(spark, work):
+    """What work gives, and how many tasks it ran."""
+    context = spark.sparkContext
+    group = f"tasks-{uuid4().hex}"
+    context.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    seen = context.statusTracker()
+    stages = {s for j in seen.getJobIdsForGroup(group) for s in seen.getJobInfo(j).stageIds}
+    return out, sum(i.numCompletedTasks for s in stages if (i := seen.getStageInfo(s)))
+
+
+def test_a_group_of_near_copies_takes_few_tasks(spark):
+    """With many partitions it is their number that costs: each pass over the links has so many tasks."""
+    rng = np.random.default_rng(8)
+    fps = set(rng.integers(0, 2**63, 200).tolist())
+    for centre in rng.integers(0, 2**63, 3).tolist():
+        for _ in range(120):
+            fps.add(centre)
+            for b in rng.integers(0, 63, 2).tolist():
+                centre ^= (1 << b) * int(rng.random() < 0.4)
+    want = brute_components(fps)
+    most = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in most}
+    for k, v in most.items():
+        spark.conf.set(k, v)
+    try:
+        links = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
+        got, tasks = tasks_of(spark, lambda: components(links).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    linked = {f for f, root in want.items() if list(want.values()).count(root) > 1}
+    same([tuple(r) for r in got], [(f, want[f]) for f in linked])
+    assert tasks <= 700

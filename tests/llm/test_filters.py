@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from barstats.llm import decontamination, licenses, line_spread, mixing, quality, queries, surrogates
+from barstats.llm import common, decontamination, licenses, line_spread, mixing, quality, queries, surrogates
 from barstats.llm.common import append, components
 from llm_cases import CASES, FOLDER, documents, same
 from pyspark.sql import functions as F
@@ -689,6 +690,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
 
+def test_components_of_paths_and_crowded_ends(spark):
+    """A path whose links come down one by one, ends with all others below or above them, nulls, loops, names."""
+    names = [f"{k:03}" for k in range(300)]
+    down = [names[k : k + 2] for k in range(1, 60)] + [[names[0], names[60]]]
+    below = [[names[160], n] for n in names[100:160]]
+    above = [[names[200], n] for n in names[200:260]]
+    edges = down + below + above + [[None, "270"], ["270", None], ["280", "280"], ["290", "291"], ["291", "290"]]
+    want = [(n, names[0]) for n in names[:61]] + [(n, "100") for n in names[100:161]]
+    want += [(n, "200") for n in names[200:260]] + [("290", "290"), ("291", "290")]
+    got = components(spark.createDataFrame(edges, "a string, b string").repartition(7))
+    assert got.columns == ["node", "root"]
+    same([tuple(r) for r in got.collect()], want)
+
+
+def test_tasks_that_hold_little_keep_all_edges_of_a_node_together(monkeypatch):
+    monkeypatch.setattr(common, "_HELD", 3)
+    edges = [(u, v) for u in range(10, 40) for v in (u - 10, u - 7, u - 3)]
+    batches = [
+        pa.RecordBatch.from_pydict({"u": [u for u, _ in some], "v": [v for _, v in some]})
+        for some in (edges[k : k + 4] for k in range(0, len(edges), 4))
+    ]
+    given = [b.to_pylist() for b in common._linked_to_least(iter(batches))]
+    assert len(given) > 5
+    assert all(r["u"] > r["v"] for rows in given for r in rows)
+    for u in range(10, 40):  # what is linked to u is linked within one of the pieces
+        assert any({u, u - 10, u - 7, u - 3} <= {n for r in rows if r["v"] == least for n in r.values()} for rows in given for least in {r["v"] for r in rows})
+
+
 def test_append_replaces_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a", 5), (2, None, 6)], "id int, text string, N int")
     out = append(df, ["text"], "n long, text2 string", lambda t: [[len(x or "") for x in t], t])
