@@ -85,7 +85,7 @@ class Memo(dict):
 
 
 #: Nodes that a task links before it gives them and begins anew.
-_HELD = 500_000
+_HELD = 200_000
 
 
 def _linked_to_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -210,9 +210,10 @@ def near_duplicates(
     rows = staged(with_fingerprint(rows, "_text").drop("_text"), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     groups = components(links(fps.select("fp"), crowded)).withColumnRenamed("node", "fp")
-    # Only fingerprints that have a link are grouped and joined by their root.
+    # Only fingerprints that have a link are grouped and joined by their root; ids are staged, as
+    # Spark splits a crowded root only where both sides of a join come straight from a shuffle.
     ids = groups.join(fps, "fp").groupBy("root").agg(F.min("least").alias("id"))
-    linked = groups.join(ids, "root").select("fp", "root", "id")
+    linked = groups.join(staged(ids, "ids"), "root").select("fp", "root", "id")
     component = F.expr("CASE WHEN root IS NULL THEN least ELSE id END")
     of_fp = fps.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), component.alias("component_id")
